@@ -22,16 +22,28 @@ DISPLAY_TO_API = {
     "Last Name": "lastName",
     "Email 1": "email1",
     "Email 2": "email2",
+    "Email 3": "email3",
     "Phone 1": "phone1",
+    "Phone 2": "phone2",
+    "Phone 3": "phone3",
     "Account Type": "accountType",
     "Company Name": "companyName",
     "Date Created": "dateCreated",
     "Date Modified": "dateModified",
+    "Source": "source",
+    "Login Name": "loginName",
+    "Address Line 1": "addressLine1",
+    "Address Line 2": "addressLine2",
     "City": "city",
     "State": "stateProvince",
     "State/Province": "stateProvince",
     "Zip Code": "zipCode",
     "Country": "country",
+    "Gender": "gender",
+    "Date of Birth": "dateOfBirth",
+    "Preferred Name": "preferredName",
+    "Account Created Date/Time": "dateCreated",
+    "Account Last Modified Date/Time": "dateModified",
     "Donation ID": "id",
     "Donation Amount": "amount",
     "Amount": "amount",
@@ -43,6 +55,46 @@ DISPLAY_TO_API = {
     "Fund": "fund",
     "Purpose": "purpose",
     "Payment Method": "paymentMethod",
+    "Check Number": "checkNumber",
+    "Transaction Fee": "transactionFee",
+    "Anonymous Type": "anonymousType",
+    "Tribute Type": "tributeType",
+    "Acknowledgee": "acknowledgee",
+    "Note": "note",
+    "Tender Type": "paymentMethod",
+    "Event ID": "id",
+    "Event Name": "name",
+    "Start Date": "startDate",
+    "End Date": "endDate",
+    "Category": "category",
+    "Status": "status",
+    "Published": "publishEvent",
+    "Archived": "archived",
+    "Registration Start Date": "registrationStartDate",
+    "Registration End Date": "registrationEndDate",
+    "Maximum Attendees": "maximumAttendees",
+    "Current Attendees": "currentAttendees",
+    "Summary": "summary",
+    "Description": "description",
+    "Activity ID": "id",
+    "Activity Type": "activityType",
+    "Subject": "subject",
+    "Priority": "priority",
+    "Assigned To": "assignedTo",
+    "Created By": "createdBy",
+    "Membership ID": "id",
+    "Membership Type": "membershipType",
+    "Enrollment Date": "enrollmentDate",
+    "Expiration Date": "expirationDate",
+    "Auto Renew": "autoRenew",
+    "Term": "term",
+    "Transaction ID": "transactionId",
+    "Campaign Code": "code",
+    "Campaign Goal": "goal",
+    "Campaign Start Date": "startDate",
+    "Campaign End Date": "endDate",
+    "Campaign Type": "type",
+    "Campaign Status": "status",
 }
 # Operators each field type accepts.
 _ORDERED = (

@@ -82,25 +82,25 @@ SCHEMAS = {
 }
 # Reference lists offered as plain id/name tables.
 PROPERTY_LISTS = (
+    "activity-statuses",
+    "address-types",
+    "company-types",
     "countries",
-    "state-provinces",
+    "current-system-user",
+    "event-categories",
+    "event-topics",
     "funds",
-    "purposes",
-    "sources",
     "genders",
-    "prefixes",
     "individual-types",
-    "company-types",
-    "payment-methods",
-    "relation-types",
-    "event-topics",
-    "event-categories",
-    "membership-levels",
-    "membership-terms",
     "organization-profile",
-    "current-system-user",
+    "prefixes",
+    "purposes",
+    "relation-types",
+    "solicitation-methods",
+    "sources",
+    "state-provinces",
+    "system-timezones",
     "system-users",
-    "territories",
 )
 
 
