@@ -96,6 +96,14 @@ DISPLAY_TO_API = {
     "Campaign Type": "type",
     "Campaign Status": "status",
 }
+# Display name of a column that has several, where it is not the first one listed.
+PREFERRED_DISPLAY = {
+    "id": "ID",
+    "name": "Event Name",
+    "date": "Date",
+    "campaign": "Campaign Name",
+    "stateProvince": "State/Province",
+}
 # Operators each field type accepts.
 _ORDERED = (
     "EQUAL",
@@ -161,8 +169,8 @@ def to_api(df: DataFrame, names: Mapping[str, str] = DISPLAY_TO_API) -> DataFram
 
 
 def to_display(df: DataFrame, names: Mapping[str, str] = DISPLAY_TO_API) -> DataFrame:
-    """First display name listed for a column wins."""
-    back: dict[str, str] = {}
+    """The preferred display name of each column, else the first one listed."""
+    back = {api: name for api, name in PREFERRED_DISPLAY.items() if names is DISPLAY_TO_API}
     for display, api in names.items():
         back.setdefault(api, display)
     return df.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in df.columns])
