@@ -32,6 +32,7 @@ PHONE_PATTERNS = (
     r"^\+?[1-9]\d{1,14}$",
     r"^[0-9\-\.\s\(\)\+]+$",
 )
+NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TRUE_WORDS = ("true", "yes", "1", "on")
 CONTROL_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 # Field-name patterns, in the order they are reported.
@@ -70,15 +71,21 @@ def number_to_bool(c: Column) -> Column:
     return F.coalesce(c != 0, F.lit(False))
 
 
+def read_number(c: Column) -> Column:
+    """Plain decimal or exponent notation as double, else null."""
+    text = F.trim(c)
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
 def parse_number(c: Column, whole: bool = False) -> Column:
     """Empty or unreadable numbers become 0; whole numbers are cut towards zero."""
-    value = F.coalesce(F.trim(c).try_cast("double"), F.lit(0.0))
+    value = F.coalesce(read_number(c), F.lit(0.0))
     return value.cast("bigint") if whole else value
 
 
 def clean_number(c: Column) -> Column:
     """Number after removing , $ and %; null when nothing readable is left."""
-    return F.trim(F.translate(c, ",$%", "")).try_cast("double")
+    return read_number(F.translate(c, ",$%", ""))
 
 
 def parse_date(c: Column) -> Column:
