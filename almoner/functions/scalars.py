@@ -53,12 +53,12 @@ def parse_multivalue(c: Column) -> Column:
     by_pipe = F.split(c, r"\|")
     by_comma = F.split(c, ",")
     parts = F.when(F.contains(c, F.lit("|")), by_pipe).otherwise(by_comma)
-    items = F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    items = F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(items, F.array().cast("array<string>"))
 
 
 def format_multivalue(c: Column, sep: str = "|") -> Column:
-    return F.array_join(F.filter(F.transform(c, F.trim), lambda x: x != ""), sep)
+    return F.array_join(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""), sep)
 
 
 def parse_bool(c: Column) -> Column:

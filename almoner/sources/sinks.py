@@ -44,7 +44,7 @@ def export_prospects(df: DataFrame, path: str) -> None:
 
 def opportunity_count(c: Column) -> Column:
     """Entries of a comma list after trimming and dropping empties."""
-    parts = F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(F.size(parts), F.lit(0))
 
 
