@@ -15,7 +15,7 @@ AS_OF = datetime(2001, 8, 2)
 AS_OF_EVENTS = datetime(2024, 1, 31)
 DONATION_YEARS = tuple(range(1995, 2002))
 
-PRELUDE = """WITH donations AS (
+PRELUDE = """WITH RECURSIVE donations AS (
   SELECT o_orderkey AS donation_id, o_custkey AS account_id,
     CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderdate AS date,
     CASE WHEN o_orderstatus <> 'P' THEN substr(o_orderpriority, 1, 1) END AS campaign_id,

@@ -1 +1,238 @@
-"""Placeholder."""
+"""Queries on name matching. Both sides of every match are derived from the part table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from almoner.functions import text as T
+from almoner.operators import matching as M
+from almoner.plans.registry import query, rounded
+
+_COLUMN = {
+    "STANDARD": "gift amount",
+    "ECONOMY": "phone number",
+    "MEDIUM": "emailAddress",
+    "PROMO": "volunteer_service",
+    "LARGE": "event date",
+}
+_ASK = ((8, "donation total"), (16, "tel num"), (24, "electronic_mail"), (32, "activityType"), (40, "Company Name"))
+
+NAMES_SQL = (
+    "WITH names AS (SELECT DISTINCT CASE p_type "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _COLUMN.items())
+    + " ELSE 'company name' END || ' ' || split_part(p_name, ' ', 2) AS n FROM part), asked AS (SELECT DISTINCT CASE "
+    + " ".join(f"WHEN p_size < {k} THEN '{v}'" for k, v in _ASK)
+    + " ELSE 'first_name' END || CASE WHEN p_type IN ('LARGE', 'SMALL') THEN '' ELSE ' ' || split_part(p_name, ' ', 1) END AS q FROM part)"
+)
+
+
+def _list(words):
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+EXPAND_SQL = "MAP {" + ", ".join(f"'{w}': {_list(o)}" for w, o in T.expansions().items()) + "}"
+
+
+def _words(c):
+    return f"list_filter(regexp_split_to_array(lower({c}), '[_\\-\\s]+'), lambda w: w <> '')"
+
+
+def _meaning(c):
+    spaced = f"regexp_replace({c}, '([a-z])([A-Z])', '\\1 \\2', 'g')"
+    words = f"regexp_split_to_array(lower(regexp_replace({spaced}, '[_\\-\\.]+', ' ', 'g')), '\\s+')"
+    return f"list_filter({words}, lambda w: length(w) > 2 AND w NOT IN {T.STOP_WORDS})"
+
+
+def _expanded(c):
+    return f"list_distinct(list_concat({c}, flatten(list_transform({c}, lambda w: coalesce(x.m[w], [])))))"
+
+
+def fuzzy_sql(asked="asked", names="names", name="fz"):
+    return f""", {name}_p AS (SELECT q, n, lower(q) AS a, lower(n) AS b, {_words('q')} AS wa, {_words('n')} AS wb FROM {asked}, {names}),
+{name}_w AS (SELECT *, CASE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0::DOUBLE ELSE list_sum(list_transform(wa, lambda s: coalesce(list_filter(list_transform(wb,
+    lambda t: CASE WHEN s = t THEN 1.0::DOUBLE WHEN starts_with(s, t) OR starts_with(t, s) THEN 0.8::DOUBLE WHEN contains(s, t) OR contains(t, s) THEN 0.6::DOUBLE END),
+    lambda r: r IS NOT NULL)[1], 0.0::DOUBLE))) / greatest(len(wa), len(wb)) END AS w,
+  1.0::DOUBLE - levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) AS l,
+  least(length(a), length(b))::DOUBLE / greatest(length(a), length(b)) AS ratio FROM {name}_p),
+{name} AS (SELECT q, n, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE WHEN a = b THEN 1.0::DOUBLE WHEN starts_with(a, b) OR starts_with(b, a) THEN ratio * 0.9::DOUBLE
+  WHEN contains(a, b) OR contains(b, a) THEN ratio * 0.8::DOUBLE ELSE greatest(w * 0.7::DOUBLE + l * 0.3::DOUBLE, w, l) END AS score FROM {name}_w)"""
+
+
+def semantic_sql(asked="asked", names="names", name="sm"):
+    return f""", {name}_x AS (SELECT {EXPAND_SQL} AS m),
+{name}_q AS (SELECT q, {_expanded(_meaning('q'))} AS wa FROM {asked}, {name}_x AS x),
+{name}_n AS (SELECT n, {_expanded(_meaning('n'))} AS wb FROM {names}, {name}_x AS x),
+{name} AS (SELECT q, n, CASE WHEN lower(q) = lower(n) THEN 1.0::DOUBLE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0::DOUBLE
+  ELSE len(list_intersect(wa, wb))::DOUBLE / len(list_distinct(list_concat(wa, wb))) END AS score FROM {name}_q, {name}_n)"""
+
+
+def best_sql(score, out, threshold, k):
+    return f""", {out} AS (SELECT q AS query, n AS name, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, n) AS rank FROM {score} WHERE score >= {threshold} QUALIFY rank <= {k})"""
+
+
+def _names(crm):
+    kind = F.col("p_type")
+    head = F.lit("company name")
+    for value, label in _COLUMN.items():
+        head = F.when(kind == value, label).otherwise(head)
+    tail = F.split_part("p_name", F.lit(" "), F.lit(2))
+    return crm.table("part").select(F.concat(head, F.lit(" "), tail).alias("name"))
+
+
+def _asked(crm):
+    head = F.lit("first_name")
+    for limit, label in reversed(_ASK):
+        head = F.when(F.col("p_size") < limit, label).otherwise(head)
+    tail = F.concat(F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(1)))
+    short = F.col("p_type").isin("LARGE", "SMALL")
+    return crm.table("part").select(F.concat(head, F.when(short, "").otherwise(tail)).alias("query"))
+
+
+_PAIR = "(SELECT p_name AS q, lower(p_type) || ' ' || split_part(p_name, ' ', 2) AS n, p_partkey AS k FROM part)"
+
+
+def _pairs(crm):
+    other = F.concat(F.lower("p_type"), F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2)))
+    return crm.table("part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("q"), other.alias("n"))
+
+
+@query("Q1_lev_sim", f"SELECT k, 1.0::DOUBLE - levenshtein(q, n)::DOUBLE / greatest(length(q), length(n)) AS sim FROM {_PAIR}")
+def _(crm):
+    return _pairs(crm).select("k", T.lev_sim(F.col("q"), F.col("n")).alias("sim"))
+
+
+@query(
+    "Q2_word_overlap",
+    NAMES_SQL + fuzzy_sql() + "SELECT q AS query, n AS name, round(w, 9) AS overlap FROM fz_w WHERE w > 0.3",
+)
+def _(crm):
+    overlap = T.word_overlap(T.split_words(F.col("query")), T.split_words(F.col("name")))
+    # the two lists are small by construction here: distinct names of a fixed vocabulary
+    pairs = _asked(crm).distinct().withColumn("one", F.lit(1)).join(
+        F.broadcast(_names(crm).distinct().withColumn("one", F.lit(1))), "one"
+    )
+    scored = pairs.select("query", "name", overlap.alias("overlap")).where(F.col("overlap") > 0.3)
+    return rounded(scored, "overlap", digits=9)
+
+
+@query(
+    "Q3_fuzzy_score",
+    "WITH pair AS (SELECT k, q, n, lower(q) AS a, lower(n) AS b, "
+    + _words("q") + " AS wa, " + _words("n") + f" AS wb FROM {_PAIR})"
+    + """, s AS (SELECT *, list_sum(list_transform(wa, lambda s: coalesce(list_filter(list_transform(wb, lambda t: CASE WHEN s = t THEN 1.0::DOUBLE
+      WHEN starts_with(s, t) OR starts_with(t, s) THEN 0.8::DOUBLE WHEN contains(s, t) OR contains(t, s) THEN 0.6::DOUBLE END), lambda r: r IS NOT NULL)[1], 0.0::DOUBLE))) / greatest(len(wa), len(wb)) AS w,
+      1.0::DOUBLE - levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) AS l FROM pair)
+    SELECT k, round(CASE WHEN a = b THEN 1.0::DOUBLE ELSE greatest(w * 0.7::DOUBLE + l * 0.3::DOUBLE, w, l) END, 9) AS score FROM s""",
+)
+def _(crm):
+    return rounded(_pairs(crm).select("k", T.fuzzy_score(F.col("q"), F.col("n")).alias("score")), "score", digits=9)
+
+
+@query("Q4_fuzzy_join", NAMES_SQL + fuzzy_sql() + best_sql("fz", "best", 0.3, 10) + "SELECT query, name, round(score, 9) AS score, rank FROM best")
+def _(crm):
+    return rounded(M.fuzzy_join(_asked(crm), _names(crm)), "score", digits=9)
+
+
+@query(
+    "Q5_expand_words",
+    NAMES_SQL
+    + f""", x AS (SELECT {EXPAND_SQL} AS m), e AS (SELECT q, unnest({_expanded(_meaning('q'))}) AS word FROM asked, x) SELECT q AS query, word FROM e""",
+)
+def _(crm):
+    words = T.expand_words(T.meaningful_words(F.col("query")))
+    return _asked(crm).distinct().select("query", F.explode(words).alias("word"))
+
+
+@query(
+    "Q6_semantic_score",
+    NAMES_SQL.split(", asked AS")[0]
+    + ", asked AS (SELECT DISTINCT lower(p_type) || ' amount' AS q FROM part)"
+    + semantic_sql()
+    + "SELECT n AS name, round(max(score), 9) AS score FROM sm WHERE q = 'promo amount' GROUP BY n",
+)
+def _(crm):
+    kinds = crm.table("part").select(F.concat(F.lower("p_type"), F.lit(" amount")).alias("q")).distinct()
+    probe = kinds.where(F.col("q") == "promo amount").scalar()
+    scored = _names(crm).distinct().withColumn("q", probe)
+    score = T.semantic_score(F.col("q"), F.col("name"))
+    return rounded(scored.select("name", score.alias("score")), "score", digits=9)
+
+
+@query("Q7_semantic_join", NAMES_SQL + semantic_sql() + best_sql("sm", "best", 0.1, 10) + "SELECT query, name, round(score, 9) AS score, rank FROM best")
+def _(crm):
+    return rounded(M.semantic_join(_asked(crm), _names(crm)), "score", digits=9)
+
+
+@query(
+    "Q8_combined_join",
+    NAMES_SQL + fuzzy_sql() + semantic_sql() + best_sql("fz", "bf", 0.3, 20) + best_sql("sm", "bs", 0.1, 20)
+    + """, c AS (SELECT query, name, coalesce(bf.score, 0.0) * 0.7::DOUBLE + coalesce(bs.score, 0.0) * 0.3::DOUBLE AS score, bf.rank AS fr, bs.rank AS sr,
+      CASE WHEN bs.score IS NULL THEN 'fuzzy' WHEN bf.score IS NULL THEN 'semantic' ELSE 'combined' END AS match_type FROM bf FULL OUTER JOIN bs USING (query, name))
+    SELECT query, name, round(score, 9) AS score, match_type, row_number() OVER (PARTITION BY query ORDER BY score DESC, fr NULLS LAST, sr) AS rank FROM c QUALIFY rank <= 10""",
+)
+def _(crm):
+    return rounded(M.combined_join(_asked(crm), _names(crm)), "score", digits=9)
+
+
+@query("Q9_suggest", NAMES_SQL + fuzzy_sql() + best_sql("fz", "best", 0.4, 5) + "SELECT query, name, round(score, 9) AS score, rank FROM best")
+def _(crm):
+    return rounded(M.suggest(_asked(crm), _names(crm)), "score", digits=9)
+
+
+@query(
+    "Q9_suggest_two_lists",
+    NAMES_SQL + fuzzy_sql() + semantic_sql() + best_sql("fz", "bf", 0.3, 5) + best_sql("sm", "bs", 0.1, 5)
+    + """SELECT query, name, round(score, 9) AS score, rank, 'fuzzy' AS kind FROM bf UNION ALL
+      SELECT query, name, round(score, 9), rank, 'semantic' FROM bs WHERE (query, name) NOT IN (SELECT (query, name) FROM bf)""",
+)
+def _(crm):
+    return rounded(M.suggest_two_lists(_asked(crm), _names(crm)), "score", digits=9)
+
+
+@query(
+    "Q10_search_fields",
+    NAMES_SQL + ", fields AS (SELECT DISTINCT name AS n FROM custom_fields)" + fuzzy_sql("asked", "fields") + best_sql("fz", "best", 0.3, 10)
+    + """SELECT b.query, b.name, f.id, f.component, round(b.score, 9) AS score FROM best b JOIN custom_fields f ON f.name = b.name""",
+)
+def _(crm):
+    found = M.search_fields(crm.custom_fields.select("name", "id", "component"), _asked(crm))
+    return rounded(found, "score", digits=9).drop("rank")
+
+
+DISPLAY = {"donation total": "gift amount ring", "Company Name": "company name gear", "first_name": "phone number rod"}
+
+
+@query(
+    "Q11_suggest_mapped",
+    NAMES_SQL
+    + ", mapped AS (SELECT q, n, translate(lower(q), ' _', '') AS a, translate(lower(n), ' _', '') AS b, CASE q "
+    + " ".join(f"WHEN '{d}' THEN '{a}'" for d, a in DISPLAY.items())
+    + """ END AS api FROM asked, names), s AS (SELECT q, n, CASE WHEN n = api THEN 3.0::DOUBLE WHEN contains(b, a) OR contains(a, b) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS score FROM mapped)"""
+    + best_sql("s", "best", 1.0, 5)
+    + "SELECT query, name, score, rank FROM best",
+)
+def _(crm):
+    return M.suggest_mapped(_asked(crm), _names(crm), DISPLAY)
+
+
+@query(
+    "Q12_accept_field",
+    NAMES_SQL + ", st AS (SELECT n FROM names WHERE starts_with(n, 'event')), dy AS (SELECT DISTINCT p_name AS n FROM part), fields AS (SELECT n FROM st UNION SELECT n FROM dy), "
+    + "ask AS (SELECT q FROM asked UNION SELECT n FROM names UNION SELECT p_name FROM part UNION SELECT CAST(p_partkey AS VARCHAR) FROM part)"
+    + fuzzy_sql("ask", "fields") + semantic_sql("ask", "fields") + best_sql("fz", "bf", 0.7, 1) + best_sql("sm", "bs", 0.3, 1)
+    + """SELECT ask.q AS query, CASE WHEN regexp_full_match(ask.q, '\\d+') THEN 'custom_id' WHEN st.n IS NOT NULL THEN 'static' WHEN dy.n IS NOT NULL THEN 'dynamic'
+      WHEN bf.name IS NOT NULL THEN 'fuzzy' WHEN bs.name IS NOT NULL THEN 'semantic' ELSE 'rejected' END AS accepted_by,
+      CASE WHEN regexp_full_match(ask.q, '\\d+') OR st.n IS NOT NULL OR dy.n IS NOT NULL THEN ask.q ELSE coalesce(bf.name, bs.name) END AS field
+      FROM ask LEFT JOIN st ON st.n = ask.q LEFT JOIN dy ON dy.n = ask.q LEFT JOIN bf ON bf.query = ask.q LEFT JOIN bs ON bs.query = ask.q""",
+)
+def _(crm):
+    names = _names(crm)
+    part = crm.table("part")
+    asked = (
+        _asked(crm)
+        .union(names)
+        .union(part.select("p_name"))
+        .union(part.select(F.col("p_partkey").cast("string")))
+    )
+    static = names.where(F.startswith("name", F.lit("event")))
+    return M.accept_field(asked, static, part.select(F.col("p_name").alias("name")))
