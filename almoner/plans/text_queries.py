@@ -101,28 +101,26 @@ def _(crm):
     return _pairs(crm).select("k", T.lev_sim(F.col("q"), F.col("n")).alias("sim"))
 
 
-@query(
-    "Q2_word_overlap",
-    NAMES_SQL + fuzzy_sql() + "SELECT q AS query, n AS name, round(w, 9) AS overlap FROM fz_w WHERE w > 0.3",
+_OVERLAP = (
+    "WITH pair AS (SELECT k, q, n, lower(q) AS a, lower(n) AS b, "
+    + _words("q") + " AS wa, " + _words("n") + f" AS wb FROM {_PAIR})"
+    + """, s AS (SELECT *, list_sum(list_transform(wa, lambda s: coalesce(list_filter(list_transform(wb, lambda t: CASE WHEN s = t THEN 1.0::DOUBLE
+      WHEN starts_with(s, t) OR starts_with(t, s) THEN 0.8::DOUBLE WHEN contains(s, t) OR contains(t, s) THEN 0.6::DOUBLE END), lambda r: r IS NOT NULL)[1], 0.0::DOUBLE))) / greatest(len(wa), len(wb)) AS w,
+      1.0::DOUBLE - levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) AS l FROM pair)
+    """
 )
+
+
+@query("Q2_word_overlap", _OVERLAP + "SELECT k, round(w, 9) AS overlap FROM s")
 def _(crm):
-    overlap = T.word_overlap(T.split_words(F.col("query")), T.split_words(F.col("name")))
-    # the two lists are small by construction here: distinct names of a fixed vocabulary
-    pairs = _asked(crm).distinct().withColumn("one", F.lit(1)).join(
-        F.broadcast(_names(crm).distinct().withColumn("one", F.lit(1))), "one"
-    )
-    scored = pairs.select("query", "name", overlap.alias("overlap")).where(F.col("overlap") > 0.3)
-    return rounded(scored, "overlap", digits=9)
+    overlap = T.word_overlap(T.split_words(F.col("q")), T.split_words(F.col("n")))
+    return rounded(_pairs(crm).select("k", overlap.alias("overlap")), "overlap", digits=9)
 
 
 @query(
     "Q3_fuzzy_score",
-    "WITH pair AS (SELECT k, q, n, lower(q) AS a, lower(n) AS b, "
-    + _words("q") + " AS wa, " + _words("n") + f" AS wb FROM {_PAIR})"
-    + """, s AS (SELECT *, list_sum(list_transform(wa, lambda s: coalesce(list_filter(list_transform(wb, lambda t: CASE WHEN s = t THEN 1.0::DOUBLE
-      WHEN starts_with(s, t) OR starts_with(t, s) THEN 0.8::DOUBLE WHEN contains(s, t) OR contains(t, s) THEN 0.6::DOUBLE END), lambda r: r IS NOT NULL)[1], 0.0::DOUBLE))) / greatest(len(wa), len(wb)) AS w,
-      1.0::DOUBLE - levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) AS l FROM pair)
-    SELECT k, round(CASE WHEN a = b THEN 1.0::DOUBLE ELSE greatest(w * 0.7::DOUBLE + l * 0.3::DOUBLE, w, l) END, 9) AS score FROM s""",
+    _OVERLAP
+    + """SELECT k, round(CASE WHEN a = b THEN 1.0::DOUBLE ELSE greatest(w * 0.7::DOUBLE + l * 0.3::DOUBLE, w, l) END, 9) AS score FROM s""",
 )
 def _(crm):
     return rounded(_pairs(crm).select("k", T.fuzzy_score(F.col("q"), F.col("n")).alias("score")), "score", digits=9)
