@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from almoner.functions.predicates import literal, op_not_blank
 from almoner.functions.scalars import bucket, days_between, days_since, month_key, month_start
-from almoner.operators.joins import flag_donors
+from almoner.operators.joins import flag_donors, match_campaigns
 from almoner.operators.ranks import attach, exact_quantiles
+from almoner.session import materialize
 from almoner.sources.sinks import opportunity_count
 
 
@@ -39,9 +40,13 @@ def rows() -> Column:
 
 
 def share_of_total(df: DataFrame, column: str, out: str, scale: float = 100.0) -> DataFrame:
-    """Add each row's share of the column total."""
-    total = df.agg(F.sum(column).alias("t"))
-    held = attach(df, total, "__t")
+    """Add each row's share of the column total.
+
+    `df` is an aggregate; it is materialized so that its input is read once and not once more for
+    the total.
+    """
+    kept = materialize(df)
+    held = attach(kept, kept.agg(F.sum(column).alias("t")), "__t")
     return held.withColumn(out, safe_ratio(F.col(column), F.col("__t")["t"], scale)).drop("__t")
 
 
@@ -115,9 +120,9 @@ def gift_count_histogram(metrics: DataFrame, top: int = 10) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
     """Rows per non-null value with their share of all rows, largest first."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(rows().alias("count"))
-    total = df.agg(rows().alias("n"))
-    shared = attach(counts, total, "__t").withColumn(
+    counts = materialize(df.groupBy(column).agg(rows().alias("count")))
+    total = counts.agg(F.sum("count").alias("n"))
+    shared = attach(counts.where(F.col(column).isNotNull()), total, "__t").withColumn(
         "share", safe_ratio(F.col("count"), F.col("__t")["n"], 100.0)
     )
     out = shared.drop("__t")
@@ -215,14 +220,8 @@ def campaign_performance(campaigns: DataFrame, donations: DataFrame) -> DataFram
     gifts = reduced.select(
         F.col("campaign_id").alias("d_id"), F.col("campaign_name").alias("d_name"), "account_id", "raised", "gifts"
     )
-    keys = campaigns.select("campaign_id", "campaign_name")
-    same_id = keys["campaign_id"] == gifts["d_id"]
-    by_id = keys.join(gifts, same_id)
-    by_name = keys.join(
-        gifts, (keys["campaign_name"] == gifts["d_name"]) & ~F.coalesce(same_id, F.lit(False))
-    )
     per_donor = (
-        by_id.unionByName(by_name)
+        match_campaigns(gifts, campaigns, "d_id", "d_name")
         .groupBy("campaign_id", "account_id")
         .agg(F.sum("raised").alias("raised"), F.sum("gifts").alias("gifts"))
     )
@@ -252,7 +251,7 @@ def campaign_performance(campaigns: DataFrame, donations: DataFrame) -> DataFram
 def campaign_insights(performance: DataFrame) -> DataFrame:
     """One row over all campaigns: totals, best, most efficient, over, under and above mean."""
     efficiency = safe_ratio(F.col("total_raised"), F.col("donor_count"))
-    rated = performance.withColumn("efficiency", efficiency)
+    rated = materialize(performance.withColumn("efficiency", efficiency))
     means = rated.agg(F.avg("efficiency").alias("m"))
     held = attach(rated, means, "__m")
     best = lambda c: F.max_by("campaign_name", F.struct(c, "campaign_name"))
@@ -551,7 +550,7 @@ def program_status(programs: dict[str, DataFrame]) -> DataFrame:
     stacked = counted[0]
     for frame in counted[1:]:
         stacked = stacked.unionByName(frame)
-    status = stacked.withColumn("active", F.col("count") > 0)
+    status = materialize(stacked.withColumn("active", F.col("count") > 0))
     used = status.agg(safe_ratio(F.count_if(F.col("active")), rows(), 100.0).alias("u"))
     return attach(status, used, "__u").select("program", "count", "active", F.col("__u")["u"].alias("utilisation"))
 

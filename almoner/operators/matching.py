@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from almoner.functions import text as T
 from almoner.operators.ranks import attach
 
+# A chunk of the catalogue holds about this many names, and fewer when they are long.
 CHUNK_NAMES = 4096
+CHUNK_CHARS = 4_000_000
 SALTS = 16
 
 Score = Callable[[Column, Column], Column]
@@ -56,8 +58,14 @@ def _match(
         .withColumn("parts", parts(F.col("query")))
     )
     catalog = _catalog(names, name, parts)
-    # how many names there are decides how many chunks the catalogue is cut into
-    chunks = -(-names.select(name).distinct().count() // chunk_names)
+    # how many names there are and how long they are decides how many chunks they are cut into
+    size = (
+        names.select(name)
+        .distinct()
+        .agg(F.count(name).alias("n"), F.coalesce(F.sum(F.length(name)), F.lit(0)).alias("chars"))
+        .first()
+    )
+    chunks = max(-(-size["n"] // chunk_names), -(-size["chars"] // CHUNK_CHARS))
     if chunks <= 1:
         held = attach(asked, catalog.agg(_chunk(["name", "parts"])), "held")
         best = _best(F.col("parts"), F.col("held")["entries"], score, threshold, k)

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.operators.aggregates import money, rows, safe_ratio
-from almoner.operators.joins import donor_years, year_pairs
+from almoner.operators.joins import donor_years, pairs_of_years
 from almoner.operators.ranks import attach, prefix_sum, value_cuts
+from almoner.session import materialize
 
 
 def pareto(metrics: DataFrame, total: str = "total_donated") -> DataFrame:
     """Donors by total, largest first, with the running sum and its share of everything."""
-    cents = metrics.select("account_id", F.col(total).cast("decimal(28,2)").alias("amount"))
+    cents = materialize(
+        metrics.select("account_id", F.col(total).cast("decimal(28,2)").alias("amount"))
+    )
     running = prefix_sum(cents, "amount", [F.desc("amount"), F.asc("account_id")], "cumulative")
     held = attach(running, cents.agg(F.sum("amount").alias("t")), "__t")
     return held.select(
@@ -28,13 +31,13 @@ def pareto(metrics: DataFrame, total: str = "total_donated") -> DataFrame:
 
 def annual_retention(donations: DataFrame) -> DataFrame:
     """Donors of each observed year and how many of them gave in the next observed year."""
+    years = materialize(donor_years(donations))
     per_year = (
-        donor_years(donations)
-        .select("account_id", F.explode("years").alias("year"))
+        years.select("account_id", F.explode("years").alias("year"))
         .groupBy("year")
         .agg(rows().alias("donors"))
     )
-    retained = year_pairs(donations).groupBy("year").agg(rows().alias("retained"))
+    retained = pairs_of_years(years).groupBy("year").agg(rows().alias("retained"))
     # one row per year
     following = F.lead("year").over(Window.orderBy("year"))
     return (

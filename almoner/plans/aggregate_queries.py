@@ -527,7 +527,7 @@ def _(crm):
       CAST(running AS DOUBLE) / (SELECT CAST(sum(total) AS DOUBLE) FROM t) * 100.0 AS cumulative_share FROM c""",
 )
 def _(crm):
-    return W.pareto(materialize(_metrics(crm).select("account_id", "total_donated")))
+    return W.pareto(_metrics(crm))
 
 
 @query(
