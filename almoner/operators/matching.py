@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from almoner.functions import text as T
 from almoner.operators.ranks import attach
+from almoner.session import materialize
 
 # A chunk of the catalogue holds about this many names, and fewer when they are long.
 CHUNK_NAMES = 4096
@@ -254,25 +255,34 @@ def accept_field(
     query: str = "query",
     name: str = "name",
 ) -> DataFrame:
-    """First way a field name is accepted: id, static, dynamic, fuzzy >= 0.7, semantic >= 0.3."""
+    """First way a field name is accepted: id, static, dynamic, fuzzy >= 0.7, semantic >= 0.3.
+
+    Each stage only scores the names that every stage before it left over.
+    """
     asked = queries.select(F.col(query).alias("query")).where(F.length("query") > 0).distinct()
     static = static_names.select(F.col(name).alias("query")).distinct().withColumn("st", F.lit(1))
     dynamic = dynamic_names.select(F.col(name).alias("query")).distinct().withColumn("dy", F.lit(1))
+    how = (
+        F.when(F.col("query").rlike(r"^\d+$"), "custom_id")
+        .when(F.col("st").isNotNull(), "static")
+        .when(F.col("dy").isNotNull(), "dynamic")
+    )
+    exact = materialize(
+        asked.join(static, "query", "left")
+        .join(dynamic, "query", "left")
+        .select("query", how.alias("accepted_by"), F.when(how.isNotNull(), F.col("query")).alias("field"))
+    )
     every = static_names.select(name).union(dynamic_names.select(name)).distinct()
-    near = fuzzy_join(asked, every, 0.7, 1, "query", name).select("query", F.col("name").alias("fz"))
-    like = semantic_join(asked, every, 0.3, 1, "query", name).select("query", F.col("name").alias("sm"))
-    joined = asked
-    for side in (static, dynamic, near, like):
-        joined = joined.join(side, "query", "left")
-    stages: list[tuple[Column, str, Column]] = [
-        (F.col("query").rlike(r"^\d+$"), "custom_id", F.col("query")),
-        (F.col("st").isNotNull(), "static", F.col("query")),
-        (F.col("dy").isNotNull(), "dynamic", F.col("query")),
-        (F.col("fz").isNotNull(), "fuzzy", F.col("fz")),
-        (F.col("sm").isNotNull(), "semantic", F.col("sm")),
-    ]
-    how: Column = F.when(stages[0][0], stages[0][1])
-    which: Column = F.when(stages[0][0], stages[0][2])
-    for test, label, value in stages[1:]:
-        how, which = how.when(test, label), which.when(test, value)
-    return joined.select("query", how.otherwise("rejected").alias("accepted_by"), which.alias("field"))
+
+    def stage(rest: DataFrame, join: Callable[..., DataFrame], threshold: float, label: str) -> DataFrame:
+        found = join(rest, every, threshold, 1, "query", name)
+        return materialize(found.select("query", F.lit(label).alias("accepted_by"), F.col("name").alias("field")))
+
+    pending = exact.where(F.col("accepted_by").isNull()).select("query")
+    near = stage(pending, fuzzy_join, 0.7, "fuzzy")
+    pending = pending.join(near, "query", "left_anti")
+    like = stage(pending, semantic_join, 0.3, "semantic")
+    none = F.lit(None).cast("string").alias("field")
+    rejected = pending.join(like, "query", "left_anti").select("query", F.lit("rejected").alias("accepted_by"), none)
+    accepted = exact.where(F.col("accepted_by").isNotNull())
+    return accepted.unionByName(near).unionByName(like).unionByName(rejected)

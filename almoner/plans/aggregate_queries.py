@@ -97,16 +97,13 @@ def _(crm):
 
 @query(
     "A8_gift_buckets",
-    """WITH g AS (SELECT amount / 1000 AS a FROM donations)
-    SELECT '$1-50' AS gift_range, coalesce(CAST(sum(x) FILTER (WHERE x BETWEEN 1 AND 50) AS DOUBLE), 0.0) AS revenue FROM (SELECT CAST(a AS DECIMAL(18,2)) AS x FROM g)
-    UNION ALL SELECT '$51-250', coalesce(CAST(sum(x) FILTER (WHERE x BETWEEN 51 AND 250) AS DOUBLE), 0.0) FROM (SELECT CAST(a AS DECIMAL(18,2)) AS x FROM g)
-    UNION ALL SELECT '$251-1000', coalesce(CAST(sum(x) FILTER (WHERE x BETWEEN 251 AND 1000) AS DOUBLE), 0.0) FROM (SELECT CAST(a AS DECIMAL(18,2)) AS x FROM g)
-    UNION ALL SELECT '$1001-5000', coalesce(CAST(sum(x) FILTER (WHERE x BETWEEN 1001 AND 5000) AS DOUBLE), 0.0) FROM (SELECT CAST(a AS DECIMAL(18,2)) AS x FROM g)
-    UNION ALL SELECT '$5000+', coalesce(CAST(sum(x) FILTER (WHERE x > 5000) AS DOUBLE), 0.0) FROM (SELECT CAST(a AS DECIMAL(18,2)) AS x FROM g)""",
+    """WITH g AS (SELECT CAST(floor(amount / 10) / 100 AS DECIMAL(18,2)) AS x FROM donations),
+      r(gift_range, lo, hi) AS (VALUES ('$1-50', 1, 50), ('$51-250', 51, 250), ('$251-1000', 251, 1000), ('$1001-5000', 1001, 5000), ('$5000+', 5000.01, 1e12))
+    SELECT gift_range, coalesce(CAST(sum(x) AS DOUBLE), 0.0) AS revenue FROM r LEFT JOIN g ON x BETWEEN lo AND hi GROUP BY gift_range""",
 )
 def _(crm):
     # thousandths of each amount, so that the small ranges are filled too
-    small = (F.col("amount").cast("double") / 1000).cast("decimal(18,2)")
+    small = (F.floor(F.col("amount") / 10).cast("decimal(18,2)") / 100).cast("decimal(18,2)")
     return A.gift_buckets(crm.donations.withColumn("amount", small))
 
 

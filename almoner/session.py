@@ -18,6 +18,8 @@ def get_session(app: str = "almoner", master: str | None = None, **conf: object)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # checkpoint files go away with the frames that read them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # recording a Python call site per expression makes building large expressions slow
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
