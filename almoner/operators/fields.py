@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from almoner.functions.scalars import format_multivalue, parse_multivalue
 from almoner.operators.aggregates import rows
 from almoner.operators.quality import FieldMeta, error_free
+from almoner.session import materialize
 
 MULTI_TYPES = ("Checkbox", "MultiSelect")
 # Operations per block when a cell is edited many times; seq is unique, so no block holds more.
@@ -167,46 +168,48 @@ def batch_update(
     """Apply (key, field, op, value, seq) edits in seq order; edits that do not fit change nothing.
 
     Only edits after a cell's last replace count. A cell may hold most of all edits, so edits are
-    first gathered into blocks of bounded size and a cell is put together from its blocks.
+    first gathered into blocks of bounded size and a cell is put together from its blocks. The
+    blocks are materialized, so the edits are read and shuffled once.
     """
     meta = _by_name(fields)
     names = [n for n in meta if n in df.columns]
     allowed = ops.where(op_allowed(fields) & F.col("field").isin(*names))
-    replaced = F.when(F.col("op") == "replace", F.col("seq"))
-    resets = allowed.groupBy(key, "field").agg(
-        F.max(replaced).alias("reset"), F.max_by("value", replaced).alias("reset_value")
+    blocks = materialize(
+        allowed.groupBy(key, "field", F.floor(F.col("seq") / block).alias("block")).agg(
+            F.collect_list(F.struct("seq", "op", "value")).alias("ops")
+        )
     )
+    replaces = F.filter("ops", lambda o: o["op"] == "replace")
+    last = F.array_max(F.transform(replaces, lambda o: F.struct(o["seq"], o["value"])))
+    resets = blocks.groupBy(key, "field").agg(F.max(last).alias("reset"))
     edits = (
-        allowed.where(F.col("op") != "replace")
-        .groupBy(key, "field", F.floor(F.col("seq") / block).alias("block"))
-        .agg(F.collect_list(F.struct("seq", "op", "value")).alias("ops"))
-        .join(resets.select(key, "field", "reset"), [key, "field"])
+        blocks.join(resets, [key, "field"])
         .withColumn(
-            "ops", F.filter("ops", lambda o: o["seq"] > F.coalesce(F.col("reset"), F.lit(-1)))
+            "ops",
+            F.filter(
+                "ops",
+                lambda o: (o["op"] != "replace") & (o["seq"] > F.coalesce(F.col("reset.seq"), F.lit(-1))),
+            ),
         )
         .where(F.size("ops") > 0)
     )
     many = [n for n in names if meta[n].display_type in MULTI_TYPES]
     is_many = F.col("field").isin(*many) if many else F.lit(False)
-    results = (
-        resets.join(_text_results(edits.where(~is_many), key), [key, "field"], "left")
-        .join(_list_results(edits.where(is_many), key), [key, "field"], "left")
-        .groupBy(key)
-        .agg(
-            *[
-                F.max_by(
-                    F.struct("reset", "reset_value", "appended", "options"),
-                    F.when(F.col("field") == n, 1),
-                ).alias(f"__e_{n}")
-                for n in names
-            ]
-        )
-    )
+    parts = resets.unionByName(
+        _text_results(edits.where(~is_many), key), allowMissingColumns=True
+    ).unionByName(_list_results(edits.where(is_many), key), allowMissingColumns=True)
+
+    def of_field(n: str) -> Column:
+        # at most one row per cell holds each part
+        mine = [F.max(F.when(F.col("field") == n, F.col(c))).alias(c) for c in ("reset", "appended", "options")]
+        return F.when(F.count_if(F.col("field") == n) > 0, F.struct(*mine)).alias(f"__e_{n}")
+
+    results = parts.groupBy(key).agg(*[of_field(n) for n in names])
     joined = df.join(results, key, "left")
     changed = {}
     for n in names:
         edit = F.col(f"__e_{n}")
-        start = F.when(edit["reset"].isNotNull(), edit["reset_value"]).otherwise(F.col(n))
+        start = F.when(edit["reset"].isNotNull(), edit["reset"]["value"]).otherwise(F.col(n))
         if n in many:
             value = F.when(edit["options"].isNull(), start).otherwise(
                 _apply_options(start, edit["options"])

@@ -26,8 +26,15 @@ def attach(df: DataFrame, facts: DataFrame, name: str = _FACTS) -> DataFrame:
     return df.withColumn(name, facts.select(F.struct(*facts.columns)).scalar())
 
 
+def _partitions(df: DataFrame) -> int:
+    """Range partitions to cut into: what shuffles start with before they are coalesced."""
+    conf = df.sparkSession.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(conf.get("spark.sql.shuffle.partitions")), int(initial or 0))
+
+
 def _stamped(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or _partitions(df)
     return materialize(
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

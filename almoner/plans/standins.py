@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almoner.session import materialize
+
 AS_OF = datetime(2001, 8, 2)
 AS_OF_EVENTS = datetime(2024, 1, 31)
 DONATION_YEARS = tuple(range(1995, 2002))
@@ -202,7 +204,8 @@ class Crm:
         dormant = self.spark.createDataFrame(
             [("9", "Dormant", "1000", "INACTIVE", "Appeal")], real.schema
         )
-        return real.unionByName(dormant)
+        # a handful of rows that would otherwise be found again for every use
+        return materialize(real.unionByName(dormant))
 
     @cached_property
     def memberships(self) -> DataFrame:
