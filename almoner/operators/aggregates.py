@@ -383,17 +383,24 @@ def membership_summary(memberships: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def membership_retention(memberships: DataFrame, as_of: datetime) -> DataFrame:
-    """Total, active and active share per level, with an overall row."""
-    per_level = (
+    """Total, active and active share per level, with an overall row from the same pass."""
+    overall = F.grouping("level") == 1
+    both = (
         with_active(memberships, as_of)
-        .groupBy("level")
-        .agg(rows().alias("total"), F.count_if(F.col("is_active")).alias("active"))
+        .rollup("level")
+        .agg(
+            overall.alias("overall"),
+            rows().alias("total"),
+            F.count_if(F.col("is_active")).alias("active"),
+        )
+        .where(F.col("overall") | F.col("level").isNotNull())
     )
-    overall = per_level.agg(
-        F.lit("(all)").alias("level"), F.sum("total").alias("total"), F.sum("active").alias("active")
+    return both.select(
+        F.when(F.col("overall"), "(all)").otherwise(F.col("level")).alias("level"),
+        "total",
+        "active",
+        safe_ratio(F.col("active"), F.col("total"), 100.0).alias("retention_rate"),
     )
-    both = per_level.where(F.col("level").isNotNull()).unionByName(overall)
-    return both.withColumn("retention_rate", safe_ratio(F.col("active"), F.col("total"), 100.0))
 
 
 def level_revenue(memberships: DataFrame) -> DataFrame:

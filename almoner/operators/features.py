@@ -132,9 +132,13 @@ def varying(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def engagement_score(accounts: DataFrame) -> DataFrame:
-    """Mean of the parts that vary over all accounts, else contact completeness; high from 0.6."""
+    """Mean of the parts that vary over all accounts, else contact completeness; high from 0.6.
+
+    The account frame is materialized: it is read for the variances and again for the scores.
+    """
     parts = [c for c in ENGAGEMENT_PARTS if c in accounts.columns]
-    held = attach(accounts, varying(accounts, parts), "__v")
+    base = materialize(accounts)
+    held = attach(base, varying(base, parts), "__v")
     used = [F.col("__v")[c].cast("double") for c in parts]
     total = reduce(Column.__add__, [F.col(c) * u for c, u in zip(parts, used)])
     count = reduce(Column.__add__, used)

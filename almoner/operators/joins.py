@@ -56,9 +56,11 @@ def campaign_join(campaigns: DataFrame, donations: DataFrame) -> DataFrame:
     """Donations per campaign by id or by name, each pair once; empty campaigns keep one null row."""
     id_name, name_name = "donation_campaign_id", "donation_campaign_name"
     matched = match_campaigns(donations, campaigns, id_name, name_name).join(campaigns, "campaign_id")
-    ids = donations.select(F.col(id_name).alias("campaign_id")).distinct()
-    names = donations.select(F.col(name_name).alias("campaign_name")).distinct()
-    empty = campaigns.join(ids, "campaign_id", "left_anti").join(names, "campaign_name", "left_anti")
+    # distinct pairs of keys are about as few as campaigns, and are looked at twice
+    pairs = materialize(
+        donations.select(F.col(id_name).alias("campaign_id"), F.col(name_name).alias("campaign_name")).distinct()
+    )
+    empty = campaigns.join(pairs, "campaign_id", "left_anti").join(pairs, "campaign_name", "left_anti")
     return matched.unionByName(empty, allowMissingColumns=True)
 
 

@@ -24,9 +24,9 @@ SALTS = 16
 Score = Callable[[Column, Column], Column]
 
 
-def _catalog(names: DataFrame, name: str, parts: Callable[[Column], Column]) -> DataFrame:
-    kept = names.select(F.col(name).alias("name")).where(F.length("name") > 0).distinct()
-    return kept.withColumn("parts", parts(F.col("name")))
+def _distinct(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Distinct non-empty texts, written once because they are counted and matched, or matched twice."""
+    return materialize(df.select(F.col(column).alias(out)).where(F.length(out) > 0).distinct())
 
 
 def _chunk(entry_cols: list[str]) -> Column:
@@ -58,14 +58,12 @@ def _match(
         .distinct()
         .withColumn("parts", parts(F.col("query")))
     )
-    catalog = _catalog(names, name, parts)
+    kept = _distinct(names, name, "name")
+    catalog = kept.withColumn("parts", parts(F.col("name")))
     # how many names there are and how long they are decides how many chunks they are cut into
-    size = (
-        names.select(name)
-        .distinct()
-        .agg(F.count(name).alias("n"), F.coalesce(F.sum(F.length(name)), F.lit(0)).alias("chars"))
-        .first()
-    )
+    size = kept.agg(
+        F.count("name").alias("n"), F.coalesce(F.sum(F.length("name")), F.lit(0)).alias("chars")
+    ).first()
     chunks = max(-(-size["n"] // chunk_names), -(-size["chars"] // CHUNK_CHARS))
     if chunks <= 1:
         held = attach(asked, catalog.agg(_chunk(["name", "parts"])), "held")
@@ -150,10 +148,11 @@ def combined_join(
     name: str = "name",
 ) -> DataFrame:
     """Top 2k of both kinds merged; the score is 0.7 fuzzy + 0.3 semantic, or the larger one."""
-    fuzzy = fuzzy_join(queries, names, fuzzy_threshold, 2 * k, query, name).select(
+    queries, names = _distinct(queries, query, "query"), _distinct(names, name, "name")
+    fuzzy = fuzzy_join(queries, names, fuzzy_threshold, 2 * k).select(
         "query", "name", F.col("score").alias("f"), F.col("rank").alias("f_rank")
     )
-    semantic = semantic_join(queries, names, semantic_threshold, 2 * k, query, name).select(
+    semantic = semantic_join(queries, names, semantic_threshold, 2 * k).select(
         "query", "name", F.col("score").alias("s"), F.col("rank").alias("s_rank")
     )
     f, s = F.coalesce("f", F.lit(0.0)), F.coalesce("s", F.lit(0.0))
@@ -182,10 +181,9 @@ def suggest_two_lists(
     queries: DataFrame, names: DataFrame, k: int = 5, query: str = "query", name: str = "name"
 ) -> DataFrame:
     """Fuzzy suggestions, then semantic suggestions that the fuzzy list does not already hold."""
-    fuzzy = fuzzy_join(queries, names, 0.3, k, query, name).withColumn("kind", F.lit("fuzzy"))
-    semantic = semantic_join(queries, names, 0.1, k, query, name).withColumn(
-        "kind", F.lit("semantic")
-    )
+    queries, names = _distinct(queries, query, "query"), _distinct(names, name, "name")
+    fuzzy = materialize(fuzzy_join(queries, names, 0.3, k).withColumn("kind", F.lit("fuzzy")))
+    semantic = semantic_join(queries, names, 0.1, k).withColumn("kind", F.lit("semantic"))
     return fuzzy.unionByName(semantic.join(fuzzy, ["query", "name"], "left_anti"))
 
 

@@ -233,14 +233,38 @@ def validate_requests(requests: DataFrame, catalog: DataFrame, strict_range: boo
     string>, value_type>>, output_fields array<string>, current_page and page_size. `catalog` has
     resource, field, field_type, searchable and outputable.
     """
-    fields = requests.select(
-        "request_id", "resource", F.posexplode("search_fields").alias("position", "f")
-    ).select("request_id", "resource", "position", "f.*")
-    known = catalog.withColumn("known", F.lit(True))
-    searchable = known.where("searchable").select("resource", "field", "field_type", "known")
-    checked = fields.join(searchable, ["resource", "field"], "left")
+    item = "struct<part:string,position:int,field:string,operator:string,values:array<string>,value_type:string>"
+    searched = F.transform(
+        "search_fields",
+        lambda f, i: F.struct(
+            F.lit("search").alias("part"), i.alias("position"), f["field"], f["operator"], f["values"], f["value_type"]
+        ).cast(item),
+    )
+    no_text, no_list = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    # an absent list is filled in later and fine; an empty one is reported through its null entry
+    outputs = F.coalesce("output_fields", F.array().cast("array<string>"))
+    empty = F.col("output_fields").isNotNull() & (F.size(outputs) == 0)
+    wanted = F.when(empty, F.array(no_text)).otherwise(outputs)
+    shown = F.transform(
+        wanted,
+        lambda name, i: F.struct(
+            F.lit("output").alias("part"), i.alias("position"), name, no_text, no_list, no_text
+        ).cast(item),
+    )
+    paged = F.array(
+        F.struct(F.lit("pagination"), F.lit(0), no_text, no_text, no_list, no_text).cast(item)
+    )
+    # all parts of a request become rows in one pass and meet the catalogue in one join
+    parts = F.concat(F.coalesce(searched, F.array().cast(f"array<{item}>")), shown, paged)
+    checked = (
+        requests.select("request_id", "resource", "current_page", "page_size", F.explode(parts).alias("p"))
+        .select("request_id", "resource", "current_page", "page_size", "p.*")
+        .join(catalog.withColumn("listed", F.lit(True)), ["resource", "field"], "left")
+        .withColumn("known", F.when(F.col("part") == "search", F.col("searchable")).otherwise(F.col("outputable")))
+        .withColumn("known", F.coalesce("known", F.lit(False)))
+    )
     operator, values = F.col("operator"), F.col("values")
-    kind = F.coalesce("field_type", F.lit("string"))
+    kind = F.coalesce(F.when(F.col("known"), F.col("field_type")), F.lit("string"))
     custom = F.col("field").rlike(r"^\d+$")
     named = F.length(F.coalesce("field", F.lit(""))) > 0
     usable = named & operator.isin(*STANDARD_OPERATORS)
@@ -259,7 +283,7 @@ def validate_requests(requests: DataFrame, catalog: DataFrame, strict_range: boo
     )
     problems = {
         "field_missing": ~named,
-        "field_unknown": named & F.col("known").isNull() & ~custom,
+        "field_unknown": named & ~F.col("known") & ~custom,
         "operator_missing": named & operator.isNull(),
         "operator_unknown": named & operator.isNotNull() & ~operator.isin(*OPERATORS),
         "operator_not_allowed": usable & ~allowed,
@@ -268,34 +292,19 @@ def validate_requests(requests: DataFrame, catalog: DataFrame, strict_range: boo
         "range_needs_two": usable & given & bad_range,
         "value_type": typed & bad_type,
     }
-    codes = F.array_compact(F.array(*[F.when(test, code) for code, test in problems.items()]))
-    in_search = checked.select(
-        "request_id", F.lit("search").alias("part"), "position", F.explode(codes).alias("code")
-    )
-    outputs = requests.select(
-        "request_id", "resource", F.posexplode_outer("output_fields").alias("position", "field")
-    )
-    outputable = known.where("outputable").select("resource", "field", "known")
-    in_output = (
-        outputs.join(outputable, ["resource", "field"], "left")
-        .where(F.col("known").isNull() & ~F.coalesce(custom, F.lit(False)))
-        .select(
-            "request_id",
-            F.lit("output").alias("part"),
-            F.coalesce("position", F.lit(0)).alias("position"),
-            F.when(F.col("field").isNull(), "output_missing").otherwise("field_unknown").alias("code"),
-        )
-    )
-    paging = F.array_compact(
-        F.array(
-            F.when(F.col("current_page") < 0, "page_negative"),
-            F.when(~F.col("page_size").between(1, 500), "page_size_range"),
-        )
+    in_search = [F.when(test, code) for code, test in problems.items()]
+    in_output = [
+        F.when(F.col("field").isNull(), "output_missing").when(~F.col("known") & ~custom, "field_unknown")
+    ]
+    in_paging = [
+        F.when(F.col("current_page") < 0, "page_negative"),
+        F.when(~F.col("page_size").between(1, 500), "page_size_range"),
+    ]
+    by_part = (
+        F.when(F.col("part") == "search", F.array(*in_search))
+        .when(F.col("part") == "output", F.array(*in_output))
+        .otherwise(F.array(*in_paging))
     )
-    in_paging = requests.select(
-        "request_id",
-        F.lit("pagination").alias("part"),
-        F.lit(0).alias("position"),
-        F.explode(paging).alias("code"),
+    return checked.select(
+        "request_id", "part", "position", F.explode(F.array_compact(by_part)).alias("code")
     )
-    return in_search.unionByName(in_output).unionByName(in_paging)

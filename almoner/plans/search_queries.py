@@ -292,7 +292,7 @@ CATALOG = [
     UNION ALL SELECT request_id, 'search', 0, 'value_not_wanted' FROM f WHERE seg = 'HOUSEHOLD'
     UNION ALL SELECT request_id, 'search', 1, 'operator_unknown' FROM f
     UNION ALL SELECT request_id, 'output', 1, 'field_unknown' FROM f WHERE bal < 5000
-    UNION ALL SELECT request_id, 'output', 0, 'output_missing' FROM f WHERE bal >= 5000
+    UNION ALL SELECT request_id, 'output', 0, 'output_missing' FROM f WHERE bal >= 5000 AND bal < 8000
     UNION ALL SELECT request_id, 'pagination', 0, 'page_size_range' FROM f WHERE bal > 500 OR bal < 1
     UNION ALL SELECT request_id, 'pagination', 0, 'page_negative' FROM f WHERE bal < 0""",
 )
@@ -319,7 +319,9 @@ def _(crm):
         F.col("c_custkey").alias("request_id"),
         F.lit("accounts").alias("resource"),
         F.array(first, ask("firstName", "LIKE", ["a"], "string")).alias("search_fields"),
-        F.when(bal < 5000, F.array(F.lit("firstName"), F.lit("optIn"))).alias("output_fields"),
+        F.when(bal < 5000, F.array(F.lit("firstName"), F.lit("optIn")))
+        .when(bal < 8000, F.array().cast("array<string>"))
+        .alias("output_fields"),
         F.floor(bal).cast("int").alias("current_page"),
         F.when(bal < 1, 0).when(bal > 500, 501).otherwise(50).alias("page_size"),
     )
