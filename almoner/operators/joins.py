@@ -40,10 +40,9 @@ def match_campaigns(gifts: DataFrame, campaigns: DataFrame, gift_id: str, gift_n
     by_name = campaigns.groupBy(F.col("campaign_name").alias(gift_name)).agg(
         F.collect_set("campaign_id").alias("__same_name")
     )
-    none = F.array().cast("array<string>")
-    ids = F.array_distinct(
-        F.array_compact(F.concat(F.array("__same_id"), F.coalesce("__same_name", none)))
-    )
+    one = F.array("__same_id")
+    named = F.when(F.col("__same_name").isNull(), one).otherwise(F.concat(one, "__same_name"))
+    ids = F.array_distinct(F.array_compact(named))
     return (
         gifts.join(by_id, gift_id, "left")
         .join(by_name, gift_name, "left")

@@ -113,6 +113,12 @@ def _(crm):
     return D.incomplete_profiles(crm.accounts).select("account_id")
 
 
+@query("D3_multiple_emails", "SELECT account_id FROM accounts WHERE email IS NOT NULL AND phone IS NOT NULL")
+def _(crm):
+    # the phone column stands in for a second address
+    return D.multiple_emails(crm.accounts, "email", "phone").select("account_id")
+
+
 @query(
     "D4_address_issues",
     """WITH a AS (SELECT account_id, CASE WHEN balance < 100 THEN '' WHEN balance < 300 THEN 'Castle' ELSE 'Home' END AS address_type,

@@ -70,22 +70,30 @@ def best_sql(score, out, threshold, k):
     return f""", {out} AS (SELECT q AS query, n AS name, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, n) AS rank FROM {score} WHERE score >= {threshold} QUALIFY rank <= {k})"""
 
 
-def _names(crm):
+def _name_of():
+    """Column name a part stands for."""
     kind = F.col("p_type")
     head = F.lit("company name")
     for value, label in _COLUMN.items():
         head = F.when(kind == value, label).otherwise(head)
-    tail = F.split_part("p_name", F.lit(" "), F.lit(2))
-    return crm.table("part").select(F.concat(head, F.lit(" "), tail).alias("name"))
+    return F.concat(head, F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2)))
 
 
-def _asked(crm):
+def _query_of():
+    """Text a part asks for."""
     head = F.lit("first_name")
     for limit, label in reversed(_ASK):
         head = F.when(F.col("p_size") < limit, label).otherwise(head)
     tail = F.concat(F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(1)))
-    short = F.col("p_type").isin("LARGE", "SMALL")
-    return crm.table("part").select(F.concat(head, F.when(short, "").otherwise(tail)).alias("query"))
+    return F.concat(head, F.when(F.col("p_type").isin("LARGE", "SMALL"), "").otherwise(tail))
+
+
+def _names(crm):
+    return crm.table("part").select(_name_of().alias("name"))
+
+
+def _asked(crm):
+    return crm.table("part").select(_query_of().alias("query"))
 
 
 _PAIR = "(SELECT p_name AS q, lower(p_type) || ' ' || split_part(p_name, ' ', 2) AS n, p_partkey AS k FROM part)"
@@ -143,17 +151,21 @@ def _(crm):
 
 @query(
     "Q6_semantic_score",
-    NAMES_SQL.split(", asked AS")[0]
-    + ", asked AS (SELECT DISTINCT lower(p_type) || ' amount' AS q FROM part)"
+    NAMES_SQL
     + semantic_sql()
-    + "SELECT n AS name, round(max(score), 9) AS score FROM sm WHERE q = 'promo amount' GROUP BY n",
+    + ", rows AS (SELECT p_partkey AS k, CASE p_type "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _COLUMN.items())
+    + " ELSE 'company name' END || ' ' || split_part(p_name, ' ', 2) AS n, CASE "
+    + " ".join(f"WHEN p_size < {k} THEN '{v}'" for k, v in _ASK)
+    + " ELSE 'first_name' END || CASE WHEN p_type IN ('LARGE', 'SMALL') THEN '' ELSE ' ' || split_part(p_name, ' ', 1) END AS q FROM part)"
+    + " SELECT k, round(score, 9) AS score FROM rows JOIN sm USING (q, n)",
 )
 def _(crm):
-    kinds = crm.table("part").select(F.concat(F.lower("p_type"), F.lit(" amount")).alias("q")).distinct()
-    probe = kinds.where(F.col("q") == "promo amount").scalar()
-    scored = _names(crm).distinct().withColumn("q", probe)
-    score = T.semantic_score(F.col("q"), F.col("name"))
-    return rounded(scored.select("name", score.alias("score")), "score", digits=9)
+    part = crm.table("part").select(
+        F.col("p_partkey").alias("k"), _name_of().alias("name"), _query_of().alias("query")
+    )
+    score = T.semantic_score(F.col("query"), F.col("name"))
+    return rounded(part.select("k", score.alias("score")), "score", digits=9)
 
 
 @query("Q7_semantic_join", NAMES_SQL + semantic_sql() + best_sql("sm", "best", 0.1, 10) + "SELECT query, name, round(score, 9) AS score, rank FROM best")
