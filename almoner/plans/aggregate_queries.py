@@ -354,7 +354,7 @@ def _(crm):
     """WITH long AS (SELECT 'volunteer_group' AS dimension, volunteer_group AS value FROM volunteer_rows UNION ALL SELECT 'volunteer_role', volunteer_role FROM volunteer_rows
       UNION ALL SELECT 'state', state FROM volunteer_rows UNION ALL SELECT 'city', city FROM volunteer_rows),
     c AS (SELECT dimension, value, count(*) AS count FROM long WHERE value IS NOT NULL AND trim(value) <> '' GROUP BY ALL)
-    SELECT dimension, value, count, row_number() OVER (PARTITION BY dimension ORDER BY count DESC, value) AS rank FROM c QUALIFY rank <= 10""",
+    SELECT dimension, value, count, CAST(row_number() OVER (PARTITION BY dimension ORDER BY count DESC, value) AS INTEGER) AS rank FROM c QUALIFY rank <= 10""",
 )
 def _(crm):
     return A.dimension_counts(crm.volunteer_rows, ["volunteer_group", "volunteer_role", "state", "city"], 10)
@@ -529,7 +529,7 @@ def _(crm):
 
 @query(
     "W2_annual_retention",
-    """WITH y AS (SELECT DISTINCT account_id, year(date) AS year FROM donations),
+    """WITH y AS (SELECT DISTINCT account_id, CAST(year(date) AS INTEGER) AS year FROM donations),
       n AS (SELECT year, lead(year) OVER (ORDER BY year) AS next_year FROM (SELECT DISTINCT year FROM y)),
       r AS (SELECT a.year, count(*) AS donors, count(b.account_id) AS retained FROM y a JOIN n ON n.year = a.year AND n.next_year IS NOT NULL
         LEFT JOIN y b ON b.account_id = a.account_id AND b.year = n.next_year GROUP BY a.year)

@@ -216,7 +216,7 @@ def _(crm):
     "D9_sample_values",
     WIDE
     + """, l AS (SELECT 'v_tags' AS field, v_tags AS value FROM wide UNION SELECT 'v_kind', v_kind FROM wide UNION SELECT 'v_pct', v_pct FROM wide)
-    SELECT field, value, row_number() OVER (PARTITION BY field ORDER BY value) AS rank FROM l WHERE value IS NOT NULL AND value NOT IN ('', ' ') QUALIFY rank <= 3""",
+    SELECT field, value, CAST(row_number() OVER (PARTITION BY field ORDER BY value) AS INTEGER) AS rank FROM l WHERE value IS NOT NULL AND value NOT IN ('', ' ') QUALIFY rank <= 3""",
 )
 def _(crm):
     return D.sample_values(_wide(crm), ["v_tags", "v_kind", "v_pct"])
@@ -305,7 +305,7 @@ def _(crm):
     return _tags(crm).select("account_id", E.append_text(F.col("v_note"), "more", "; ").alias("note"))
 
 
-@query("M5_clear_field", "SELECT account_id, NULL AS v_note FROM accounts")
+@query("M5_clear_field", "SELECT account_id, CAST(NULL AS VARCHAR) AS v_note FROM accounts")
 def _(crm):
     return E.clear_field(_wide(crm), "v_note").select("account_id", "v_note")
 

@@ -150,7 +150,7 @@ def _(crm):
 
 @query(
     "J12_year_pairs",
-    """WITH y AS (SELECT DISTINCT account_id, year(date) AS year FROM donations),
+    """WITH y AS (SELECT DISTINCT account_id, CAST(year(date) AS INTEGER) AS year FROM donations),
       n AS (SELECT year, lead(year) OVER (ORDER BY year) AS next_year FROM (SELECT DISTINCT year FROM y))
     SELECT a.account_id, a.year, n.next_year FROM y a JOIN n ON n.year = a.year
       JOIN y b ON b.account_id = a.account_id AND b.year = n.next_year""",

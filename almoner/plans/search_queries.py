@@ -88,8 +88,8 @@ def _(crm):
 
 
 VOLUNTEER_EXPORT = """WITH counted AS (
-  SELECT *, len(list_filter(list_transform(string_split(coalesce(assigned_opportunities, ''), ','),
-    lambda x: trim(x)), lambda x: x <> '')) AS opportunity_count,
+  SELECT *, CAST(len(list_filter(list_transform(string_split(coalesce(assigned_opportunities, ''), ','),
+    lambda x: trim(x)), lambda x: x <> '')) AS INTEGER) AS opportunity_count,
     CASE WHEN assigned_opportunities IS NULL THEN 0 ELSE 1 END AS has_opportunities,
     CASE WHEN volunteer_group IS NULL THEN 0 ELSE 1 END AS has_group,
     CASE WHEN volunteer_role = '' THEN 0 ELSE 1 END AS has_role

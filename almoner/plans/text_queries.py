@@ -67,7 +67,7 @@ def semantic_sql(asked="asked", names="names", name="sm"):
 
 
 def best_sql(score, out, threshold, k):
-    return f""", {out} AS (SELECT q AS query, n AS name, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, n) AS rank FROM {score} WHERE score >= {threshold} QUALIFY rank <= {k})"""
+    return f""", {out} AS (SELECT q AS query, n AS name, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, n) AS INTEGER) AS rank FROM {score} WHERE score >= {threshold} QUALIFY rank <= {k})"""
 
 
 def _name_of():
@@ -178,7 +178,7 @@ def _(crm):
     NAMES_SQL + fuzzy_sql() + semantic_sql() + best_sql("fz", "bf", 0.3, 20) + best_sql("sm", "bs", 0.1, 20)
     + """, c AS (SELECT query, name, coalesce(bf.score, 0.0) * 0.7::DOUBLE + coalesce(bs.score, 0.0) * 0.3::DOUBLE AS score, bf.rank AS fr, bs.rank AS sr,
       CASE WHEN bs.score IS NULL THEN 'fuzzy' WHEN bf.score IS NULL THEN 'semantic' ELSE 'combined' END AS match_type FROM bf FULL OUTER JOIN bs USING (query, name))
-    SELECT query, name, round(score, 9) AS score, match_type, row_number() OVER (PARTITION BY query ORDER BY score DESC, fr NULLS LAST, sr) AS rank FROM c QUALIFY rank <= 10""",
+    SELECT query, name, round(score, 9) AS score, match_type, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, fr NULLS LAST, sr) AS INTEGER) AS rank FROM c QUALIFY rank <= 10""",
 )
 def _(crm):
     return rounded(M.combined_join(_asked(crm), _names(crm)), "score", digits=9)
