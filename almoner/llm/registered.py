@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from almoner.llm.mixing import mix_sources
+from almoner.llm.pieces import encode_documents
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -72,7 +77,10 @@ FROM ordered o JOIN budgets b ON b.source IS NOT DISTINCT FROM o.source
 """,
 )
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+@query("op2_encode_pieces")
+def op2_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL, with_ids=False)
