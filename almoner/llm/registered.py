@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almoner.llm.content_sort import exact_groups
 from almoner.llm.mixing import mix_sources
 from almoner.llm.pieces import encode_documents
 
@@ -84,3 +85,20 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_encode_pieces")
 def op2_encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL, with_ids=False)
+
+
+@query(
+    "op5_exact_groups",
+    """
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+    sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
+  count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  doc_id = first_value(doc_id) OVER best AS kept, text_sha256
+FROM rows WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+""",
+)
+def op5_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
