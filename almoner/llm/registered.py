@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from almoner.llm.content_sort import exact_groups
 from almoner.llm.mixing import mix_sources
+from almoner.llm.near_dups import near_duplicates
 from almoner.llm.pieces import encode_documents
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -102,3 +103,8 @@ FROM rows WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 )
 def op5_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
