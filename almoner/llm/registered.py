@@ -12,6 +12,8 @@ from almoner.llm.content_sort import exact_groups
 from almoner.llm.mixing import mix_sources
 from almoner.llm.near_dups import near_duplicates
 from almoner.llm.pieces import encode_documents
+from almoner.llm.secrets import scan_secrets
+from almoner.llm.toxicity import score_toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -108,3 +110,15 @@ def op5_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_near_duplicates")
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op7_scan_secrets")
+def op7_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return scan_secrets(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op9_score_toxicity")
+def op9_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return score_toxicity(docs, labels, with_sentences=False)
