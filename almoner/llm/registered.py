@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almoner.llm.content_sort import exact_groups
+from almoner.llm.fingerprints import fingerprint_edits
 from almoner.llm.mixing import mix_sources
 from almoner.llm.near_dups import near_duplicates
 from almoner.llm.pieces import encode_documents
@@ -122,3 +123,8 @@ def op7_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return score_toxicity(docs, labels, with_sentences=False)
+
+
+@query("op4_fingerprint_edits")
+def op4_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
