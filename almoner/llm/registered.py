@@ -14,6 +14,7 @@ from almoner.llm.mixing import mix_sources
 from almoner.llm.near_dups import near_duplicates
 from almoner.llm.pieces import encode_documents
 from almoner.llm.secrets import scan_secrets
+from almoner.llm.token_files import new_folder, read_token_files, write_token_files
 from almoner.llm.toxicity import score_toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -128,3 +129,9 @@ def op9_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_fingerprint_edits")
 def op4_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return read_token_files(write_token_files(docs, new_folder(docs), public_tokenizers.path("byte_bpe_50k.json")))
