@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almoner.llm.chat import rotate_perspectives
 from almoner.llm.content_sort import exact_groups
 from almoner.llm.fingerprints import fingerprint_edits
 from almoner.llm.mixing import mix_sources
@@ -16,6 +17,7 @@ from almoner.llm.pieces import encode_documents
 from almoner.llm.secrets import scan_secrets
 from almoner.llm.token_files import new_folder, read_token_files, write_token_files
 from almoner.llm.toxicity import score_toxicity
+from almoner.llm.url_lists import filter_urls, host_of, url_key
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -135,3 +137,110 @@ def op4_fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return read_token_files(write_token_files(docs, new_folder(docs), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query(
+    "op1_rotate_perspectives",
+    """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, turn // 256 AS block, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
+    replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS said
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
+parts AS (
+  SELECT t.*, perspective,
+    '<|' || CASE WHEN speaker = 'system' THEN speaker WHEN speaker = perspective THEN 'assistant'
+      ELSE 'user name=' || speaker END || '|>' || chr(10) AS head
+  FROM turns t JOIN people p ON p.conv_id = t.conv_id),
+ends AS (
+  SELECT *, sum(length(head) + length(said)) OVER (PARTITION BY conv_id, perspective, block
+    ORDER BY turn, speaker, said ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until
+  FROM parts)
+SELECT conv_id, perspective, block, count(*) AS n_turns,
+  string_agg(head || said, '' ORDER BY turn, speaker, said) AS text,
+  coalesce(string_agg(CASE WHEN speaker = perspective THEN
+    CAST(until - length(said) AS VARCHAR) || ':' || CAST(until - 1 AS VARCHAR) END, ',' ORDER BY turn, speaker, said), '') AS mask
+FROM ends GROUP BY conv_id, perspective, block
+""",
+)
+def op1_rotate_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rotated = rotate_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return rotated.withColumn("mask", F.array_join(spans, ","))
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Stand-in lists, since the tables hold none: their entries and days follow from hashes of the pages' names.
+
+    A list of domains adds about half of them, takes them off after 60 days and adds them again after 120; a
+    list of allowed hosts and a list of single URLs only grow.
+    """
+    start = F.lit("2024-01-01").cast("date")
+    digit = lambda c, k: F.conv(F.substring(F.md5(c), k, 2), 16, 10).cast("int")
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    domain = F.regexp_replace("host", r"^(www|m|blog)\.", "")
+    domains = hosts.select(domain.alias("value")).distinct().where(digit(F.col("value"), 1) < 128)
+    changes = F.explode(
+        F.array(*[F.struct(F.lit(d).alias("after"), F.lit(a).alias("action")) for d, a in ((0, "add"), (60, "remove"), (120, "add"))])
+    )
+    rows = domains.withColumn("c", changes).select(
+        F.lit("spam").alias("list"),
+        F.lit("block").alias("verdict"),
+        F.lit("domain").alias("kind"),
+        "value",
+        F.date_add(start, digit(F.col("value"), 3) + F.col("c.after")).alias("day"),
+        F.col("c.action").alias("action"),
+    )
+
+    def growing(values: DataFrame, name: str, verdict: str, kind: str) -> DataFrame:
+        return values.select(
+            F.lit(name).alias("list"),
+            F.lit(verdict).alias("verdict"),
+            F.lit(kind).alias("kind"),
+            "value",
+            F.date_add(start, digit(F.col("value"), 3)).alias("day"),
+            F.lit("add").alias("action"),
+        )
+
+    trusted = hosts.select(F.col("host").alias("value")).where(digit(F.col("value"), 1) >= 192)
+    urls = pages.select(url_key(F.col("url")).alias("value")).where("value <> ''").distinct().where(digit(F.col("value"), 1) < 16)
+    return rows.union(growing(trusted, "trusted", "allow", "host")).union(growing(urls, "manual", "block", "url"))
+
+
+@query(
+    "op10_filter_urls",
+    """
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS day,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#:@]*([^#]*)', 1) AS path
+  FROM pages),
+keyed AS (SELECT *, host || CASE WHEN path = '' THEN '/' ELSE path END AS key FROM captures),
+domains AS (SELECT DISTINCT regexp_replace(host, '^(www|m|blog)\\.', '') AS value FROM keyed),
+dated AS (
+  SELECT value, md5(value) AS h, 'domain' AS kind FROM domains
+  UNION ALL SELECT host, md5(host), 'host' FROM (SELECT DISTINCT host FROM keyed)
+  UNION ALL SELECT key, md5(key), 'url' FROM (SELECT DISTINCT key FROM keyed)),
+first AS (
+  SELECT value, kind, CAST('0x' || substr(h, 1, 2) AS INTEGER) AS pick,
+    DATE '2024-01-01' + CAST('0x' || substr(h, 3, 2) AS INTEGER) AS day
+  FROM dated),
+spans AS (
+  SELECT 'spam' AS list, 'block' AS verdict, kind, value, day AS valid_from, day + 60 AS valid_to, length(value) AS rank
+  FROM first WHERE kind = 'domain' AND pick < 128
+  UNION ALL SELECT 'spam', 'block', kind, value, day + 120, NULL, length(value) FROM first WHERE kind = 'domain' AND pick < 128
+  UNION ALL SELECT 'trusted', 'allow', kind, value, day, NULL, 254 FROM first WHERE kind = 'host' AND pick >= 192
+  UNION ALL SELECT 'manual', 'block', kind, value, day, NULL, 255 FROM first WHERE kind = 'url' AND pick < 16),
+hits AS (
+  SELECT k.page_id, s.*, row_number() OVER (PARTITION BY k.page_id ORDER BY rank DESC, verdict DESC, list) AS place
+  FROM keyed k JOIN spans s ON k.day >= s.valid_from AND (s.valid_to IS NULL OR k.day < s.valid_to)
+    AND ((kind = 'url' AND s.value = k.key) OR (kind = 'host' AND s.value = k.host)
+      OR (kind = 'domain' AND (s.value = k.host OR ends_with(k.host, '.' || s.value)))))
+SELECT k.page_id, k.url, k.day, coalesce(h.verdict, 'none') AS verdict, list, kind, h.value, valid_from, valid_to
+FROM keyed k LEFT JOIN hits h ON h.page_id = k.page_id AND place = 1
+""",
+)
+def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
+    return filter_urls(pages.select("page_id", "url", day.alias("day")), dated_lists(pages))
