@@ -11,6 +11,13 @@ are candidates. A bucket of candidates is never multiplied out: its members are
 are merged into components, and further hubs are drawn from members outside the bucket's largest component,
 until every pair from different components has been compared. So no link between candidates is lost, while
 a family of near copies costs about one comparison per member and band.
+
+A bound that costs no comparison comes first: shingles that no other candidate has are in no intersection. A
+copy edited so much that its own shingles alone keep it below the threshold links with nothing and
+leaves; a pair is compared only if its two counts of own shingles permit a link; and hubs are the
+members with the fewest, which in a family of copies are those next to its origin. Later hubs are compared with
+blocks of a component before its members: what a hub shares with the union of a block bounds what it
+shares with each member, so one comparison settles the whole block unless the bound permits a link.
 """
 
 from __future__ import annotations
@@ -20,13 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.llm.components import components
 from almoner.session import materialize
 
 _U = np.uint64
+_BLOCK = 32  # members of a component compared at once
 _SLICE = 1 << 20  # bytes of text hashed at a time
 _rng = np.random.default_rng(20_240_131)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
@@ -228,7 +236,7 @@ def near_duplicates(
     percent: int = 80,
     rows: int = 5,
     miss: float = 2e-5,
-    hubs: int = 32,
+    hubs: int = 512,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -272,16 +280,61 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(own).alias("kept"))
 
 
+def _permitted(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
+    """Whether sets of n1 and n2 shingles, own1 and own2 of which nobody else has, can reach the threshold."""
+    common = F.least(F.col(n1) - F.col(own1), F.col(n2) - F.col(own2))
+    return common * 100 >= (F.col(n1) + F.col(n2) - common) * percent
+
+
 def _links(texts: DataFrame, members: DataFrame, shingle: int, percent: int, hubs: int) -> DataFrame | None:
     """Verified links (a, b) that join all candidates of `members` (bucket, rep, n) that are linked."""
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(
         texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "rep long, shingles array<long>")
     )
-    state = members.withColumns({"component": F.col("rep"), "done": F.lit(False)})
-    seen = links = None
-    per_bucket = 1
+    alone = (
+        sets.select("rep", F.explode("shingles").alias("s"))
+        .groupBy("s")
+        .agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
+        .where("rep = other")
+        .groupBy("rep")
+        .agg(F.count("*").alias("own"))
+    )
+    state = (
+        members.join(alone, "rep", "left")
+        .withColumn("own", F.coalesce("own", F.lit(0)))
+        .where((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
+        .withColumns({"component": F.col("rep"), "done": F.lit(False)})
+    )
+    state = materialize(state)
+    # first round: every member of a bucket with the bucket's innermost one
+    inner = state.groupBy("bucket").agg(
+        F.min(F.struct(F.col("own") / F.col("n"), "rep", "n", "own")).alias("hub"), F.count("*").alias("c")
+    )
+    inner = inner.where("c > 1").select("bucket", *(F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("rep", "n", "own")))
+    pairs = (
+        state.join(inner, "bucket")
+        .where((F.col("rep") != F.col("hub_rep")) & _permitted("n", "own", "hub_n", "hub_own", percent))
+        .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
+    )
+    drawn = inner.select("bucket", F.col("hub_rep").alias("rep"))
+    seen = links = tried = None
     while True:
+        pairs = pairs.distinct()
+        pairs = materialize(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
+        seen = pairs if seen is None else seen.union(pairs)
+        found = materialize(_verified(pairs, sets, percent))
+        links = found if links is None else links.union(found)
+        labels = components(links).withColumnRenamed("node", "rep")
+        state = materialize(
+            state.drop("component")
+            .join(labels, "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep"))
+            .join(drawn.withColumn("drawn", F.lit(True)), ["bucket", "rep"], "left")
+            .withColumn("done", F.col("done") | F.coalesce("drawn", F.lit(False)))
+            .drop("drawn")
+        )
+        # buckets that still hold several components; members outside the largest have to be compared
         mass = state.groupBy("bucket", "component").agg(F.count("*").alias("c"))
         open_ = (
             mass.groupBy("bucket")
@@ -290,37 +343,72 @@ def _links(texts: DataFrame, members: DataFrame, shingle: int, percent: int, hub
             .select("bucket", F.col("top.component").alias("largest"))
         )
         live = state.join(open_, "bucket")
-        first = Window.partitionBy("bucket").orderBy(F.xxhash64("rep"), "rep")
-        drawn = (
+        line = Window.partitionBy("bucket").orderBy("own", "rep")
+        hub = materialize(
             live.where("not done and component <> largest")
-            .withColumn("place", F.row_number().over(first))
-            .where(F.col("place") <= per_bucket)
-            .select("bucket", F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("hub_component"))
+            .withColumn("place", F.row_number().over(line))
+            .where(F.col("place") <= hubs)
+            .select("bucket", *(F.col(c).alias(f"hub_{c}") for c in ("rep", "n", "own", "component")))
         )
-        drawn = materialize(drawn)
-        if drawn.isEmpty():
+        if hub.isEmpty():
             return links
+        drawn = hub.select("bucket", F.col("hub_rep").alias("rep"))
+        blocks = materialize(_blocks(state))
+        tries = materialize(_tries(live, hub, blocks, tried, percent))
+        tried = tries.select("hub_rep", "block") if tried is None else tried.union(tries.select("hub_rep", "block"))
+        near = _near_blocks(tries, blocks, sets, percent)
         pairs = (
-            live.join(drawn, "bucket")
-            .where("component <> hub_component")
-            .where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent)
-            .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
-            .distinct()
+            near.join(blocks, "block")
+            .where(F.col("rep") != F.col("hub_rep"))
+            .where(_permitted("n", "own", "hub_n", "hub_own", percent))
+            .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
         )
-        pairs = materialize(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
-        seen = pairs if seen is None else seen.union(pairs)
-        found = materialize(_verified(pairs, sets, percent))
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        state = materialize(
-            state.drop("component")
-            .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep"))
-            .join(drawn.select("bucket", F.col("hub").alias("rep"), F.lit(True).alias("drawn")), ["bucket", "rep"], "left")
-            .withColumn("done", F.col("done") | F.coalesce("drawn", F.lit(False)))
-            .drop("drawn")
-        )
-        per_bucket = hubs
+
+
+def _blocks(state: DataFrame) -> DataFrame:
+    """(rep, n, own, block): every component cut into blocks of about _BLOCK members by hash.
+
+    A block's number depends on its component's members, so it stands for the same members in every round.
+    """
+    reps = state.groupBy("rep").agg(*(F.first(c).alias(c) for c in ("n", "own", "component")))
+    mass = reps.groupBy("component").agg(F.count("*").alias("c"))
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / _BLOCK))
+    return reps.join(mass, "component").select("rep", "n", "own", F.xxhash64("component", "c", part).alias("block"))
+
+
+def _tries(live: DataFrame, hub: DataFrame, blocks: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
+    """(hub_rep, hub_n, hub_own, block, low): hubs and blocks of other components that meet in a bucket."""
+    sizes = blocks.groupBy("block").agg(F.min("n").alias("low"), F.max(F.col("n") - F.col("own")).alias("most"))
+    there = live.select("bucket", "rep", "component").join(blocks.select("rep", "block"), "rep")
+    there = there.select("bucket", "component", "block").distinct().join(sizes, "block")
+    common = F.least(F.col("hub_n") - F.col("hub_own"), F.col("most"))
+    smallest = F.greatest(F.col("low"), common)
+    out = (
+        hub.join(there, "bucket")
+        .where("component <> hub_component")
+        .where(common * 100 >= (F.col("hub_n") + smallest - common) * percent)
+        .select("hub_rep", "hub_n", "hub_own", "block", "low")
+        .distinct()
+    )
+    return out if tried is None else out.join(tried, ["hub_rep", "block"], "left_anti")
+
+
+def _near_blocks(tries: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Tries whose hub shares so many shingles with the union of the block that a member may be linked."""
+    needed = blocks.join(tries.select("block").distinct(), "block", "left_semi")
+    unions = (
+        sets.join(needed.select("rep", "block"), "rep")
+        .groupBy("block")
+        .agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("all"))  # of one block
+    )
+    hubs = sets.select(F.col("rep").alias("hub_rep"), F.col("shingles").alias("mine"))
+    common = F.size(F.array_intersect("mine", "all"))
+    return (
+        tries.join(hubs, "hub_rep")
+        .join(unions, "block")
+        .where(common * 100 >= (F.col("hub_n") + F.greatest(F.col("low"), common) - common) * percent)
+        .select("hub_rep", "hub_n", "hub_own", "block")
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
