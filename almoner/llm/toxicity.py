@@ -14,8 +14,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -172,11 +173,30 @@ def score_toxicity(
     several labels for one id the toxic one counts. A null id is not held out. Without labels of both kinds all
     scores stay low. Repeated rows give repeated results, an empty table none; other columns are ignored.
     """
-    rows = sample_labelled(docs, labels, id_col, text_col, label_col, sample_rows, sample_chars)
-    model = fit_sentences([r[1] for r in rows], [r[2] for r in rows])
+    model = fit_documents(docs, labels, id_col, text_col, label_col, sample_rows, sample_chars)
     return apply_model(docs, model, id_col, text_col, with_sentences)
 
 
+def fit_documents(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    sample_rows: int = 6_000, sample_chars: int = 20_000,
+) -> SentenceModel:
+    """Model fitted on a bounded sample of labelled documents; see score_toxicity."""
+    rows = sample_labelled(docs, labels, id_col, text_col, label_col, sample_rows, sample_chars)
+    return fit_sentences([r[1] for r in rows], [r[2] for r in rows])
+
+
+def score_column(text: Column, model: SentenceModel) -> Column:
+    """The score of whole texts as a column, for filters that keep all other columns."""
+
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        by_word = model.by_word()
+        for texts in batches:
+            yield pd.Series([score_text(t or "", model, by_word)[0] for t in texts], dtype="float64")
+
+    return F.pandas_udf(score, "double")(text.cast("string"))
+
+
 def apply_model(
     docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_col: str = "text", with_sentences: bool = True
 ) -> DataFrame:
