@@ -74,7 +74,7 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
             h = _U(0)
             for at in range(int(base), int(ends[k]), _SLICE):
                 part = _BYTE[data[at : min(at + _SLICE, int(ends[k]))]]
-                h = _mix(np.array([h + (part * power[: len(part)]).sum(dtype=np.uint64)]))[0]
+                h = _mix(np.array([h]) + (part * power[: len(part)]).sum(dtype=np.uint64))[0]
             out[k] = h
             k += 1
             continue
