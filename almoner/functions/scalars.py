@@ -277,11 +277,11 @@ DISPLAY_TYPES = {
     "Date": "date",
     "DateTime": "timestamp_ntz",
     "Time": "string",
-    "YesNo": "boolean",
     "Checkbox": "array<string>",
-    "MultiSelect": "array<string>",
+    "YesNo": "boolean",
     "DropDown": "string",
     "Dropdown": "string",
+    "MultiSelect": "array<string>",
     "RadioButton": "string",
     "Radio": "string",
     "File": "string",
@@ -296,16 +296,16 @@ DATA_TYPES = {
     "Phone": "string",
     "Area_Code": "string",
     "Name": "string",
-    "Array": "array<string>",
     "Integer": "bigint",
     "Whole_Number": "bigint",
-    "Float": "double",
     "Decimal": "double",
+    "Float": "double",
     "Currency": "decimal(18,2)",
     "Boolean": "boolean",
     "Date": "date",
     "DateTime": "timestamp_ntz",
     "Time": "string",
+    "Array": "array<string>",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,6 +121,15 @@ def users_with(perms: DataFrame, resource: str, permission: str) -> DataFrame:
     return held.select("user_id").distinct()
 
 
+def allowed(users: DataFrame, perms: DataFrame, asked: Sequence[tuple[str, str]]) -> DataFrame:
+    """user_id, resource, permission, allowed: for every user each asked (resource, permission)."""
+    wanted = F.array(*[F.struct(F.lit(r).alias("resource"), F.lit(p).alias("permission")) for r, p in asked])
+    held = perms.groupBy("user_id", "resource").agg(F.collect_set("permission").alias("__held"))  # five names at most
+    rows = users.select("user_id", F.inline(wanted)).join(held, ["user_id", "resource"], "left")
+    has = F.array_contains("__held", F.col("permission")) | F.array_contains("__held", F.lit("admin"))
+    return rows.select("user_id", "resource", "permission", F.coalesce(has, F.lit(False)).alias("allowed"))
+
+
 def require(perms: DataFrame, user: object | None, resource: str, permission: str) -> None:
     """Raise PermissionError unless `user` holds the permission. Without a user nothing is allowed."""
     if user is None:

@@ -134,11 +134,10 @@ def varying(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def engagement_score(accounts: DataFrame) -> DataFrame:
     """Mean of the parts that vary over all accounts, else contact completeness; high from 0.6.
 
-    The account frame is materialized: it is read for the variances and again for the scores.
+    Only the columns of the parts are read for the variances.
     """
     parts = [c for c in ENGAGEMENT_PARTS if c in accounts.columns]
-    base = materialize(accounts)
-    held = attach(base, varying(base, parts), "__v")
+    held = attach(accounts, varying(accounts.select(*parts), parts), "__v")
     used = [F.col("__v")[c].cast("double") for c in parts]
     total = reduce(Column.__add__, [F.col(c) * u for c, u in zip(parts, used)])
     count = reduce(Column.__add__, used)
@@ -161,8 +160,8 @@ def capacity_flag(accounts: DataFrame) -> DataFrame:
     return accounts.withColumn("potential_high_capacity", flag)
 
 
-def has_flags(accounts: DataFrame, n: int = 20) -> DataFrame:
-    """has_<column> for the first n numeric columns that vary.
+def has_flags(accounts: DataFrame, n: int | None = None) -> DataFrame:
+    """has_<column> for all numeric columns that vary, or the first n.
 
     Which columns vary decides the output columns, so one aggregated row is read at plan time.
     """

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from almoner.functions.predicates import op_not_blank
 from almoner.session import materialize
 
+# lists of at most this many keys, after a count, are sent along instead of being shuffled to
+SMALL_ROWS = 100_000
+SALTS = 16
+
 
 def children(fact: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Child rows of the given parents."""
@@ -34,31 +38,32 @@ def with_profile(metrics: DataFrame, accounts: DataFrame, key: str = "account_id
 def match_campaigns(gifts: DataFrame, campaigns: DataFrame, gift_id: str, gift_name: str) -> DataFrame:
     """Gift rows with the campaign_id of every campaign they name by id or by name, each pair once.
 
-    Both keys are looked up in one pass over the gifts, instead of one OR join or two scans.
+    The few distinct (id, name) pairs of the gifts are matched, and the gifts meet the result in one join: without
+    moving when it was counted to be small enough to send along, else with both keys salted.
     """
-    by_id = campaigns.select(F.col("campaign_id").alias(gift_id), F.col("campaign_id").alias("__same_id"))
-    by_name = campaigns.groupBy(F.col("campaign_name").alias(gift_name)).agg(
-        F.collect_set("campaign_id").alias("__same_name")
-    )
-    one = F.array("__same_id")
-    named = F.when(F.col("__same_name").isNull(), one).otherwise(F.concat(one, "__same_name"))
-    ids = F.array_distinct(F.array_compact(named))
-    return (
-        gifts.join(by_id, gift_id, "left")
-        .join(by_name, gift_name, "left")
-        .withColumn("campaign_id", F.explode(ids))
-        .drop("__same_id", "__same_name")
-    )
+    pairs = gifts.select(F.col(gift_id).alias("__id"), F.col(gift_name).alias("__name")).distinct()
+    known = campaigns.select("campaign_id", "campaign_name")
+    by_id = pairs.join(known, F.col("__id") == F.col("campaign_id"))
+    by_name = pairs.join(known, F.col("__name") == F.col("campaign_name"))
+    matched = materialize(by_id.union(by_name).select("__id", "__name", "campaign_id").distinct())
+    same = F.col(gift_id).eqNullSafe(F.col("__id")) & F.col(gift_name).eqNullSafe(F.col("__name"))
+    if matched.count() <= SMALL_ROWS:
+        return gifts.join(F.broadcast(matched), same).drop("__id", "__name")
+    copies = matched.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = gifts.withColumn("__salt", F.pmod(F.xxhash64(*gifts.columns), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, same & (F.col("__salt") == F.col("__copy"))).drop("__id", "__name", "__copy", "__salt")
 
 
 def campaign_join(campaigns: DataFrame, donations: DataFrame) -> DataFrame:
     """Donations per campaign by id or by name, each pair once; empty campaigns keep one null row."""
     id_name, name_name = "donation_campaign_id", "donation_campaign_name"
-    matched = match_campaigns(donations, campaigns, id_name, name_name).join(campaigns, "campaign_id")
-    # distinct pairs of keys are about as few as campaigns, and are looked at twice
-    pairs = materialize(
-        donations.select(F.col(id_name).alias("campaign_id"), F.col(name_name).alias("campaign_name")).distinct()
-    )
+    matched = match_campaigns(donations, campaigns, id_name, name_name)
+    if campaigns.count() <= SMALL_ROWS:
+        matched = matched.join(F.broadcast(campaigns), "campaign_id")
+    else:
+        matched = matched.join(campaigns, "campaign_id")
+    pairs = donations.select(F.col(id_name).alias("campaign_id"), F.col(name_name).alias("campaign_name")).distinct()
+    pairs = materialize(pairs)
     empty = campaigns.join(pairs, "campaign_id", "left_anti").join(pairs, "campaign_name", "left_anti")
     return matched.unionByName(empty, allowMissingColumns=True)
 
@@ -67,7 +72,8 @@ def _last_per_key(chunk: DataFrame, pk: str, seq: str | None) -> DataFrame:
     columns = [c for c in chunk.columns if c not in (pk, seq)]
     kept = chunk.where(F.col(pk).isNotNull())
     row = F.struct(*columns) if columns else F.struct(F.lit(1).alias("__none"))
-    order = F.col(seq) if seq else F.lit(0)
+    # equal numbers, or none at all, leave the choice to the values
+    order = F.struct(F.col(seq).alias("__seq"), row.alias("__row")) if seq else row
     return kept.groupBy(pk).agg(F.max_by(row, order).alias("__row"))
 
 
@@ -75,7 +81,8 @@ def merge_column_chunks(chunks: Sequence[DataFrame], pk: str, seq: str | None =
     """One row per key of the first chunk with the columns of all of them.
 
     Later chunks win on a shared column even with a null; columns of an absent chunk row stay null.
-    A key repeated in a chunk is settled by the largest `seq`.
+    A key repeated in a chunk is settled by the largest `seq`, and by the largest row where `seq` is equal or not
+    given: a table has no last row, but the choice is the same for any partitioning.
     """
     first, *rest = chunks
     out = _last_per_key(first, pk, seq).select(pk, "__row.*").drop("__none")

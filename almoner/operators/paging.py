@@ -44,13 +44,16 @@ def page_after(df: DataFrame, pk: str, last: object | None, size: int) -> DataFr
 
 
 def page(df: DataFrame, pk: str, number: int, size: int) -> DataFrame:
-    """Page by 0-based number, found by global rank."""
+    """Page by 0-based number, found by the global rank of the unique key."""
     _check_size(size)
     if number < 0:
         raise ValueError("page number must not be negative")
-    ranked = global_rank(df, [F.asc(pk)], "__rank")
+    # the keys alone are ranked; their bounds then reach the scan of the whole rows
     first = number * size
-    return ranked.where(F.col("__rank").between(first + 1, first + size)).drop("__rank")
+    ranked = global_rank(df.select(pk), [F.asc(pk)], "__rank")
+    bounds = ranked.where(F.col("__rank").between(first + 1, first + size)).agg(F.min(pk).alias("low"), F.max(pk).alias("high"))
+    found = bounds.first()
+    return df.where("false") if found["low"] is None else df.where(F.col(pk).between(found["low"], found["high"]))
 
 
 def page_numbers(df: DataFrame, pk: str, size: int) -> DataFrame:
@@ -94,7 +97,8 @@ def argmax(df: DataFrame, metric: str, key: str) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """First row per key by `order`, combined before the shuffle."""
+    """First row per key by `order`, then by the row itself, combined before the shuffle."""
     rest = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+    line = F.struct(F.struct(*order).alias("__order"), F.struct(*rest).alias("__row"))
+    picked = df.groupBy(key).agg(F.min(line).alias("__first")).select(key, "__first.__row")
     return picked.select(key, "__row.*").select(*df.columns)

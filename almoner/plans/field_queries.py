@@ -497,15 +497,48 @@ def _overrides(crm):
     return own.unionByName(none)
 
 
-def _matrix_sql():
-    rows = []
-    for role, grants in G.ROLE_GRANTS.items():
-        more = {r: given for group, given in grants.items() for r in group}
-        rows += [f"('{role}', '{r}', '{p}')" for r in G.RESOURCES for p in more.get(r, ("read",))]
-    return f"matrix(role, resource, permission) AS (VALUES {', '.join(rows)})"
-
-
-USERS = f"""WITH {_matrix_sql()},
+# Every role's cells, written out again on this side: role, permissions, resources.
+MATRIX_SQL = """matrix(role, resource, permission) AS (
+  SELECT role, unnest(string_split(resources, ' ')), permission
+  FROM (SELECT role, resources, unnest(string_split(permissions, ' ')) AS permission FROM (VALUES
+  ('viewer', 'read',
+    'accounts activities addresses campaigns custom_fields custom_objects donations events grants ' ||
+    'households memberships online_store orders payments pledges properties recurring_donations ' ||
+    'soft_credits volunteers webhooks'),
+  ('editor', 'read write update',
+    'accounts activities addresses campaigns donations events grants households memberships online_store ' ||
+    'pledges recurring_donations soft_credits volunteers'),
+  ('editor', 'read',
+    'custom_fields custom_objects properties webhooks'),
+  ('editor', 'read update',
+    'orders payments'),
+  ('admin', 'admin',
+    'accounts activities addresses campaigns custom_fields custom_objects donations events grants ' ||
+    'households memberships online_store orders payments pledges properties recurring_donations ' ||
+    'soft_credits volunteers webhooks'),
+  ('fundraiser', 'read write update',
+    'accounts activities addresses campaigns donations grants pledges recurring_donations soft_credits'),
+  ('fundraiser', 'read',
+    'custom_fields custom_objects events households memberships online_store orders payments properties ' ||
+    'volunteers webhooks'),
+  ('event_manager', 'read write update',
+    'accounts activities addresses volunteers'),
+  ('event_manager', 'read',
+    'campaigns custom_fields custom_objects donations grants households memberships online_store orders ' ||
+    'payments pledges properties recurring_donations soft_credits webhooks'),
+  ('event_manager', 'read write update delete',
+    'events'),
+  ('volunteer_coordinator', 'read write update',
+    'accounts activities addresses'),
+  ('volunteer_coordinator', 'read',
+    'campaigns custom_fields custom_objects donations events grants households memberships online_store ' ||
+    'orders payments pledges properties recurring_donations soft_credits webhooks'),
+  ('volunteer_coordinator', 'read write update delete',
+    'volunteers')
+  ) AS cells(role, permissions, resources)))"""
+
+
+USERS = f"""WITH {MATRIX_SQL},
 users AS (SELECT account_id AS user_id, CASE WHEN balance < 0 THEN 'volunteer_coordinator' ELSE CASE account_type WHEN 'BUILDING' THEN 'viewer' WHEN 'MACHINERY' THEN 'editor'
   WHEN 'AUTOMOBILE' THEN 'admin' WHEN 'FURNITURE' THEN 'fundraiser' ELSE 'event_manager' END END AS role FROM accounts),
 over AS (SELECT account_id AS user_id, 'donations' AS resource, 'delete' AS permission FROM accounts WHERE balance > 9000 UNION ALL SELECT account_id, 'accounts', NULL FROM accounts WHERE balance < 100),
@@ -542,6 +575,20 @@ def _(crm):
     return _users(crm).join(F.broadcast(matrix.where(F.col("resource") == "events")), "role").select("user_id", "permission")
 
 
+@query(
+    "G4_require",
+    USERS
+    + """, asked(resource, permission) AS (VALUES ('donations', 'read'), ('donations', 'delete'), ('accounts', 'update'), ('events', 'write'), ('webhooks', 'admin'))
+    SELECT u.user_id, a.resource, a.permission, count(p.user_id) > 0 AS allowed FROM users u CROSS JOIN asked a
+      LEFT JOIN perms p ON p.user_id = u.user_id AND p.resource = a.resource AND p.permission IN (a.permission, 'admin')
+    GROUP BY u.user_id, a.resource, a.permission""",
+)
+def _(crm):
+    asked = [("donations", "read"), ("donations", "delete"), ("accounts", "update"), ("events", "write"), ("webhooks", "admin")]
+    perms = G.effective_permissions(_users(crm), G.role_matrix(crm.spark), _overrides(crm))
+    return G.allowed(_users(crm), perms, asked)
+
+
 @query("G5_row_rule", "SELECT donation_id FROM donations WHERE amount < 10000")
 def _(crm):
     return G.row_rule(crm.donations, "viewer", {"viewer": "amount < 10000"}).select("donation_id")

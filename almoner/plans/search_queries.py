@@ -12,8 +12,9 @@ from almoner.operators import search as Q
 from almoner.operators import sets as U
 from almoner.plans.registry import query
 from almoner.plans.standins import AS_OF
+from almoner.session import scratch_folder
 from almoner.sources import shaping, sinks
-from almoner.sources.resources import get_by_key
+from almoner.sources.resources import get_by_key, primary_key, properties, read_resource
 
 
 @query(
@@ -22,8 +23,19 @@ from almoner.sources.resources import get_by_key
     FROM accounts GROUP BY account_type""",
 )
 def _(crm):
-    return crm.accounts.groupBy("account_type").agg(
-        F.count("*").alias("n"), F.sum(F.col("balance").cast("decimal(18,2)")).cast("double").alias("balance")
+    # written without types, and read back as the declared accounts resource
+    folder = scratch_folder(crm.spark)
+    raw = crm.accounts.select(
+        F.col("account_id").cast("string").alias("accountId"),
+        F.col("account_type").alias("userType"),
+        F.col("first_name").alias("firstName"),
+        F.col("balance").cast("string").alias("lastName"),
+    )
+    raw.write.json(f"{folder}/accounts")
+    read = read_resource(crm.spark, f"{folder}/accounts", "accounts", "json")
+    return read.groupBy(F.col("userType").alias("account_type")).agg(
+        F.count(primary_key("accounts")).alias("n"),
+        F.sum(F.col("lastName").cast("decimal(18,2)")).cast("double").alias("balance"),
     )
 
 
@@ -84,7 +96,10 @@ def _(crm):
     """SELECT account_id, account_type, city, state, email FROM accounts""",
 )
 def _(crm):
-    return sinks.prospect_columns(crm.accounts)
+    folder = scratch_folder(crm.spark)
+    sinks.export_prospects(crm.accounts, folder)
+    schema = "account_id bigint, account_type string, city string, state string, email string"
+    return read_resource(crm.spark, folder, fmt="csv", schema=schema, header="true")
 
 
 VOLUNTEER_EXPORT = """WITH counted AS (
@@ -187,8 +202,20 @@ _predicate_query("P7_op_le", "created", "LESS_AND_EQUAL", AS_OF.replace(year=199
 _predicate_query("P8_op_ge", "balance", "GREATER_AND_EQUAL", 5000, "balance >= 5000")
 _predicate_query("P9_op_in", "state", "IN_RANGE", ["NATION_1", "NATION_7"], "state IN ('NATION_1', 'NATION_7')")
 _predicate_query("P10_op_not_in", "phone", "NOT_IN_RANGE", ["1"], "phone IS NULL OR phone NOT IN ('1')")
-_predicate_query("P11_op_contain", "email", "CONTAIN", "00.EXAMPLE", "contains(lower(email), '00.example')")
-_predicate_query("P11_op_contain_literal", "email", "CONTAIN", "%", "contains(email, '%')")
+_predicate_query("P11_op_contain", "email", "CONTAIN", "7@EXAMPLE", "contains(lower(email), '7@example')")
+
+
+@query(
+    "P11_op_contain_literal",
+    """SELECT doc_id, contains(text, '%') AS percent, contains(text, '_') AS line FROM documents
+      WHERE contains(text, '%') OR contains(text, '_')""",
+)
+def _(crm):
+    # signs that a pattern would take for wildcards, in whole texts
+    marks = {"percent": predicate(F.col("text"), "CONTAIN", "%"), "line": predicate(F.col("text"), "CONTAIN", "_")}
+    return crm.table("documents").withColumns(marks).where("percent or line").select("doc_id", *marks)
+
+
 _predicate_query("P12_op_not_contain", "email", "NOT_CONTAIN", "@", "email IS NULL OR NOT contains(email, '@')")
 _predicate_query("P13_op_between", "balance", "BETWEEN", "100|900", "balance BETWEEN 100 AND 900")
 _predicate_query("P14_op_in_list", "state", "IN", "NATION_2, NATION_3", "state IN ('NATION_2', 'NATION_3')")
@@ -479,9 +506,11 @@ def _(crm):
 
 @query("L16_properties", "SELECT DISTINCT o_orderpriority AS id, substr(o_orderpriority, 3) AS name FROM orders")
 def _(crm):
-    return U.distinct_keys(crm.table("orders"), "o_orderpriority").select(
-        F.col("o_orderpriority").alias("id"), F.expr("substr(o_orderpriority, 3)").alias("name")
-    )
+    folder = scratch_folder(crm.spark)
+    found = U.distinct_keys(crm.table("orders"), "o_orderpriority")
+    found = found.select(F.col("o_orderpriority").alias("id"), F.expr("substr(o_orderpriority, 3)").alias("name"))
+    found.write.parquet(f"{folder}/sources.parquet")
+    return properties(crm.spark, folder, "sources")
 
 
 @query(
@@ -536,7 +565,9 @@ def _(crm):
     keys = crm.table("events").select(
         F.when(F.col("value") < 20, F.col("event_id").cast("string")).otherwise(kind).alias("k")
     )
-    return global_rank(keys, P.key_order("k"), "position")
+    # the place a row has in the ordered frame
+    placed = P.order_by_key(keys, "k").withColumn("at", F.monotonically_increasing_id())
+    return global_rank(placed, [F.asc("at")], "position").drop("at")
 
 
 @query(

@@ -153,15 +153,34 @@ def _kpi(crm):
     )
 
 
-def _rules_sql():
-    cell = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}::DOUBLE"
-    return ", ".join("(" + ", ".join(cell(v) for v in rule) + ")" for rule in R.RULES)
+# The rules, written out again on this side.
+RULES_SQL = """
+  ('Donor Retention', 'HIGH', 'retention_rate', NULL, NULL, 50.0::DOUBLE),
+  ('Revenue Diversification', 'MEDIUM', 'major_share', 60.0::DOUBLE, NULL, NULL),
+  ('Donor Development', 'HIGH', 'repeat_rate', NULL, NULL, 40.0::DOUBLE),
+  ('Reactivation', 'MEDIUM', 'lapsed_share', 30.0::DOUBLE, NULL, NULL),
+  ('Geographic Expansion', 'LOW', 'top_state_share', 70.0::DOUBLE, NULL, NULL),
+  ('Gift Frequency', 'MEDIUM', 'avg_gifts', NULL, NULL, 2.5::DOUBLE),
+  ('Low Opportunity Engagement', 'HIGH', 'opportunity_rate', NULL, NULL, 30.0::DOUBLE),
+  ('Opportunity Engagement', 'MEDIUM', 'opportunity_rate', NULL, 30.0::DOUBLE, 60.0::DOUBLE),
+  ('Strong Opportunity Engagement', 'STRENGTH', 'opportunity_rate', NULL, 60.0::DOUBLE, NULL),
+  ('Group Organization', 'MEDIUM', 'group_rate', NULL, NULL, 40.0::DOUBLE),
+  ('Volunteer Recruitment', 'GROWTH', 'total_volunteers', NULL, NULL, 50.0::DOUBLE),
+  ('Low Opportunity Assignment', 'ATTENTION', 'avg_opportunities', NULL, NULL, 1.5::DOUBLE),
+  ('Geographic Diversity', 'STRENGTH', 'states', 3.0::DOUBLE, NULL, NULL),
+  ('Limited Group Structure', 'ORGANIZATION', 'groups', NULL, NULL, 3.0::DOUBLE),
+  ('Low Program Utilization', 'HIGH', 'utilisation', NULL, NULL, 60.0::DOUBLE),
+  ('Donation Optimization', 'GROWTH', 'avg_gift', NULL, NULL, 100.0::DOUBLE),
+  ('Cross-Program Development', 'OPPORTUNITY', 'donor_percentage', NULL, NULL, 25.0::DOUBLE),
+  ('Member Conversion', 'HIGH', 'member_non_donors', 0.0::DOUBLE, NULL, NULL),
+  ('Volunteer Appreciation', 'MEDIUM', 'volunteer_non_donors', 0.0::DOUBLE, NULL, NULL),
+  ('Event Follow-up', 'MEDIUM', 'event_non_donors', 0.0::DOUBLE, NULL, NULL)"""
 
 
 @query(
     "R11_apply_rules",
     KPI
-    + f""", rules(area, priority, metric, above, at_least, below) AS (VALUES {_rules_sql()}),
+    + f""", rules(area, priority, metric, above, at_least, below) AS (VALUES {RULES_SQL}),
     long AS (UNPIVOT (SELECT repeat_rate, avg_gifts, lapsed_share, donor_percentage, opportunity_rate, states::DOUBLE AS states, groups::DOUBLE AS groups FROM kpi)
       ON COLUMNS(*) INTO NAME metric VALUE value)
     SELECT area, priority, rules.metric, value FROM rules JOIN long ON long.metric = rules.metric

@@ -26,11 +26,42 @@ NAMES_SQL = (
 )
 
 
-def _list(words):
-    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
-
-
-EXPAND_SQL = "MAP {" + ", ".join(f"'{w}': {_list(o)}" for w, o in T.expansions().items()) + "}"
+# The tables are written out again on this side, so that a wrong entry in the library shows.
+EXPAND_SQL = """(SELECT MAP(list(word), list(others)) FROM (
+  SELECT word, list_sort(list(DISTINCT other)) AS others FROM (
+    SELECT short AS word, full_form AS other FROM (VALUES
+    ('addr', 'address'), ('st', 'street'), ('ave', 'avenue'), ('rd', 'road'), ('dr', 'drive'), ('ln', 'lane'),
+    ('blvd', 'boulevard'), ('ct', 'court'), ('apt', 'apartment'), ('ste', 'suite'), ('bldg', 'building'),
+    ('ph', 'phone'), ('tel', 'telephone'), ('mob', 'mobile'), ('fax', 'facsimile'),
+    ('email', 'electronic mail'), ('dob', 'date of birth'), ('ssn', 'social security number'),
+    ('id', 'identifier'), ('num', 'number'), ('qty', 'quantity'), ('amt', 'amount'), ('org', 'organization'),
+    ('corp', 'corporation'), ('co', 'company'), ('dept', 'department'), ('mgr', 'manager'),
+    ('rep', 'representative'), ('info', 'information'), ('desc', 'description'), ('temp', 'temporary'),
+    ('pref', 'preference'), ('req', 'required'), ('opt', 'optional'), ('vol', 'volunteer'), ('mem', 'member'),
+    ('sub', 'subscriber'), ('reg', 'registration'), ('cert', 'certificate'), ('qual', 'qualification')
+    ) AS a(short, full_form)
+    UNION ALL SELECT head, unnest(words) FROM synonyms
+    UNION ALL SELECT unnest(words), head FROM synonyms
+    UNION ALL SELECT w.word, o.other FROM (SELECT head, unnest(words) AS word FROM synonyms) w
+      JOIN (SELECT head, unnest(words) AS other FROM synonyms) o ON o.head = w.head)
+  GROUP BY word))"""
+SYNONYMS_SQL = """synonyms(head, words) AS (VALUES
+    ('address', ['location', 'residence', 'home', 'place', 'site']),
+    ('phone', ['telephone', 'mobile', 'cell', 'contact']),
+    ('email', ['mail', 'electronic_mail', 'contact']),
+    ('name', ['title', 'label', 'designation']),
+    ('first_name', ['given_name', 'forename']),
+    ('last_name', ['surname', 'family_name']),
+    ('company', ['organization', 'business', 'employer', 'corporation']),
+    ('donation', ['gift', 'contribution', 'pledge']),
+    ('volunteer', ['service', 'help', 'assist']),
+    ('member', ['subscriber', 'participant', 'supporter']),
+    ('event', ['activity', 'program', 'meeting']),
+    ('date', ['time', 'when', 'timestamp']),
+    ('amount', ['value', 'total', 'sum', 'cost', 'price']),
+    ('type', ['kind', 'category', 'classification']),
+    ('status', ['state', 'condition', 'situation']))"""
+STOP_SQL = "('a', 'an', 'the', 'of', 'for', 'in', 'on', 'at', 'to', 'is', 'are', 'and', 'or')"
 
 
 def _words(c):
@@ -40,7 +71,7 @@ def _words(c):
 def _meaning(c):
     spaced = f"regexp_replace({c}, '([a-z])([A-Z])', '\\1 \\2', 'g')"
     words = f"regexp_split_to_array(lower(regexp_replace({spaced}, '[_\\-\\.]+', ' ', 'g')), '\\s+')"
-    return f"list_filter({words}, lambda w: length(w) > 2 AND w NOT IN {T.STOP_WORDS})"
+    return f"list_filter({words}, lambda w: length(w) > 2 AND w NOT IN {STOP_SQL})"
 
 
 def _expanded(c):
@@ -59,7 +90,7 @@ def fuzzy_sql(asked="asked", names="names", name="fz"):
 
 
 def semantic_sql(asked="asked", names="names", name="sm"):
-    return f""", {name}_x AS (SELECT {EXPAND_SQL} AS m),
+    return f""", {SYNONYMS_SQL}, {name}_x AS (SELECT {EXPAND_SQL} AS m),
 {name}_q AS (SELECT q, {_expanded(_meaning('q'))} AS wa FROM {asked}, {name}_x AS x),
 {name}_n AS (SELECT n, {_expanded(_meaning('n'))} AS wb FROM {names}, {name}_x AS x),
 {name} AS (SELECT q, n, CASE WHEN lower(q) = lower(n) THEN 1.0::DOUBLE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0::DOUBLE
@@ -142,7 +173,7 @@ def _(crm):
 @query(
     "Q5_expand_words",
     NAMES_SQL
-    + f""", x AS (SELECT {EXPAND_SQL} AS m), e AS (SELECT q, unnest({_expanded(_meaning('q'))}) AS word FROM asked, x) SELECT q AS query, word FROM e""",
+    + f""", {SYNONYMS_SQL}, x AS (SELECT {EXPAND_SQL} AS m), e AS (SELECT q, unnest({_expanded(_meaning('q'))}) AS word FROM asked, x) SELECT q AS query, word FROM e""",
 )
 def _(crm):
     words = T.expand_words(T.meaningful_words(F.col("query")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder once, so later uses read it instead of recomputing it."""
     ensure_checkpoint_dir(df.sparkSession)
