@@ -89,19 +89,21 @@ class ByteEncoder:
         if not self.words:
             found = self.model.encode_batch_fast(texts, add_special_tokens=False)
             return [array(self.type, e.ids).tobytes() for e in found]
-        plain, spaced, cut = set(), set(), []
+        plain, spaced, cut = {"\n"}, set(), []
         for text in texts:
-            lines = [line.split(" ") for line in text.split("\n")]
-            simple = sum(map(len, lines)) == len(text.split()) and not any("" in words for words in lines)
+            flat = text.replace("\n", " ")
+            # no white space but single spaces and line feeds, each between two visible characters
+            simple = bool(text) and flat.isprintable() and "  " not in flat and flat[0] != " " != flat[-1]
             if simple:
+                lines = [line.split(" ") for line in text.split("\n")]
                 for words in lines:
-                    plain.add(words[0])
-                    spaced.update(words[1:])
+                    rest = iter(words)
+                    plain.add(next(rest))
+                    spaced.update(rest)
             else:
                 lines = _GAP.split(text) if text else []
                 plain.update(lines)
             cut.append((simple, lines))
-        plain.add("\n")
         self._learn(self.plain, plain, "")
         self._learn(self.spaced, spaced, " ")
         first, later, newline = self.plain.__getitem__, self.spaced.__getitem__, self.plain["\n"]
@@ -110,9 +112,10 @@ class ByteEncoder:
             parts: list[bytes] = []
             if simple:
                 for words in lines:
+                    rest = iter(words)
                     parts.append(newline)
-                    parts.append(first(words[0]))
-                    parts += map(later, words[1:])
+                    parts.append(first(next(rest)))
+                    parts += map(later, rest)
                 del parts[0]
             else:
                 parts += map(first, lines)
@@ -144,13 +147,12 @@ def train_dictionary(
     The texts are taken by hash of id and length; b'' if there are too few to train on.
     """
     text = F.col(text_col).cast("string")
-    rows = (
-        docs.where(F.length(text).between(1, sample_chars))
-        .select(F.xxhash64(F.col(id_col), F.length(text)).alias("h"), text.alias("text"))
-        .orderBy("h", "text")
-        .limit(sample_rows)
-        .collect()
+    usable = docs.where(F.length(text).between(1, sample_chars)).select(
+        F.xxhash64(F.col(id_col), F.length(text)).alias("h"), text.alias("text")
     )
+    # the hashes alone are ranked, so that no task sends more than its share of the texts
+    last = usable.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    rows = usable.where(F.col("h") <= F.lit(last)).orderBy("h", "text").limit(sample_rows).collect()
     samples = encoder(tokenizer_file).encode([r.text for r in rows])
     try:
         return zstandard.train_dictionary(size, samples).as_bytes() if samples else b""
