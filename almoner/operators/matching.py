@@ -2,7 +2,9 @@
 
 Every query is scored against every name, because the thresholds are low enough that no key the
 two must share can be joined on. Pairs are never emitted: a chunk of the catalogue travels as an
-array, each query row keeps only its own best matches, and the chunks' winners are merged.
+array, each query row keeps only its own best matches, and the chunks' winners are merged. The plan is
+the same for every size. An index on shared words would emit, for a word that many names have, all pairs of
+queries and names with it, and most fuzzy matches share no word at all.
 """
 
 from __future__ import annotations
@@ -13,13 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.functions import text as T
-from almoner.operators.ranks import attach
 from almoner.session import materialize
 
 # A chunk of the catalogue holds about this many names, and fewer when they are long.
 CHUNK_NAMES = 4096
 CHUNK_CHARS = 4_000_000
-SALTS = 16
 
 Score = Callable[[Column, Column], Column]
 
@@ -60,24 +60,20 @@ def _match(
     )
     kept = _distinct(names, name, "name")
     catalog = kept.withColumn("parts", parts(F.col("name")))
-    # how many names there are and how long they are decides how many chunks they are cut into
+    # the catalogue's size decides how many chunks it is cut into; with the copies for the salts there is
+    # work for as many tasks as the session's shuffles have
     size = kept.agg(
         F.count("name").alias("n"), F.coalesce(F.sum(F.length("name")), F.lit(0)).alias("chars")
     ).first()
-    chunks = max(-(-size["n"] // chunk_names), -(-size["chars"] // CHUNK_CHARS))
-    if chunks <= 1:
-        held = attach(asked, catalog.agg(_chunk(["name", "parts"])), "held")
-        best = _best(F.col("parts"), F.col("held")["entries"], score, threshold, k)
-        return held.select("query", F.posexplode(best).alias("pos", "m")).select(
-            "query", "m.name", (-F.col("m.neg")).alias("score"), (F.col("pos") + 1).alias("rank")
-        )
+    chunks = max(1, -(-size["n"] // chunk_names), -(-size["chars"] // CHUNK_CHARS))
+    salts = max(1, -(-int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")) // chunks))
     in_chunk = F.pmod(F.xxhash64("name"), F.lit(chunks)).alias("chunk")
     held = (
         catalog.groupBy(in_chunk)
         .agg(_chunk(["name", "parts"]))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    spread = asked.withColumn("salt", F.pmod(F.xxhash64("query"), F.lit(SALTS)).cast("int")).withColumn(
+    spread = asked.withColumn("salt", F.pmod(F.xxhash64("query"), F.lit(salts)).cast("int")).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint")))
     )
     best = _best(F.col("parts"), F.col("entries"), score, threshold, k)

@@ -137,6 +137,53 @@ def _(crm):
     return E.score_all(E.fit_propensity(crm.features, MODEL_FEATURES))
 
 
+def _planted(crm):
+    """Accounts whose label follows from two features, so that models have something to find."""
+    gives = (F.col("has_phone") == 1) & ((F.col("is_company") == 1) | (F.col("events_attended") > 6))
+    return crm.features.withColumn("is_donor", gives.cast("int"))
+
+
+PLANTED = "planted AS (SELECT *, CASE WHEN has_phone = 1 AND (is_company = 1 OR events_attended > 6) THEN 1 ELSE 0 END AS gives FROM features)"
+
+
+@query(
+    "E9_test_share",
+    "WITH " + PLANTED + " SELECT gives AS is_donor, count(*) AS accounts, CAST(round(count(*) * 0.3) AS BIGINT) AS test_rows FROM planted GROUP BY gives",
+)
+def _(crm):
+    split = E.stratified_split(_planted(crm).select("account_id", "is_donor"), "account_id", "is_donor")
+    return split.groupBy("is_donor").agg(F.count("*").alias("accounts"), F.count_if("is_test").alias("test_rows"))
+
+
+@query(
+    "E9_planted_signal",
+    "SELECT model, true AS better_than_chance FROM (VALUES ('random_forest'), ('gradient_boosting'), ('logistic_regression')) AS m(model)",
+)
+def _(crm):
+    result = E.fit_propensity(_planted(crm), MODEL_FEATURES, trees=20, rounds=5)
+    rows = [(name, bool(auc > 0.6)) for name, auc in result.aucs.items()]
+    return crm.spark.createDataFrame(rows, "model string, better_than_chance boolean")
+
+
+@query(
+    "E10_bands_follow_scores",
+    "WITH " + PLANTED + """ SELECT count(*) AS accounts, count(*) AS in_range, count(*) AS consistent, true AS donors_score_higher FROM planted""",
+)
+def _(crm):
+    planted = _planted(crm)
+    scored = E.score_all(E.fit_propensity(planted, MODEL_FEATURES, trees=20, rounds=5))
+    s = F.col("score")
+    band = F.when(s > 0.7, "High").when(s > 0.5, "Medium").otherwise("Low")
+    agrees = (F.col("score_band") == band) & (F.col("high_propensity") == (s > 0.7).cast("int"))
+    means = [F.avg(F.when(F.col("is_donor") == k, s)) for k in (0, 1)]
+    return scored.join(planted.select("account_id", "is_donor"), "account_id").agg(
+        F.count("*").alias("accounts"),
+        F.count_if(s.between(0, 1)).alias("in_range"),
+        F.count_if(agrees).alias("consistent"),
+        (means[1] > means[0]).alias("donors_score_higher"),
+    )
+
+
 @query(
     "E10_score_bands",
     """WITH s AS (SELECT account_id, (is_company + has_recent_activity + has_phone) / 3.0::DOUBLE + 0.05::DOUBLE AS score FROM features)

@@ -8,6 +8,7 @@ from almoner.operators import aggregates as A
 from almoner.operators import cluster as K
 from almoner.operators import segments as R
 from almoner.operators import series as W
+from almoner.operators.ranks import attach
 from almoner.plans.aggregate_queries import YOY
 from almoner.plans.registry import query, rounded
 from almoner.plans.standins import AS_OF
@@ -230,3 +231,46 @@ def _(crm):
 @query("K2_cluster_profile")
 def _(crm):
     return K.cluster_profile(materialize(_clustered(crm)))
+
+
+@query(
+    "K1_clusters_hold_together",
+    """SELECT count(*) AS donors, 6 AS clusters, true AS cheaper_than_one_cluster, true AS nearest_centre FROM rfm""",
+)
+def _(crm):
+    """Every donor has a cluster, and nearly all are nearest to their own cluster's mean."""
+    names = ["recency_days", "frequency", "total_donated", "avg_donation", "tenure_days", "donor_age_days"]
+    rows = materialize(_clustered(crm).select("account_id", "cluster", *names))
+    facts = rows.agg(*[F.struct(F.avg(c).alias("m"), F.stddev(c).alias("s")).alias(c) for c in names])
+    unit = lambda c: F.try_divide(F.col(c) - F.col("__facts")[c]["m"], F.col("__facts")[c]["s"])
+    points = attach(rows, facts).select("account_id", "cluster", *[F.coalesce(unit(c), F.lit(0.0)).alias(c) for c in names])
+    means = points.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in names])
+    # six rows
+    centres = means.agg(F.collect_list(F.struct("cluster", *names)).alias("all"))
+    away = lambda m: sum((F.col(c) - m[c]) ** 2 for c in names)
+    held = attach(points, centres, "__c")
+    near = F.array_min(F.transform(F.col("__c")["all"], lambda m: F.struct(away(m).alias("d"), m["cluster"].alias("cluster"))))
+    own = F.filter(F.col("__c")["all"], lambda m: m["cluster"] == F.col("cluster"))[0]
+    whole = sum(F.col(c) ** 2 for c in names)
+    return held.agg(
+        F.count("*").alias("donors"),
+        F.count_distinct("cluster").cast("int").alias("clusters"),
+        (F.sum(away(own)) < F.sum(whole)).alias("cheaper_than_one_cluster"),
+        (F.avg((near["cluster"] == F.col("cluster")).cast("double")) > 0.95).alias("nearest_centre"),
+    )
+
+
+@query(
+    "K2_profile_adds_up",
+    """SELECT CAST(count(*) AS BIGINT) AS donors, round(sum(total_donated), 2) AS revenue, 100.0::DOUBLE AS revenue_share, true AS named FROM rfm""",
+)
+def _(crm):
+    """Cluster sizes, revenues and shares add up to those of all donors."""
+    names = ["Major Donors - Active", "Major Donors - Lapsed", "Frequent Givers", "Recent Donors", "Dormant Donors", "Occasional Donors"]
+    profile = K.cluster_profile(materialize(_clustered(crm)))
+    return profile.agg(
+        F.sum("donors").cast("bigint").alias("donors"),
+        F.round(F.sum("revenue"), 2).alias("revenue"),
+        F.round(F.sum("revenue_share"), 6).alias("revenue_share"),
+        F.every(F.col("cluster_name").isin(*names)).alias("named"),
+    )

@@ -277,3 +277,28 @@ def _(crm):
     )
     static = names.where(F.startswith("name", F.lit("event")))
     return M.accept_field(asked, static, part.select(F.col("p_name").alias("name")))
+
+
+WHOLE_NAMES = "WITH names AS (SELECT DISTINCT c_name AS n FROM customer UNION SELECT p_name FROM part), asked AS (SELECT DISTINCT p_name AS q FROM part)"
+
+
+@query("Q4_fuzzy_join_names", WHOLE_NAMES + fuzzy_sql() + best_sql("fz", "best", 0.3, 10) + "SELECT query, name, round(score, 9) AS score, rank FROM best")
+def _(crm):
+    """Whole part names against all customer and part names."""
+    parts = crm.table("part").select(F.col("p_name").alias("query"))
+    names = crm.table("customer").select(F.col("c_name").alias("name")).union(crm.table("part").select("p_name"))
+    return rounded(M.fuzzy_join(parts, names), "score", digits=9)
+
+
+WHOLE_TEXTS = "WITH names AS (SELECT DISTINCT text AS n FROM documents WHERE text <> ''), asked AS (SELECT DISTINCT text AS q FROM benchmark WHERE text <> '')"
+
+
+@query(
+    "Q7_semantic_join_texts",
+    WHOLE_TEXTS + semantic_sql() + best_sql("sm", "best", 0.1, 10) + "SELECT md5(query) AS query, md5(name) AS name, round(score, 9) AS score, rank FROM best",
+)
+def _(crm):
+    """Whole benchmark passages against whole documents; long texts are shown by their digest."""
+    asked = crm.table("benchmark").select(F.col("text").alias("query"))
+    found = M.semantic_join(asked, crm.table("documents").select(F.col("text").alias("name")))
+    return rounded(found.select(F.md5("query").alias("query"), F.md5("name").alias("name"), "score", "rank"), "score", digits=9)
