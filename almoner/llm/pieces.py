@@ -14,19 +14,22 @@ in a store of bounded size per Python worker.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"  # what the format puts for a space
-_STORE = 400_000  # words kept per worker; the store starts anew when full
+_STORE = 100_000  # words kept per worker; the store starts anew when full
 _LONG = 48  # characters; longer words are not kept
-_PAIRS = 500_000
-_SLICE = 4_000_000  # characters encoded before their rows are handed on
+_PAIRS = 200_000
+_SLICE = 1_000_000  # characters encoded before their rows are handed on
 
 
 class PieceEncoder:
@@ -205,6 +208,13 @@ def encoder(model_file: str) -> PieceEncoder:
     return _ENCODERS[model_file]
 
 
+def _column(values: tuple, kind: pa.DataType) -> pa.Array:
+    if not pa.types.is_list(kind):
+        return pa.array(list(values), kind)
+    ends = pa.array(accumulate(map(len, values), initial=0), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.frombuffer(v, np.int32) for v in values])))
+
+
 def encode_documents(
     docs: DataFrame,
     model_file: str,
@@ -244,10 +254,10 @@ def encode_documents(
                     hashlib.sha256(shown.encode()).hexdigest(),
                     hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
                 )
-                rows.append(row + (ids, back) if with_ids else row)
+                rows.append(row + (array("i", ids), back) if with_ids else row)
                 held += len(text)
                 if held >= _SLICE or k + 1 == batch.num_rows:
-                    made = [pa.array(list(c), kind) for c, (_, kind) in zip(zip(*rows), fields, strict=True)]
+                    made = [_column(c, kind) for c, (_, kind) in zip(zip(*rows), fields, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [keys.slice(start, len(rows)).cast(pa.int64()), *made], ["doc_id", *(n for n, _ in fields)]
                     )
