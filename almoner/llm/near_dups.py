@@ -34,7 +34,8 @@ from almoner.llm.components import components
 from almoner.session import materialize
 
 _U = np.uint64
-_BLOCK = 32  # members of a component compared at once
+_BLOCK = 256  # members of a component compared at once
+_BLOCK_SHINGLES = 1 << 18  # of all members of a block together, unless one has more
 _SLICE = 1 << 20  # bytes of text hashed at a time
 _rng = np.random.default_rng(20_240_131)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
@@ -366,14 +367,22 @@ def _links(texts: DataFrame, members: DataFrame, shingle: int, percent: int, hub
 
 
 def _blocks(state: DataFrame) -> DataFrame:
-    """(rep, n, own, block): every component cut into blocks of about _BLOCK members by hash.
+    """(rep, n, own, block): every component cut into blocks of about _BLOCK members of like n and own.
 
-    A block's number depends on its component's members, so it stands for the same members in every round.
+    Likeness (n within a fiftieth, own within a fiftieth of n) keeps the bound of a block close to those of its
+    members; blocks of long texts have fewer members. A block's number depends on its component's members, so it
+    stands for the same members in every round.
     """
     reps = state.groupBy("rep").agg(*(F.first(c).alias(c) for c in ("n", "own", "component")))
-    mass = reps.groupBy("component").agg(F.count("*").alias("c"))
-    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / _BLOCK))
-    return reps.join(mass, "component").select("rep", "n", "own", F.xxhash64("component", "c", part).alias("block"))
+    like = [F.floor(F.log("n") / math.log(1.02)).alias("size_class"), F.floor(F.col("own") * 50 / F.col("n")).alias("own_class")]
+    reps = reps.select("*", *like)
+    by = ["component", "size_class", "own_class"]
+    mass = reps.groupBy("component").agg(F.count("*").alias("all"))
+    part = reps.groupBy(*by).agg(F.count("*").alias("c"))
+    held = F.greatest(F.lit(1.0), F.least(F.lit(float(_BLOCK)), _BLOCK_SHINGLES / F.pow(F.lit(1.02), F.col("size_class"))))
+    spot = F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / held))
+    joined = reps.join(part, by).join(mass, "component")
+    return joined.select("rep", "n", "own", F.xxhash64(*by, "all", spot).alias("block"))
 
 
 def _tries(live: DataFrame, hub: DataFrame, blocks: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
