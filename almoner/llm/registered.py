@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from almoner.llm.chat import rotate_perspectives
 from almoner.llm.content_sort import exact_groups
+from almoner.llm.fill_middle import fill_in_middle, restore_text
 from almoner.llm.fingerprints import fingerprint_edits
 from almoner.llm.mixing import mix_sources
 from almoner.llm.near_dups import near_duplicates
 from almoner.llm.pieces import encode_documents
+from almoner.llm.resampling import resample_to_target
 from almoner.llm.secrets import scan_secrets
 from almoner.llm.token_files import new_folder, read_token_files, write_token_files
 from almoner.llm.toxicity import score_toxicity
 from almoner.llm.url_lists import filter_urls, host_of, url_key
+from almoner.llm.warc import archive_pages
+from almoner.session import scratch_folder
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -244,3 +248,56 @@ def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
     return filter_urls(pages.select("page_id", "url", day.alias("day")), dated_lists(pages))
+
+
+@query("op11_resample_target")
+def op11_resample_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample_to_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op12_fill_middle",
+    """
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS a,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM lines),
+parts AS (
+  SELECT *, array_to_string(list_slice(units, 1, least(a, b)), '') AS prefix,
+    array_to_string(list_slice(units, least(a, b) + 1, greatest(a, b)), '') AS middle,
+    array_to_string(list_slice(units, greatest(a, b) + 1, n), '') AS suffix
+  FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+""",
+)
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = restore_text(fill_in_middle(table(spark, sf_dir, "documents")))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256")
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query(
+    "op13_salvage_warc",
+    """
+WITH payloads AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads),
+kinds AS (SELECT *, payload_bytes >= 100 AND page_id IS DISTINCT FROM first AS again FROM firsts)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to
+FROM kinds
+""",
+)
+def op13_salvage_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"), scratch_folder(spark))
