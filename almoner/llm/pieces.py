@@ -13,8 +13,8 @@ in a store of bounded size per Python worker.
 
 from __future__ import annotations
 
+import gc
 import hashlib
-from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"  # what the format puts for a space
-_STORE = 100_000  # words kept per worker; the store starts anew when full
+_STORE = 64 << 20  # bytes of a generation of one store of words, about
+_ENTRY = 250  # bytes that a kept word takes beside its own and its ids' characters
 _LONG = 48  # characters; longer words are not kept
 _PAIRS = 200_000
 _SLICE = 1_000_000  # characters encoded before their rows are handed on
@@ -35,7 +36,8 @@ _SLICE = 1_000_000  # characters encoded before their rows are handed on
 class PieceEncoder:
     """Encoder and decoder of one merge-type model file with byte fallback, a dummy prefix and no rewriting."""
 
-    def __init__(self, model_file: str):
+    def __init__(self, model_file: str, store_bytes: int = _STORE):
+        self.store_bytes = store_bytes
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.ids, self.rank, self.bytes = {}, {}, {}
         for i in range(model.get_piece_size()):
@@ -53,9 +55,9 @@ class PieceEncoder:
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
             if len(piece) > 1:
-                self.automaton.add_word(piece[::-1], len(piece))
+                self.automaton.add_word(piece[::-1], piece)
         self.automaton.make_automaton()
-        self.shown = {piece: str(i) for piece, i in self.ids.items()}
+        self.shown = _Shown(self.ids, self.bytes)
         self.own = {piece: piece for piece in self.ids}
         self.shorter: dict[str, str] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -99,47 +101,43 @@ class PieceEncoder:
     def split(self, text: str) -> list[str]:
         """The merge encoding of `text` (marks for spaces, no dummy prefix added) as pieces."""
         n = len(text)
-        longest = [1] * n
-        for end, size in self.automaton.iter(text[::-1]):
-            start = n - 1 - end
-            if size > longest[start]:
-                longest[start] = size
-        failed = bytearray(n // 8 + 1)
+        longest, last = list(text), n
+        for end, piece in self.automaton.iter(text[::-1]):
+            if end != last:  # of the pieces that start at one place, the longest comes first
+                longest[n - 1 - end] = piece
+                last = end
+        failed, any_failed = bytearray(n // 8 + 1), False
         pieces: list[str] = []
-        at, piece = 0, text[: longest[0]] if n else ""
-        pairs = self.pairs
+        at, before, known = 0, "", self.pairs.get
         while at < n:
-            before = pieces[-1] if pieces else ""
-            while piece:
-                end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    known = pairs.get((before, piece))
-                    if self.fits(before, piece) if known is None else known:
+            piece = longest[at]
+            while True:
+                if not any_failed and known((before, piece)):
+                    break
+                while piece:
+                    end = at + len(piece)
+                    if not failed[end >> 3] >> (end & 7) & 1 and self.fits(before, piece):
                         break
-                piece = self.next_shorter(piece)
-            if piece:
-                pieces.append(piece)
-                at = end
-                piece = text[at : at + longest[at]] if at < n else ""
-            else:
+                    piece = self.next_shorter(piece)
+                if piece:
+                    break
+                # nothing valid starts here: step back and go on with the piece before, made shorter
                 failed[at >> 3] |= 1 << (at & 7)
+                any_failed = True
                 piece = pieces.pop()
                 at -= len(piece)
+                before = pieces[-1] if pieces else ""
                 piece = self.next_shorter(piece)
+            pieces.append(piece)
+            at += len(piece)
+            before = piece
         return pieces
 
     def word(self, text: str) -> str:
         """Ids of a piece of text (marks for spaces) in decimal, joined by spaces."""
         if len(text) <= 16 and text in self.ids and self.fits("", text):
             return self.shown[text]
-        out: list[str] = []
-        for piece in self.split(text):
-            known = self.shown.get(piece)
-            if known is None:  # a character outside the vocabulary: its bytes
-                out += [str(self.bytes[b]) for b in piece.encode("utf-8", "surrogatepass")]
-            else:
-                out.append(known)
-        return " ".join(out)
+        return " ".join(map(self.shown.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> str:
         """Ids of a whole text without end id, in decimal, joined by spaces."""
@@ -175,25 +173,38 @@ class PieceEncoder:
         return self.model.decode(ids)
 
 
+class _Shown(dict):
+    """Ids of pieces in decimal; those of a character outside the vocabulary are those of its bytes."""
+
+    def __init__(self, ids: dict[str, int], byte_ids: dict[int, int]):
+        super().__init__((piece, str(i)) for piece, i in ids.items())
+        self.byte_ids = byte_ids
+
+    def __missing__(self, piece: str) -> str:
+        return " ".join(str(self.byte_ids[b]) for b in piece.encode("utf-8", "surrogatepass"))
+
+
 class _Words(dict):
     """Encodings of words behind a fixed prefix, made when first asked for.
 
-    Two generations of at most _STORE words: when the young one is full it becomes the old one, and words
-    asked for again return from there, so that frequent words never leave.
+    Two generations of at most the encoder's store_bytes, about: when the young one is full it becomes the old one, and
+    words asked for again return from there, so that frequent words never leave.
     """
 
     def __init__(self, encoder: PieceEncoder, prefix: str):
         super().__init__()
-        self.encoder, self.prefix, self.old = encoder, prefix, {}
+        self.encoder, self.prefix, self.old, self.held = encoder, prefix, {}, 0
 
     def __missing__(self, word: str) -> str:
         made = self.old.get(word)
         if made is None:
             made = self.encoder.word(self.prefix + word)
         if len(word) <= _LONG:
-            if len(self) >= _STORE:
-                self.old = dict(self)
+            size = _ENTRY + len(word) + len(made)
+            if self.held + size > self.encoder.store_bytes:
+                self.old, self.held = dict(self), 0
                 self.clear()
+            self.held += size
             self[word] = made
         return made
 
@@ -201,10 +212,11 @@ class _Words(dict):
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
-def encoder(model_file: str) -> PieceEncoder:
+def encoder(model_file: str, store_bytes: int = _STORE) -> PieceEncoder:
     """The worker's encoder of a model file, loaded once per Python process."""
     if model_file not in _ENCODERS:
         _ENCODERS[model_file] = PieceEncoder(model_file)
+    _ENCODERS[model_file].store_bytes = store_bytes
     return _ENCODERS[model_file]
 
 
@@ -212,7 +224,7 @@ def _column(values: tuple, kind: pa.DataType) -> pa.Array:
     if not pa.types.is_list(kind):
         return pa.array(list(values), kind)
     ends = pa.array(accumulate(map(len, values), initial=0), pa.int32())
-    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.frombuffer(v, np.int32) for v in values])))
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values)))
 
 
 def encode_documents(
@@ -222,13 +234,15 @@ def encode_documents(
     text_col: str = "text",
     end_id: int | None = 2,
     with_ids: bool = True,
+    store_bytes: int = _STORE,
 ) -> DataFrame:
     """One row per document: doc_id, ids array<int>, decoded, n_tokens, ids_sha256, decoded_sha256.
 
     ids are those of the model's own library without sampling, then `end_id` (none if it is None). decoded is
     decode(ids). Null and empty texts have the end id only. Repeated rows give repeated results, an empty
     table none; null ids stay null and other columns are ignored. Nothing is shuffled. `model_file` must be
-    readable on every executor, as the libraries are. with_ids=False leaves out ids and decoded.
+    readable on every executor, as the libraries are. with_ids=False leaves out ids and decoded. A Python worker
+    keeps the ids of words in four stores of about `store_bytes` at most.
     """
     fields = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -237,31 +251,38 @@ def encode_documents(
         schema += ", ids array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(model_file)
-        for batch in batches:
-            texts, keys, start = batch.column(1), batch.column(0), 0
-            rows: list[tuple] = []
-            held = 0
-            for k in range(batch.num_rows):
-                text = texts[k].as_py() or ""
-                shown = coder.encode(text)
-                if end_id is not None:
-                    shown = f"{shown} {end_id}" if shown else str(end_id)
-                ids = list(map(int, shown.split()))
-                back = coder.decode(ids)
-                row = (
-                    len(ids),
-                    hashlib.sha256(shown.encode()).hexdigest(),
-                    hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
+        coder = encoder(model_file, store_bytes)
+        gc.disable()  # encoding makes no cycles, and a collection would visit every kept word
+        try:
+            for batch in batches:
+                yield from encode_batch(coder, batch)
+        finally:
+            gc.enable()
+
+    def encode_batch(coder: PieceEncoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts, keys, start = batch.column(1), batch.column(0), 0
+        rows: list[tuple] = []
+        held = 0
+        for k in range(batch.num_rows):
+            text = texts[k].as_py() or ""
+            shown = coder.encode(text)
+            if end_id is not None:
+                shown = f"{shown} {end_id}" if shown else str(end_id)
+            ids = np.fromstring(shown, np.int32, sep=" ")
+            back = coder.decode(ids.tolist())
+            row = (
+                len(ids),
+                hashlib.sha256(shown.encode()).hexdigest(),
+                hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
+            )
+            rows.append((*row, ids, back) if with_ids else row)
+            held += len(text)
+            if held >= _SLICE or k + 1 == batch.num_rows:
+                made = [_column(c, kind) for c, (_, kind) in zip(zip(*rows), fields, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(start, len(rows)).cast(pa.int64()), *made], ["doc_id", *(n for n, _ in fields)]
                 )
-                rows.append(row + (array("i", ids), back) if with_ids else row)
-                held += len(text)
-                if held >= _SLICE or k + 1 == batch.num_rows:
-                    made = [_column(c, kind) for c, (_, kind) in zip(zip(*rows), fields, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [keys.slice(start, len(rows)).cast(pa.int64()), *made], ["doc_id", *(n for n, _ in fields)]
-                    )
-                    start, rows, held = k + 1, [], 0
+                start, rows, held = k + 1, [], 0
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, schema

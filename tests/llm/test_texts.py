@@ -114,9 +114,8 @@ def test_pieces_of_random_texts():
         assert list(map(int, coder.encode(text).split())) == coder.model.encode(text), text
 
 
-def test_pieces_store_stays_bounded(monkeypatch):
-    monkeypatch.setattr("almoner.llm.pieces._STORE", 5)
-    coder = PieceEncoder(MODEL)
+def test_pieces_store_stays_bounded():
+    coder = PieceEncoder(MODEL, store_bytes=5 * 300)
     for k in range(40):
         text = f"w{k} common v{k * k}"
         assert list(map(int, coder.encode(text).split())) == coder.model.encode(text)
