@@ -6,18 +6,20 @@ the slots without repetition, which makes the estimate less noisy than independe
 whose slots are all filled after rank j is finished, since later ranks are larger: long texts need a round
 or two. The rounds run over all shingles of a slice of documents at once.
 
-Documents with the same shingle set are one class, and only its smallest id goes on. Classes that agree in a band
-are candidates. A bucket of candidates is never multiplied out: its members are compared with a few hubs, links
-are merged into components, and further hubs are drawn from members outside the bucket's largest component,
-until every pair from different components has been compared. So no link between candidates is lost, while
-a family of near copies costs about one comparison per member and band.
-
-A bound that costs no comparison comes first: shingles that no other candidate has are in no intersection. A
-copy edited so much that its own shingles alone keep it below the threshold links with nothing and
-leaves; a pair is compared only if its two counts of own shingles permit a link; and hubs are the
-members with the fewest, which in a family of copies are those next to its origin. Later hubs are compared with
-blocks of a component before its members: what a hub shares with the union of a block bounds what it
-shares with each member, so one comparison settles the whole block unless the bound permits a link.
+Documents with the same shingle set are one class, known by the sums of two hashes over it. Classes that agree in a
+band are candidates. A bucket of candidates is never multiplied out: its members are compared in full with one of
+them, its hub, a class that meets many others. Links so found are merged into components, and only pairs of one hub
+that lie in different components are left. For these a member is described by its deviation from the hub, the hub
+shingles it lacks and the shingles it adds: two members share no more than the smaller of their parts of
+the hub and the added shingles they have in common. So a pair can only be linked if
+
+* its parts of the hub alone reach the threshold, which bounds the sizes of partners and is an equi-join on size
+  classes, or
+* it shares added shingles, at least as many as the hub part leaves open, which is an equi-join on the rarest of
+  them (a prefix filter).
+
+Either join loses no link, and its pairs are compared on full sets. While added shingles are shared by very
+many members, as in a family within the family, one of these becomes a further hub first.
 """
 
 from __future__ import annotations
@@ -27,15 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.components import components
 from almoner.session import materialize
 
 _U = np.uint64
-_BLOCK = 256  # members of a component compared at once
-_BLOCK_SHINGLES = 1 << 18  # of all members of a block together, unless one has more
+_FAN = 256  # pairs that meet one copy of a hub's set
+_DENSE = 64  # pairs per row of deviations above which a further hub is tried first
+_SALTS = 8  # tasks a bucket's members are spread over
+_BITS = 1 << 24  # of the filter that spares most texts without a partner a second sketch; a multiple of 2 ** 15
 _SLICE = 1 << 20  # bytes of text hashed at a time
 _rng = np.random.default_rng(20_240_131)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
@@ -179,46 +183,60 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         at = end
 
 
+def _class_keys(elements: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """16 bytes per text, the sums of two hashes over its set: equal for equal sets."""
+    sums = []
+    for seed in (11, 23):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(elements + _U(seed)), dtype=np.uint64)])
+        sums.append(total[begin[1:]] - total[begin[:-1]])
+    raw = pa.py_buffer(np.stack(sums, 1).astype(">u8").tobytes())
+    return pa.Array.from_buffers(pa.binary(16), len(begin) - 1, [None, raw]).cast(pa.binary())
+
+
 def _sketch(k: int, bands: int, rows: int):
+    """Batches whose last column is the text: the columns before it, then set size, class and bucket keys."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end, data, offsets in _slices(batch.column(1)):
+            given, last = batch.schema.names[:-1], batch.num_columns - 1
+            for at, end, data, offsets in _slices(batch.column(last)):
                 elements, begin = shingle_sets(data, offsets, k)
-                sizes = np.diff(begin)
                 table = signatures(elements, begin, bands * rows)
                 keys = np.zeros((end - at, bands), np.uint64)
                 for j in range(rows):
                     keys = _mix(keys + table[:, j::rows][:, :bands])
                 keys = _mix(keys + np.arange(1, bands + 1, dtype=np.uint64))
-                one = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(elements + _U(11)), dtype=np.uint64)])
-                two = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(elements + _U(23)), dtype=np.uint64)])
-                digest = [x[begin[1:]] - x[begin[:-1]] for x in (one, two)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, end - at),
-                        pa.array(sizes.astype(np.int64)),
-                        *(pa.array(x.view(np.int64)) for x in digest),
+                        *(batch.column(j).slice(at, end - at) for j in range(last)),
+                        pa.array(np.diff(begin).astype(np.int64)),
+                        _class_keys(elements, begin),
                         pa.ListArray.from_arrays(
                             np.arange(0, (end - at) * bands + 1, bands, dtype=np.int32), keys.ravel().view(np.int64)
                         ),
                     ],
-                    ["doc_id", "n_shingles", "d1", "d2", "bands"],
+                    [*given, "n_shingles", "class", "bands"],
                 )
 
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, marked: np.ndarray):
+    """Batches of doc_id, place and text: doc_id, class and shingle set of the rows whose place is marked."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end, data, offsets in _slices(batch.column(1)):
+            places = batch.column(1).to_numpy()
+            rows = batch.filter(pa.array((marked[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)))
+            for at, end, data, offsets in _slices(rows.column(2)):
                 elements, begin = shingle_sets(data, offsets, k)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, end - at),
+                        rows.column(0).slice(at, end - at),
+                        _class_keys(elements, begin),
                         pa.ListArray.from_arrays(begin.astype(np.int32), elements.view(np.int64)),
                     ],
-                    ["rep", "shingles"],
+                    ["doc_id", "class", "shingles"],
                 )
 
     return run
@@ -237,7 +255,7 @@ def near_duplicates(
     percent: int = 80,
     rows: int = 5,
     miss: float = 2e-5,
-    hubs: int = 512,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -245,189 +263,237 @@ def near_duplicates(
     shingles, compared on full sets; component_id is the smallest id reachable over links. Words are runs of
     characters other than space and \\t to \\r, with A-Z lowered; a text of fewer words is one shingle. A
     linked pair of different sets is found unless it agrees in no band (probability `miss` at the threshold,
-    less above); every pair that agrees in one is compared or already joined. `hubs` bounds the comparisons of
-    one round per bucket, not their total.
+    less above); every pair that agrees in one is compared, ruled out by an exact bound, or already joined.
 
-    Null, empty and blank texts have no shingles and are linked with nothing. A row with a null id is
-    its own, null component and is kept. Rows that repeat an id are rows of their own; equal sets share
-    a component. An empty table gives an empty result; other columns are ignored.
+    Null, empty and blank texts have no shingles and are linked with nothing. Rows that repeat an id are rows
+    of their own, linked by their own texts only. Null ids are linked too; a component of null ids alone has a null
+    component_id, which counts as its rows' own. An empty table gives an empty result; other columns are ignored.
+
+    With row_col, a column that is different in every row, the result also has that column and `stays`, true for exactly
+    one row of each component: the smallest row of the smallest id. Rows without shingles all stay.
     """
     bands = bands_for(percent, rows, miss)
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    )
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    key = F.col(id_col).cast("long").alias("doc_id")
+    own = [F.col(row_col).cast("string").alias("row")] if row_col else []
     sketches = materialize(
-        texts.mapInArrow(
-            _sketch(shingle, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
+        docs.select(key, *own, text).mapInArrow(
+            _sketch(shingle, bands, rows),
+            "doc_id long, " + ("row string, " if own else "") + "n_shingles long, class binary, bands array<long>",
         )
     )
-    same = ["n_shingles", "d1", "d2"]
-    usable = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy(*same).agg(F.min(F.struct("doc_id", "bands")).alias("rep"))
-    classes = materialize(classes.select(*same, F.col("rep.doc_id").alias("rep"), "rep.bands"))
-    keys = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    members = materialize(keys.join(shared, "bucket").dropDuplicates(["bucket", "rep"]))
-    links = _links(texts, members, shingle, percent, hubs)
-    labels = components(links) if links is not None else None
-    own = F.col("doc_id")
-    out = sketches.drop("bands").join(classes.drop("bands"), same, "left")
-    if labels is not None:
-        out = out.join(labels, F.col("rep") == F.col("node"), "left")
-        component = F.coalesce("component", "rep", "doc_id")
+    # the number of a class is fixed by writing it
+    classes = materialize(
+        sketches.where("n_shingles > 0")
+        .groupBy("class")
+        .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id())
+    )
+    keys = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    shared = keys.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
+    members = materialize(_spread(keys, shared))
+    names = classes.select("class", "node", "first")
+    if not members.isEmpty():
+        wanted = names.join(members.select("node").distinct(), "node", "left_semi")
+        sets = materialize(_class_sets(docs.select(key, text), sketches, wanted, shingle))
+        labels = components(_links(sets, members, percent))
+        named = names.join(labels, "node", "left").withColumn("whole", F.coalesce("component", "node"))
+        smallest = named.groupBy("whole").agg(F.min("first").alias("component_id"))
+        names = named.select("class", "whole").join(smallest, "whole")
     else:
-        component = F.coalesce("rep", "doc_id")
-    component = F.when(own.isNotNull(), component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(own).alias("kept"))
+        names = names.select("class", F.col("node").alias("whole"), F.col("first").alias("component_id"))
+    out = sketches.drop("bands").join(names, "class", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    out = out.withColumn("component_id", component).withColumn("kept", component.eqNullSafe(F.col("doc_id")))
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    if not own:
+        return out.select(*columns)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row"))
+    stay = out.where("n_shingles > 0").groupBy("whole").agg(best.getField("row").alias("best"))
+    stays = (F.col("n_shingles") == 0) | (F.col("row") == F.col("best"))
+    return out.join(stay, "whole", "left").select(*columns, F.col("row").alias(row_col), stays.alias("stays"))
+
+
+def _spread(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """`rows` joined with one row of `facts` per bucket; a bucket's rows are dealt to several tasks."""
+    salted = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")).join(salted, ["bucket", "salt"]).drop("salt")
+
+
+def _class_sets(texts: DataFrame, sketches: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of the classes of `wanted` (class, node, first), each once.
+
+    The texts stay where they are: tasks know the wanted ids by a filter of a fixed number of bits, and only the sets of
+    ids it lets through move.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS))
+    several = materialize(sketches.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"))
+    asked = wanted.select(F.col("first").alias("doc_id")).union(several).select((place + 1).alias("p"))
+    words = asked.groupBy(F.bitmap_bucket_number("p").alias("word")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    marked = np.zeros(_BITS >> 3, np.uint8)
+    for r in words.collect():  # _BITS / 2 ** 15 rows of 4 KB
+        marked[(r.word - 1) << 12 : r.word << 12] = np.frombuffer(r.bits, np.uint8)
+    found = texts.select("doc_id", place.alias("place"), "text").mapInArrow(
+        _sets(shingle, marked), "doc_id long, class binary, shingles array<long>"
+    )
+    single = wanted.where("first is not null").select(F.col("first").alias("doc_id"), "node")
+    if several.isEmpty():
+        return found.join(single, "doc_id").select("node", "shingles")
+    once = found.join(single.join(several, "doc_id", "left_anti"), "doc_id").select("node", "shingles")
+    # rows of repeated and null ids stand for a class only if no other row does, and then once
+    ids = several.withColumnRenamed("doc_id", "id")
+    rest = wanted.join(ids, F.col("first").eqNullSafe(F.col("id")), "left_semi").select("class", "node")
+    again = found.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").join(rest, "class")
+    return once.unionByName(again.dropDuplicates(["node"]).select("node", "shingles"))
+
+
+def _reaches(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether sets of n_a and n_b shingles with `common` shared ones reach the threshold."""
+    return common * 100 >= (n_a + n_b - common) * percent
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, common) of pairs (a, b) on full sets; the set of an `a` in many pairs travels in copies."""
+    fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / _FAN).cast("int").alias("fan"))
+    dealt = pairs.join(fan, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("fan")).cast("int")).drop("fan")
+    left = sets.join(fan, F.col("node") == F.col("a")).select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"), F.col("shingles").alias("sa")
+    )
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    return dealt.join(right, "b").join(left, ["a", "salt"]).select(
+        "a",
+        "b",
+        F.size("sa").cast("long").alias("n_a"),
+        F.size("sb").cast("long").alias("n_b"),
+        F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"),
+    )
 
 
-def _permitted(n1: str, own1: str, n2: str, own2: str, percent: int) -> Column:
-    """Whether sets of n1 and n2 shingles, own1 and own2 of which nobody else has, can reach the threshold."""
-    common = F.least(F.col(n1) - F.col(own1), F.col(n2) - F.col(own2))
-    return common * 100 >= (F.col(n1) + F.col(n2) - common) * percent
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    return compared.where(_reaches(F.col("common"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def _links(texts: DataFrame, members: DataFrame, shingle: int, percent: int, hubs: int) -> DataFrame | None:
-    """Verified links (a, b) that join all candidates of `members` (bucket, rep, n) that are linked."""
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = materialize(
-        texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "rep long, shingles array<long>")
-    )
-    alone = (
-        sets.select("rep", F.explode("shingles").alias("s"))
-        .groupBy("s")
-        .agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-        .where("rep = other")
-        .groupBy("rep")
-        .agg(F.count("*").alias("own"))
+def _links(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Verified links (a, b) that join all candidates of `members` (bucket, node, n, held) that are linked."""
+    central = members.groupBy("node").agg(F.sum("held").alias("central"))
+    hubs = members.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", "node"))["node"].alias("hub"))
+    pairs = _spread(members.drop("held"), hubs).where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    compared = materialize(_compared(pairs.distinct(), sets))
+    links = _linked(compared, percent)
+    group = compared.select(
+        F.col("a").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.col("n_a").alias("hub_n"), "common"
     )
-    state = (
-        members.join(alone, "rep", "left")
-        .withColumn("own", F.coalesce("own", F.lit(0)))
-        .where((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
-        .withColumns({"component": F.col("rep"), "done": F.lit(False)})
-    )
-    state = materialize(state)
-    # first round: every member of a bucket with the bucket's innermost one
-    inner = state.groupBy("bucket").agg(
-        F.min(F.struct(F.col("own") / F.col("n"), "rep", "n", "own")).alias("hub"), F.count("*").alias("c")
-    )
-    inner = inner.where("c > 1").select("bucket", *(F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("rep", "n", "own")))
-    pairs = (
-        state.join(inner, "bucket")
-        .where((F.col("rep") != F.col("hub_rep")) & _permitted("n", "own", "hub_n", "hub_own", percent))
-        .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
-    )
-    drawn = inner.select("bucket", F.col("hub_rep").alias("rep"))
-    seen = links = tried = None
+    before = None
     while True:
-        pairs = pairs.distinct()
-        pairs = materialize(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
-        seen = pairs if seen is None else seen.union(pairs)
-        found = materialize(_verified(pairs, sets, percent))
-        links = found if links is None else links.union(found)
-        labels = components(links).withColumnRenamed("node", "rep")
-        state = materialize(
-            state.drop("component")
-            .join(labels, "rep", "left")
-            .withColumn("component", F.coalesce("component", "rep"))
-            .join(drawn.withColumn("drawn", F.lit(True)), ["bucket", "rep"], "left")
-            .withColumn("done", F.col("done") | F.coalesce("drawn", F.lit(False)))
-            .drop("drawn")
-        )
-        # buckets that still hold several components; members outside the largest have to be compared
-        mass = state.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-        open_ = (
-            mass.groupBy("bucket")
-            .agg(F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("top"))
-            .where("parts > 1")
-            .select("bucket", F.col("top.component").alias("largest"))
-        )
-        live = state.join(open_, "bucket")
-        line = Window.partitionBy("bucket").orderBy("own", "rep")
-        hub = materialize(
-            live.where("not done and component <> largest")
-            .withColumn("place", F.row_number().over(line))
-            .where(F.col("place") <= hubs)
-            .select("bucket", *(F.col(c).alias(f"hub_{c}") for c in ("rep", "n", "own", "component")))
-        )
-        if hub.isEmpty():
+        links = materialize(links)
+        open_ = _open(group, components(links))
+        if open_.isEmpty():
             return links
-        drawn = hub.select("bucket", F.col("hub_rep").alias("rep"))
-        blocks = materialize(_blocks(state))
-        tries = materialize(_tries(live, hub, blocks, tried, percent))
-        tried = tries.select("hub_rep", "block") if tried is None else tried.union(tries.select("hub_rep", "block"))
-        near = _near_blocks(tries, blocks, sets, percent)
-        pairs = (
-            near.join(blocks, "block")
-            .where(F.col("rep") != F.col("hub_rep"))
-            .where(_permitted("n", "own", "hub_n", "hub_own", percent))
-            .select(F.least("hub_rep", "rep").alias("a"), F.greatest("hub_rep", "rep").alias("b"))
+        adds = materialize(_adds(open_, sets))
+        rare = _rare(adds, percent)
+        sizes = _by_size(open_, percent)
+        work = rare.groupBy("hub", "s", "component").count().groupBy("hub", "s").agg(
+            F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("same")
         )
+        seen = work.agg(F.sum("all").alias("rows"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs")).first()
+        count = (seen.pairs or 0) + sizes.count()
+        if count <= _DENSE * ((seen.rows or 0) + 1000) or (before is not None and count > 0.7 * before):
+            found = _by_adds(rare, percent).union(sizes).distinct()
+            return links.union(_linked(_compared(found, sets), percent))
+        before = count
+        # a further hub for every open group: of its largest foreign component, the member whose additions most others share
+        foreign = adds.where("component <> hub_component")
+        mass = foreign.groupBy("hub", "component").agg(F.count("*").alias("c"), F.max(F.struct("shared", "node")).alias("m"))
+        second = mass.groupBy("hub").agg(F.max(F.struct("c", "m", "component")).alias("top"))
+        second = second.select("hub", F.col("top.m.node").alias("a"), F.col("top.component").alias("own"))
+        more = open_.join(second, "hub").where("component <> own").select("a", F.col("node").alias("b"))
+        links = links.union(_linked(_compared(more.distinct(), sets), percent))
+        # compared with everyone in its group, it has nothing left to find there
+        group = materialize(group.join(second.select("hub", F.col("a").alias("node")), ["hub", "node"], "left_anti"))
+
+
+def _open(group: DataFrame, labels: DataFrame) -> DataFrame:
+    """`group` with components, for the hubs whose members, the hub left out, lie in more than one."""
+    mine = labels
+    hubs = labels.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+    placed = (
+        group.join(mine, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .join(hubs, "hub", "left")
+        .withColumn("hub_component", F.coalesce("hub_component", "hub"))
+    )
+    placed = materialize(placed)
+    several = placed.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(several.where("low <> high").select("hub"), "hub", "left_semi")
+
+
+def _adds(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """`open_` with `adds`: the shingles a member has beside the hub's and shares in its group, rarest first."""
+    fan = open_.groupBy("hub").agg(F.ceil(F.count("*") / _FAN).cast("int").alias("fan"))
+    dealt = open_.join(fan, "hub").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int"))
+    whole = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("sh")).join(fan, "hub")
+    whole = whole.select("hub", "sh", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"))
+    added = dealt.join(sets, "node").join(whole, ["hub", "salt"]).select(
+        "hub", "node", F.explode(F.array_except("shingles", "sh")).alias("s")
+    )
+    added = materialize(added)
+    often = added.groupBy("hub", "s").agg(F.count("*").alias("c")).where("c > 1")
+    # one list per member of a group, no longer than its own set
+    lists = (
+        added.join(often, ["hub", "s"])
+        .groupBy("hub", "node")
+        .agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("adds"), F.sum("c").alias("shared"))
+    )
+    return open_.join(lists, ["hub", "node"])
 
 
-def _blocks(state: DataFrame) -> DataFrame:
-    """(rep, n, own, block): every component cut into blocks of about _BLOCK members of like n and own.
+def _rare(adds: DataFrame, percent: int) -> DataFrame:
+    """Rows (hub, s, ...) of the additions that a member must share one of with any partner it can be linked to."""
+    missing = F.floor((F.col("n") * percent + 99) / 100) - F.col("common")
+    length = F.size("adds") - F.greatest(F.lit(1), missing) + 1
+    kept = adds.withColumn("a", F.size("adds")).where(length > 0)
+    rows = kept.withColumn("add", F.explode(F.slice("adds", F.lit(1), length.cast("int"))))
+    return rows.select("hub", F.col("add.s").alias("s"), "node", "n", "common", "a", "component")
 
-    Likeness (n within a fiftieth, own within a fiftieth of n) keeps the bound of a block close to those of its
-    members; blocks of long texts have fewer members. A block's number depends on its component's members, so it
-    stands for the same members in every round.
-    """
-    reps = state.groupBy("rep").agg(*(F.first(c).alias(c) for c in ("n", "own", "component")))
-    like = [F.floor(F.log("n") / math.log(1.02)).alias("size_class"), F.floor(F.col("own") * 50 / F.col("n")).alias("own_class")]
-    reps = reps.select("*", *like)
-    by = ["component", "size_class", "own_class"]
-    mass = reps.groupBy("component").agg(F.count("*").alias("all"))
-    part = reps.groupBy(*by).agg(F.count("*").alias("c"))
-    held = F.greatest(F.lit(1.0), F.least(F.lit(float(_BLOCK)), _BLOCK_SHINGLES / F.pow(F.lit(1.02), F.col("size_class"))))
-    spot = F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / held))
-    joined = reps.join(part, by).join(mass, "component")
-    return joined.select("rep", "n", "own", F.xxhash64(*by, "all", spot).alias("block"))
-
-
-def _tries(live: DataFrame, hub: DataFrame, blocks: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
-    """(hub_rep, hub_n, hub_own, block, low): hubs and blocks of other components that meet in a bucket."""
-    sizes = blocks.groupBy("block").agg(F.min("n").alias("low"), F.max(F.col("n") - F.col("own")).alias("most"))
-    there = live.select("bucket", "rep", "component").join(blocks.select("rep", "block"), "rep")
-    there = there.select("bucket", "component", "block").distinct().join(sizes, "block")
-    common = F.least(F.col("hub_n") - F.col("hub_own"), F.col("most"))
-    smallest = F.greatest(F.col("low"), common)
-    out = (
-        hub.join(there, "bucket")
-        .where("component <> hub_component")
-        .where(common * 100 >= (F.col("hub_n") + smallest - common) * percent)
-        .select("hub_rep", "hub_n", "hub_own", "block", "low")
-        .distinct()
-    )
-    return out if tried is None else out.join(tried, ["hub_rep", "block"], "left_anti")
 
+def _pair(left: str, right: str) -> list[Column]:
+    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
-def _near_blocks(tries: DataFrame, blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Tries whose hub shares so many shingles with the union of the block that a member may be linked."""
-    needed = blocks.join(tries.select("block").distinct(), "block", "left_semi")
-    unions = (
-        sets.join(needed.select("rep", "block"), "rep")
-        .groupBy("block")
-        .agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("all"))  # of one block
-    )
-    hubs = sets.select(F.col("rep").alias("hub_rep"), F.col("shingles").alias("mine"))
-    common = F.size(F.array_intersect("mine", "all"))
+
+def _by_adds(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one hub that share an addition and whose bound reaches the threshold."""
+    other = rare.select("hub", "s", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "common", "a", "component")))
+    most = F.least("common", "common_2") + F.least("a", "a_2")
     return (
-        tries.join(hubs, "hub_rep")
-        .join(unions, "block")
-        .where(common * 100 >= (F.col("hub_n") + F.greatest(F.col("low"), common) - common) * percent)
-        .select("hub_rep", "hub_n", "hub_own", "block")
+        rare.join(other, ["hub", "s"])
+        .where((F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")))
+        .where(_reaches(most, F.col("n"), F.col("n_2"), percent))
+        .select(*_pair("node", "node_2"))
+        .distinct()
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
-    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
+def _size_class(n: Column) -> Column:
+    """Sizes up to 64 by themselves, larger ones in steps of a fiftieth."""
+    return F.when(n <= 64, n).otherwise(64 + F.floor(F.log(n / 64.0) / math.log(1.02))).cast("int")
+
+
+def _by_size(open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one hub whose parts of the hub alone reach the threshold, one of them outside the hub's component.
+
+    A member that has `common` shingles of the hub can only be linked so to partners of at most
+    common * (100 + percent) / percent - n shingles.
+    """
+    cap = F.floor(F.col("common") * (100 + percent) / percent).cast("long") - F.col("n")
+    low = F.floor((F.col("n") * percent + 99) / 100)
+    high = F.least(cap, F.floor(F.col("n") * 100 / percent))
+    outside = open_.where((F.col("component") != F.col("hub_component")) & (low <= high) & (low > 0))
+    wanted = outside.withColumn("size", F.explode(F.sequence(_size_class(low), _size_class(high))))
+    other = open_.select("hub", _size_class(F.col("n")).alias("size"), *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "common", "component")))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent)
-        .select("a", "b")
+        wanted.join(other, ["hub", "size"])
+        .where(F.col("component") != F.col("component_2"))
+        .where(_reaches(F.least("common", "common_2"), F.col("n"), F.col("n_2"), percent))
+        .select(*_pair("node", "node_2"))
+        .distinct()
     )

@@ -80,14 +80,42 @@ def test_near_duplicates_equal_all_pairs(spark, seed, k, percent):
     assert by_id(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(plain_components(rows, k, percent), key=repr)
 
 
-def test_near_duplicates_in_small_rounds(spark, monkeypatch):
-    """Few hubs a round and small blocks give the same components."""
-    monkeypatch.setattr("almoner.llm.near_dups._BLOCK", 3)
+@pytest.mark.parametrize("dense", [0, 1, 10**9])
+def test_near_duplicates_with_further_hubs(spark, monkeypatch, dense):
+    """Further hubs at once, by need, and never give the same components; families within a family, and cut texts."""
+    monkeypatch.setattr("almoner.llm.near_dups._DENSE", dense)
+    monkeypatch.setattr("almoner.llm.near_dups._FAN", 4)
     rows = families(5, 25)
-    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85, hubs=2)
+    draw = random.Random(8)
+    words = [f"v{k}" for k in range(300)]
+    origin = draw.choices(words, k=120)
+    for part in range(3):  # each replaces another passage of the same origin, and its copies are edited on
+        text = origin[: part * 30] + draw.choices(words, k=28) + origin[part * 30 + 28 :]
+        for _ in range(12):
+            edited = list(text)
+            for _ in range(draw.randrange(4)):
+                edited[draw.randrange(len(edited))] = draw.choice(words[:6])
+            rows.append((len(rows), " ".join(edited)))
+    rows += [(len(rows) + k, " ".join(origin[: 120 - 4 * k])) for k in range(25)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85)
     assert by_id(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(plain_components(rows, 3, 85), key=repr)
 
 
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    """Rows of one id are linked by their own texts; one row of each component stays."""
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    b = "red blue green white black brown pink grey gold teal navy lime plum rust sand snow coal"
+    rows = [(5, a), (5, b), (3, a + " more"), (7, b + " more"), (5, b), (None, b), (None, "q r s t"), (None, "q r s t"), (8, None), (8, None), (9, "q")]
+    frame = spark.createDataFrame([(str(k), *r) for k, r in enumerate(rows)], "row string, doc_id long, text string").repartition(3)
+    got = {r["row"]: (r.component_id, r.kept, r.stays) for r in near_duplicates(frame, shingle=3, percent=85, row_col="row").collect()}
+    assert got == {
+        "0": (3, False, False), "2": (3, True, True),
+        "1": (5, True, True), "3": (5, False, False), "4": (5, True, False), "5": (5, False, False),
+        "6": (None, True, True), "7": (None, True, False),
+        "8": (8, True, True), "9": (8, True, True), "10": (9, True, True),
+    }
+
+
 def test_near_duplicates_of_edge_rows(edge, none):
     got = near_duplicates(edge, shingle=3, percent=85).collect()
     assert len(got) == len(TEXTS)
@@ -300,7 +328,7 @@ def test_registered_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in registered.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registered.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op1_rotate_perspectives", "op4_fingerprint_edits", "op8_mix_sources"])
