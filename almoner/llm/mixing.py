@@ -66,6 +66,7 @@ def mix_sources(
     max_epochs: float = 3.0,
     seed: str = "mix",
     digits: int = 3,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
@@ -75,10 +76,12 @@ def mix_sources(
 
     A null text has size 0; null sources are one source; null ids are ordered like the text ''. Repeated
     rows are documents of their own, told apart by size only, so rows that agree in id and size may
-    exchange their places. An empty table gives an empty result. Other columns are ignored.
+    exchange their places. An empty table gives an empty result. Other columns are ignored. With row_col, a column that
+    is different in every row, it orders such rows and comes back with the result.
     """
+    row = F.col(row_col).cast("string") if row_col else F.lit(None).cast("string")
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     ).withColumn("key", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     rows = rows.withColumn("cell", F.substring("key", 1, digits))
     cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
@@ -105,7 +108,7 @@ def mix_sources(
     )
     inside = (
         Window.partitionBy("source", "cell")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", "row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -121,4 +124,5 @@ def mix_sources(
         "source_size",
         "target",
         (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
+        *([F.col("row").alias(row_col)] if row_col else []),
     )

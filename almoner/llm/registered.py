@@ -129,7 +129,9 @@ def op7_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_score_toxicity")
 def op9_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return score_toxicity(docs, labels, with_sentences=False)
+    scored = score_toxicity(docs, labels)
+    places = F.transform("sentences", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string")))
+    return scored.withColumn("sentences", F.array_join(places, ","))
 
 
 @query("op4_fingerprint_edits")

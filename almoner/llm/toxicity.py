@@ -68,20 +68,21 @@ def sentences(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def score_text(text: str, model: SentenceModel, by_word: _ByWord) -> tuple[float, list[tuple[int, int, float]]]:
-    """The document's probability and its sentences with a probability of 0.5 or more."""
+    """The document's probability and its sentences with a probability of 0.5 or more.
+
+    A sentence without a telling word has no say, so that a clean text may be as long as it likes.
+    """
     clean = 0.0  # log of the probability that no sentence is toxic
     worst = []
-    plain = float(np.logaddexp(0.0, model.bias))
     for start, end, part in sentences(text):
         weight = sum(map(by_word.__getitem__, set(_WORD.findall(part.lower()))))
-        if weight == 0.0:
-            clean -= plain
+        if weight <= 0.0:
             continue
         z = model.bias + weight
         clean -= float(np.logaddexp(0.0, z))
         if z >= 0:
             worst.append((start, end, float(1 / (1 + np.exp(-z)))))
-    return float(-np.expm1(clean)), worst
+    return float(-np.expm1(clean)) if clean else 0.0, worst
 
 
 def fit_sentences(

@@ -167,12 +167,14 @@ def test_components_of_chains_and_stars(spark):
 
 
 def test_toxicity_on_held_out_documents(spark):
-    folder = FOLDER.replace("0.001", "0.01")
+    folder = FOLDER.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     scored = score_toxicity(docs, labels).join(labels, "doc_id").collect()
     held = [r for r in scored if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in scored)
     assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.9
+    hits = sum(r.predicted and r.toxic for r in held)
+    assert hits / sum(r.toxic for r in held) > 0.8 and hits / max(1, sum(r.predicted for r in held)) > 0.9
     caught = [r for r in scored if r.toxic == 1 and r.predicted == 1]
     text = {r.doc_id: r.text for r in docs.collect()}
     assert len(caught) > 20 and any(r.sentences for r in caught)
@@ -181,6 +183,21 @@ def test_toxicity_on_held_out_documents(spark):
             assert 0 <= s.start < s.end <= len(text[r.doc_id]) and s.score >= 0.5
 
 
+def test_long_clean_texts_stay_clean(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_documents(docs, labels)
+    clean = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").limit(300).collect()]
+    words = model.by_word()
+    calm = [t for t in clean if score_text(t, model, words)[0] < 0.05]
+    assert len(calm) > 200
+    plain = [t for t in calm if score_text(t, model, words)[0] == 0.0]
+    assert plain and score_text("\n".join(plain * 500), model, words)[0] == 0.0
+    # many times the longest text of the fit
+    long = "\n".join(calm)[:200_000]
+    assert len(long) == 200_000 and score_text(long, model, words)[0] < 0.5
+
+
 def test_toxicity_finds_the_sentence():
     calm = [f"The day was mild and calm number {k}. We went home." for k in range(60)]
     rude = [f"The day was mild number {k}. You are a grobian! We went home." for k in range(20)]
@@ -356,6 +373,29 @@ def test_pipeline_equals_plain_version(spark):
     assert by_id(got, "doc_id", "ids") == sorted(want, key=repr)
 
 
+def test_pipeline_keeps_one_row_of_repeated_and_null_ids(spark, tmp_path):
+    """Flags belong to rows: of copies one stays, whatever ids they have, and other texts of one id stay."""
+    near = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, "zz yy xx"), (1, "other text"), (3, "q"), (3, "q"), (4, None), (4, "")]
+    rows += [(6, near), (6, near + " more"), (None, near + " more words"), (None, near.replace("ten", "tin") + " more")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("l"), "source": F.lit("s"), "n_chars": F.length("text"), "row_key": F.lit("k"), "copy": F.lit(1)}
+    )
+    frame.write.parquet(f"{tmp_path}/t")
+    for docs in (frame.repartition(3), spark.read.parquet(f"{tmp_path}/t")):
+        once = corpus_pipeline.drop_copies(spark, docs, "")
+        want = [(None, "zz yy xx"), (1, "a b c"), (1, "other text"), (3, "q"), (4, ""), (6, near), (6, near + " more")]
+        got = sorted(((r.doc_id, r.text or "") for r in once.collect()), key=repr)
+        rest = [(None, near + " more words"), (None, near.replace("ten", "tin") + " more")]
+        assert got == sorted(want + rest, key=repr) and once.columns == docs.columns
+        last = corpus_pipeline.drop_near_copies(spark, docs, "")
+        got = sorted(((r.doc_id, r.text or "") for r in last.collect()), key=repr)
+        assert [g for g in got if " ten " in g[1]] in ([(6, near)], [(6, near + " more")])
+        assert len(got) == 8  # the two rows of id 4 have no words
+        mixed = corpus_pipeline.mix(spark, docs, "")
+        assert mixed.count() == len(rows) and mixed.columns == docs.columns
+
+
 def test_pipeline_stages_keep_edge_rows(spark, edge, tmp_path):
     spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = edge

@@ -131,7 +131,6 @@ def test_pieces_of_nothing(none):
 
 def test_token_files_round_trip(edge):
     model = Tokenizer.from_file(BYTES)
-    model.encode_special_tokens = True
     manifest = write_token_files(edge, new_folder(edge), BYTES)
     want, start = [], 0
     for i, text in sorted(((i, t) for i, t, _ in TEXTS), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
@@ -145,12 +144,22 @@ def test_token_files_round_trip(edge):
     assert all(f.document(-5) is None for f in files)
 
 
+def test_added_tokens_in_texts_are_the_librarys():
+    """A text that holds an added token's string has that token's id, as the library gives it."""
+    model, coder = Tokenizer.from_file(BYTES), ByteEncoder(BYTES)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y\nz <|endoftext|", " <|endoftext|>  ", "plain words here", "<|endoftext"]
+    for batch in (texts, *([t] for t in texts)):
+        for text, raw in zip(batch, coder.encode(batch), strict=True):
+            assert np.frombuffer(raw, "<u2").tolist() == model.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(coder.encode(texts[:1])[0], "<u2").tolist() == [50256]
+
+
 def test_word_by_word_equals_whole_texts():
     coder, draw = ByteEncoder(BYTES), np.random.default_rng(4)
     assert coder.words
     signs = list("ab  \n\t\r.,'s 12é日🙂　\x1c\x85_-") + ["ther", " the"]
     texts = ODD + ["".join(draw.choice(signs, draw.integers(40))) for _ in range(1500)]
-    want = [e.ids for e in coder.model.encode_batch(texts, add_special_tokens=False)]
+    want = [e.ids for e in Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(b, "<u2").tolist() for b in coder.encode(texts)] == want
 
 
@@ -253,3 +262,38 @@ def test_base_spans_equal_plain_patterns(spark):
 
 def test_secrets_of_nothing(none):
     assert scan_secrets(none, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def plain_runs(text, ratio=1.9):
+    """Every long run put to the ratio, the vocabulary read anew."""
+    import base64
+
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    coder = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    base = base_spans(text)
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]+", text):
+        run = m.group()
+        digest = len(run) in (32, 40, 56, 64, 96, 128) and re.fullmatch("[0-9a-f]+|[0-9A-F]+", run)
+        known = re.fullmatch(r"[0-9]+([_/-][0-9]+)*(T[0-9]+Z?)?|[A-Za-z]+([_/-][A-Za-z]+)*[_/-]?[0-9]{1,4}", run)
+        uuid = re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", run)
+        free = all(e <= m.start() or m.end() <= s for s, _, e in base)
+        if len(run) >= 16 and len(run) <= ratio * len(coder.encode_ordinary(run)) and free and not (digest or known or uuid):
+            out.append(f"token:{m.start()}:{m.end()}")
+    return out
+
+
+def test_random_runs_equal_a_plain_scan(spark, small):
+    draw = np.random.default_rng(9)
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz0123456789", "0123456789", "0123456789abcdef"]
+    texts = [f"see {''.join(draw.choice(list(kinds[k % 5]), 16 + k % 30))} there" for k in range(100)]
+    texts += ["kj8spq2lxv9ztbr4mw7nyc1d", "kj8spq2lxv9ztbr4mw7nyc1d INTERNATIONALIZATION", "550e8400-e29b-41d4-a716-446655440000", "2024-01-01-12-00-00", "misunderstandings/internationalization"]
+    rows = [(r.doc_id, r.text) for r in small.collect()] + [(10**6 + k, t) for k, t in enumerate(texts)]
+    got = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, public_tokenizers.PATTERN).collect()
+    found = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("token")] for r in got}
+    assert found == {i: plain_runs(t or "") for i, t in rows}
+    assert found[10**6 + 100] == ["token:0:24"] and found[10**6 + 101] == ["token:0:24"]
+    assert sum(bool(found[10**6 + k]) for k in range(100) if k % 5 < 3) > 55
+    assert not any(found[10**6 + k] for k in (102, 103, 104))
