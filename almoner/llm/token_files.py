@@ -26,6 +26,8 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import partial
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -86,13 +88,17 @@ class ByteEncoder:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.type, e.ids).tobytes() for e in found]
 
+    def _turn(self) -> None:
+        """Start a new generation of full stores; what is asked for again returns from the old one."""
+        for prefix, store in (("", self.plain), (" ", self.spaced)):
+            if len(store) > _STORE:
+                self.old[prefix] = dict(store)
+                store.clear()
+
     def _missing(self, store: dict[str, bytes], words: set[str], prefix: str) -> list[str]:
-        """Words that are not in the store, which first gets back those of the generation before."""
-        if len(store) > _STORE:  # two generations: what is asked for again returns from the old one
-            self.old[prefix] = dict(store)
-            store.clear()
+        """Those of `words`, none of which the store has, that the generation before does not have either."""
         old = self.old[prefix]
-        store.update((w, old[w]) for w in words if w in old and w not in store)
+        store.update((w, old[w]) for w in words if w in old)
         return [w for w in words if w not in store]
 
     def _learn(self, store: dict[str, bytes], words: set[str], prefix: str) -> None:
@@ -116,7 +122,9 @@ class ByteEncoder:
         """Serialised ids of each text."""
         if not self.words:
             return self._ids(texts)
-        plain, spaced, odd, cut = set(), set(), {"\n"}, []
+        self._turn()
+        plain, spaced, odd, cut = set(), set(), set(), []
+        unseen, unseen_later = partial(filterfalse, self.plain.__contains__), partial(filterfalse, self.spaced.__contains__)
         for text in texts:
             flat = text.replace("\n", " ")
             whole = self.added is not None and self.added.search(text) is not None
@@ -124,20 +132,17 @@ class ByteEncoder:
             simple = not whole and bool(text) and flat.isprintable() and "  " not in flat and flat[0] != " " != flat[-1]
             if simple:
                 lines = [line.split(" ") for line in text.split("\n")]
+                plain.update(unseen([words[0] for words in lines]))
                 for words in lines:
-                    rest = iter(words)
-                    plain.add(next(rest))
-                    spaced.update(rest)
+                    spaced.update(unseen_later(islice(words, 1, None)))
             else:
                 lines = [] if whole or not text else _GAP.split(text)
-                odd.update(lines)
+                odd.update(unseen(lines))
             cut.append((whole, simple, lines))
         self._learn(self.plain, plain, "")
         self._learn(self.spaced, spaced, " ")
-        missing = self._missing(self.plain, odd, "")
+        missing = self._missing(self.plain, odd.union({"\n"}.difference(self.plain)).difference(plain), "")
         self.plain.update(zip(missing, self._ids(missing), strict=True))
-        # a word of a simple text leaves with its generation only between slices
-        self.plain.update((w, self.old[""][w]) for w in plain if w not in self.plain)
         first, later, newline = self.plain.__getitem__, self.spaced.__getitem__, self.plain["\n"]
         out = []
         for text, (whole, simple, lines) in zip(texts, cut, strict=True):
@@ -184,20 +189,9 @@ def train_dictionary(
     usable = docs.where(F.length(text).between(1, sample_chars)).select(
         F.xxhash64(F.col(id_col), F.length(text)).alias("h"), text.alias("text")
     )
-
-    def lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A task's share: of its rows, the sample_rows with the lowest hashes at most."""
-        kept: list[tuple[int, str]] = []
-        for batch in batches:
-            limit = kept[-1] if len(kept) == sample_rows else None
-            hashes, texts = batch.column(0).to_numpy(), batch.column(1)
-            near = np.flatnonzero(hashes <= limit[0]) if limit else np.arange(len(hashes))
-            if len(near):
-                kept = sorted([*kept, *((int(hashes[k]), texts[int(k)].as_py()) for k in near)])[:sample_rows]
-        if kept:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*kept)], ["h", "text"])
-
-    rows = usable.mapInArrow(lowest, "h long, text string").orderBy("h", "text").limit(sample_rows).collect()
+    # the hashes alone are ranked, so that no task sends more than its share of the texts
+    last = usable.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    rows = usable.where(F.col("h") <= F.lit(last)).orderBy("h", "text").limit(sample_rows).collect()
     samples = encoder(tokenizer_file).encode([r.text for r in rows])
     try:
         return zstandard.train_dictionary(size, samples).as_bytes() if samples else b""
