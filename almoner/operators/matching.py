@@ -1,10 +1,21 @@
-"""Best matches between a frame of queries and a catalogue of names.
+"""Best matches between a frame of queries and a catalogue of names, without scoring every query with every name.
 
-Every query is scored against every name, because the thresholds are low enough that no key the
-two must share can be joined on. Pairs are never emitted: a chunk of the catalogue travels as an
-array, each query row keeps only its own best matches, and the chunks' winners are merged. The plan is
-the same for every size. An index on shared words would emit, for a word that many names have, all pairs of
-queries and names with it, and most fuzzy matches share no word at all.
+A fuzzy score is an equality, a containment, or made of word overlap and edit similarity. It reaches a bound only if the
+word overlap or the edit similarity alone does: containment implies an edit similarity no smaller than its score,
+and the mixed score is at most the larger of the two. So, with a bound b for a query's k-th best score,
+
+* words: at most a share 1 - b of the query's words may be without a related word in the name, so a name that counts has
+  a word related to one of the query's rarest ones, few enough to be looked up in an index of words;
+* letters: at most d = (1 - b) * longest edits are allowed, and d edits leave one of d + 1 disjoint letter groups
+  of the query in place, give or take d positions; the rarest groups are looked up in an index of groups.
+
+The bound is the k-th best score among some names that share rare groups with the query, looked up first; a wrong choice
+of these costs time, not results. Queries too short for d + 1 groups, since few names are like them, meet the names whose
+length allows the bound, and a comparison of letter counts, then an edit distance that gives up after d edits, is all
+that such a pair costs.
+
+A semantic score needs a common word or equal texts. Names and queries with the same words are one set, and sets meet
+on their rarest words (a prefix filter). All indexes are equi-joins, whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -17,9 +28,12 @@ from pyspark.sql import functions as F
 from almoner.functions import text as T
 from almoner.session import materialize
 
-# A chunk of the catalogue holds about this many names, and fewer when they are long.
-CHUNK_NAMES = 4096
-CHUNK_CHARS = 4_000_000
+# letter groups of a query, and names per group, that are looked up to find a bound
+RARE = 8
+SEEDS = 32
+# tasks the names of one length class are spread over
+SPREAD = 16
+_LEAST = 1e-9  # scores are sums of fractions; bounds are lowered by this much
 
 Score = Callable[[Column, Column], Column]
 
@@ -29,62 +43,159 @@ def _distinct(df: DataFrame, column: str, out: str) -> DataFrame:
     return materialize(df.select(F.col(column).alias(out)).where(F.length(out) > 0).distinct())
 
 
-def _chunk(entry_cols: list[str]) -> Column:
-    return F.collect_list(F.struct(*entry_cols)).alias("entries")
+def _numbered(df: DataFrame, column: str, out: str, key: str, parts: Callable[[Column], Column]) -> DataFrame:
+    """(key, out, parts) of the distinct non-empty texts; the number of a text is fixed by writing it."""
+    texts = df.select(F.col(column).alias(out)).where(F.length(out) > 0).distinct()
+    return materialize(texts.withColumn("parts", parts(F.col(out))).withColumn(key, F.monotonically_increasing_id()))
 
 
-def _best(query_parts: Column, entries: Column, score: Score, threshold: float, k: int) -> Column:
-    """Best k entries of one chunk for one query, by score and then by name."""
-    scored = F.transform(
-        entries, lambda e: F.struct((-score(query_parts, e["parts"])).alias("neg"), e["name"].alias("name"))
-    )
-    return F.slice(F.array_sort(F.filter(scored, lambda s: s["neg"] <= -threshold)), 1, k)
+def _grams(text: Column, size: Column | int) -> Column:
+    """Array of (at, gram): all letter groups of one size, empty for shorter texts."""
+    size = F.lit(size) if isinstance(size, int) else size
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda p: F.struct(p.alias("at"), F.substring(text, p, size).alias("gram")))
 
 
-def _match(
-    queries: DataFrame,
-    names: DataFrame,
-    parts: Callable[[Column], Column],
-    score: Score,
-    threshold: float,
-    k: int,
-    query: str,
-    name: str,
-    chunk_names: int,
-) -> DataFrame:
-    asked = (
-        queries.select(F.col(query).alias("query"))
-        .where(F.length("query") > 0)
-        .distinct()
-        .withColumn("parts", parts(F.col("query")))
-    )
-    kept = _distinct(names, name, "name")
-    catalog = kept.withColumn("parts", parts(F.col("name")))
-    # the catalogue's size decides how many chunks it is cut into; with the copies for the salts there is
-    # work for as many tasks as the session's shuffles have
-    size = kept.agg(
-        F.count("name").alias("n"), F.coalesce(F.sum(F.length("name")), F.lit(0)).alias("chars")
-    ).first()
-    chunks = max(1, -(-size["n"] // chunk_names), -(-size["chars"] // CHUNK_CHARS))
-    salts = max(1, -(-int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")) // chunks))
-    in_chunk = F.pmod(F.xxhash64("name"), F.lit(chunks)).alias("chunk")
-    held = (
-        catalog.groupBy(in_chunk)
-        .agg(_chunk(["name", "parts"]))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    spread = asked.withColumn("salt", F.pmod(F.xxhash64("query"), F.lit(salts)).cast("int")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint")))
+def contained(whole: DataFrame, part: DataFrame) -> DataFrame:
+    """(whole, part) of `whole` (whole, text) and `part` (part, text) where the whole's text contains the part's.
+
+    A part is looked up by its rarest group of three letters, or by all of it if it is shorter. Empty parts are left out.
+    """
+    sized = F.flatten(F.array(*(_grams(F.col("text"), n) for n in (1, 2, 3))))
+    index = whole.select("whole", F.explode(F.array_distinct(F.transform(sized, lambda g: g["gram"]))).alias("gram"))
+    often = index.groupBy("gram").agg(F.count("*").alias("c"))
+    own = part.select("part", F.explode(_grams(F.col("text"), F.least(F.length("text"), F.lit(3)))["gram"]).alias("gram"))
+    rarest = own.join(often, "gram", "left").groupBy("part").agg(
+        F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "gram"))["gram"].alias("gram")
     )
-    best = _best(F.col("parts"), F.col("entries"), score, threshold, k)
-    winners = spread.join(held, ["chunk", "salt"]).select("query", F.explode(best).alias("m"))
-    order = Window.partitionBy("query").orderBy("m")
-    return (
-        winners.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query", "m.name", (-F.col("m.neg")).alias("score"), "rank")
+    met = index.join(rarest, "gram").join(whole, "whole").withColumnRenamed("text", "long").join(part, "part")
+    return met.where(F.contains("long", "text")).select("whole", "part")
+
+
+def _related(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """(a, b) of words (word) of both sides that are equal or of which one contains the other."""
+    one = asked.select(F.col("word").alias("whole"), F.col("word").alias("text"))
+    two = held.select(F.col("word").alias("whole"), F.col("word").alias("text"))
+    over = contained(two, one.withColumnRenamed("whole", "part")).select(F.col("part").alias("a"), F.col("whole").alias("b"))
+    under = contained(one, two.withColumnRenamed("whole", "part")).select(F.col("whole").alias("a"), F.col("part").alias("b"))
+    return over.union(under).distinct()
+
+
+def _first(rows: DataFrame, key: str, most: int, *order: str | Column) -> DataFrame:
+    """The first `most` rows of each key."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+
+def _top(scored: DataFrame, k: int) -> DataFrame:
+    """Best k rows (query, name, score) of each query, by score and then by name."""
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "name")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "name", "score", "rank")
+
+
+def _scored(pairs: DataFrame, asked: DataFrame, held: DataFrame, score: Score) -> DataFrame:
+    """Pairs (qid, nid) with their texts and score."""
+    left = asked.select("qid", "query", F.col("parts").alias("q"))
+    right = held.select("nid", "name", F.col("parts").alias("n"))
+    both = pairs.join(left, "qid").join(right, "nid")
+    return both.select("qid", "query", "name", score(F.col("q"), F.col("n")).alias("score"))
+
+
+def _length_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.25))).cast("int")
+
+
+def _letter_mask(text: Column) -> Column:
+    """(low, high): per class of characters, of which there are 32, a bit for each of the first four that occur.
+
+    A bit that one text has and the other lacks takes an edit, so the bits tell most unlike texts apart at no cost.
+    """
+    grow = lambda bits, at: bits.bitwiseOR(
+        F.call_function("shiftleft", F.call_function("shiftrightunsigned", bits, at).bitwiseAND(F.lit(7)) * 2 + 1, at)
     )
 
+    def add(acc: Column, code: Column) -> Column:
+        at = (code % 16) * 4
+        upper = code >= 16
+        low, high = F.when(upper, acc["low"]).otherwise(grow(acc["low"], at)), F.when(upper, grow(acc["high"], at)).otherwise(acc["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: (F.ascii(c) % 32).cast("int"))
+    none = F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"))
+    return F.aggregate(codes, none, add)
+
+
+def _bits_beside(a: str, b: str) -> Column:
+    """Bits of mask `a` that mask `b` lacks."""
+    lacks = [F.bit_count(F.col(f"{a}.{half}").bitwiseAND(F.bitwise_not(f"{b}.{half}"))) for half in ("low", "high")]
+    return lacks[0] + lacks[1]
+
+
+def fuzzy_candidates(asked: DataFrame, held: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Pairs (qid, nid) that hold the best k names of every query."""
+    words = asked.select("qid", F.posexplode("parts.words").alias("at", "word"))
+    postings = materialize(held.select("nid", F.explode(F.array_distinct("parts.words")).alias("word")))
+    often = postings.groupBy("word").agg(F.count("*").alias("c"))
+    related = materialize(_related(words.select("word").distinct(), often.select("word")))
+    # the index of letter groups, with the length of the name
+    text, size = F.col("parts.text"), F.length("parts.text")
+    groups = held.select("nid", size.alias("n_len"), F.explode(F.flatten(F.array(_grams(text, 3), _grams(text, 2)))).alias("g"))
+    groups = materialize(groups.select("nid", "n_len", F.col("g.at").alias("n_at"), F.col("g.gram").alias("gram")))
+    counts = groups.groupBy("gram").agg(F.count("*").alias("c"))
+    own = asked.select("qid", size.alias("q_len"), F.explode(F.flatten(F.array(_grams(text, 3), _grams(text, 2)))).alias("g"))
+    own = own.select("qid", "q_len", F.col("g.at").alias("at"), F.col("g.gram").alias("gram"))
+    own = materialize(own.join(counts, "gram", "left").withColumn("c", F.coalesce("c", F.lit(0))))
+
+    # some names that share rare groups, for a bound
+    rare = _first(own.where("c > 0").select("qid", "gram", "c").distinct(), "qid", RARE, "c", "gram")
+    some = rare.join(_first(groups.select("gram", "nid").distinct(), "gram", SEEDS, "nid"), "gram").select("qid", "nid")
+    tried = _scored(some.distinct(), asked, held, T.fuzzy_score_parts)
+    kth = _first(tried, "qid", k, F.desc("score"), "name").groupBy("qid").agg(F.count("*").alias("n"), F.min("score").alias("low"))
+    bound = F.greatest(F.lit(threshold), F.when(F.col("n") >= k, F.col("low"))) - _LEAST
+    facts = asked.select("qid", size.alias("q_len"), F.size("parts.words").alias("n_words"))
+    facts = facts.join(kth, "qid", "left").select("qid", "q_len", "n_words", bound.alias("bound"))
+    edits = F.floor((1 - F.col("bound")) * F.floor(F.col("q_len") / F.col("bound"))).cast("int")
+    facts = facts.withColumn("edits", edits)
+
+    # letters: disjoint rare groups of three, else of two
+    def chosen(size: int) -> Column:
+        sized = F.sort_array(F.filter("groups", lambda g: F.length(g["gram"]) == size))
+        none = F.array().cast("array<struct<c:bigint,at:int,gram:string>>")
+        free = lambda acc, g: ~F.exists(acc, lambda x: F.abs(x["at"] - g["at"]) < size)
+        take = lambda acc, g: F.when((F.size(acc) <= F.col("edits")) & free(acc, g), F.concat(acc, F.array(g))).otherwise(acc)
+        return F.aggregate(sized, none, take)
+
+    lists = own.groupBy("qid").agg(F.collect_list(F.struct("c", "at", "gram")).alias("groups"))  # of one query's text
+    picked = facts.join(lists, "qid", "left").withColumns({"three": chosen(3), "two": chosen(2)})
+    enough = F.when(F.size("three") > F.col("edits"), F.col("three")).when(F.size("two") > F.col("edits"), F.col("two"))
+    picked = materialize(picked.withColumn("use", enough).drop("groups", "three", "two"))
+    keys = picked.withColumn("g", F.explode("use")).select("qid", "q_len", "bound", "edits", F.col("g.at").alias("at"), F.col("g.gram").alias("gram"))
+    close = F.abs(F.col("at") - F.col("n_at")) <= F.col("edits")
+    long = (F.col("n_len") >= F.col("bound") * F.col("q_len")) & (F.col("n_len") * F.col("bound") <= F.col("q_len"))
+    spelt = keys.join(groups, "gram").where(close & long).select("qid", "nid")
+
+    # queries too short for that: all names of a fitting length, a length class dealt to several tasks
+    short = picked.where("use is null").join(asked.select("qid", text.alias("q_text"), _letter_mask(text).alias("q_mask")), "qid")
+    low, high = _length_class(F.ceil(F.col("bound") * F.col("q_len"))), _length_class(F.floor(F.col("q_len") / F.col("bound")))
+    dealt = short.withColumn("size", F.explode(F.sequence(low, high))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    sized = held.select("nid", text.alias("n_text"), _letter_mask(text).alias("n_mask"), size.alias("n_len"), F.pmod("nid", F.lit(SPREAD)).cast("int").alias("salt"))
+    # few bytes but much work: a given number of tasks is not merged into fewer
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = sized.withColumn("size", _length_class(F.col("n_len"))).repartition(tasks, "size", "salt")
+    most = F.floor((1 - F.col("bound")) * F.greatest("q_len", "n_len")).cast("int")
+    able = long & (F.greatest(_bits_beside("q_mask", "n_mask"), _bits_beside("n_mask", "q_mask")) <= most)
+    alike = dealt.join(sized, ["size", "salt"]).where(able & (F.call_function("levenshtein", F.col("q_text"), F.col("n_text"), most) >= 0))
+
+    # words: of the query's places, the rarest that cannot all be without a related word
+    reach = related.join(often, related.b == often.word).groupBy("a").agg(F.sum("c").alias("c"))
+    placed = words.join(reach, F.col("word") == F.col("a"), "left").join(picked.drop("use"), "qid")
+    spare = F.col("n_words") - F.ceil(F.col("bound") * F.col("n_words")) + 1
+    order = Window.partitionBy("qid").orderBy(F.coalesce("c", F.lit(0)), "word", "at")
+    looked = placed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= spare).select("qid", "word").distinct()
+    found = looked.join(related, F.col("word") == F.col("a")).select("qid", "b")
+    found = found.join(postings, F.col("b") == F.col("word")).select("qid", "nid")
+    return found.union(spelt).union(alike.select("qid", "nid")).distinct()
+
 
 def fuzzy_join(
     queries: DataFrame,
@@ -94,20 +205,42 @@ def fuzzy_join(
     query: str = "query",
     name: str = "name",
     case_sensitive: bool = False,
-    chunk_names: int = CHUNK_NAMES,
 ) -> DataFrame:
     """Best k names per query by fuzzy score; equal scores are ordered by name."""
-    return _match(
-        queries,
-        names,
-        lambda c: T.fuzzy_parts(c, case_sensitive),
-        T.fuzzy_score_parts,
-        threshold,
-        k,
-        query,
-        name,
-        chunk_names,
-    )
+    parts = lambda c: T.fuzzy_parts(c, case_sensitive)
+    asked, held = _numbered(queries, query, "query", "qid", parts), _numbered(names, name, "name", "nid", parts)
+    pairs = fuzzy_candidates(asked, held, threshold, k)
+    return _top(_scored(pairs, asked, held, T.fuzzy_score_parts).where(F.col("score") >= threshold), k)
+
+
+def _word_sets(texts: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """(text, id) and (id, words) of the distinct sets of words; texts without words are left out."""
+    worded = texts.select(F.col(text), F.array_sort("parts.words").alias("words")).where(F.size("words") > 0)
+    sets = materialize(worded.select("words").distinct().withColumn("id", F.monotonically_increasing_id()))
+    return worded.join(sets, "words").select(text, "id"), sets
+
+
+def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, score) of sets of words (id, words) whose shared part reaches a threshold above 0."""
+    often = held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+
+    def prefixes(sets: DataFrame, key: str) -> DataFrame:
+        """The rarest words of each set, one of which a partner must share; place 1 is the rarest."""
+        rows = sets.select("id", F.size("words").alias("size"), F.explode("words").alias("word")).join(often, "word", "left")
+        order = Window.partitionBy("id").orderBy(F.coalesce("c", F.lit(0)), "word")
+        longest = F.col("size") - F.ceil(F.col("size") * threshold - _LEAST) + 1
+        placed = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= longest)
+        return placed.select("word", F.col("id").alias(key), F.col("size").alias(f"{key}_size"), F.col("place").alias(f"{key}_place"))
+
+    # what can follow the first common word bounds what two sets share
+    most = 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    both = F.col("a_size") + F.col("b_size")
+    met = prefixes(asked, "a").join(prefixes(held, "b"), "word").where(most >= threshold * (both - most) - _LEAST)
+    pairs = met.select("a", "b").distinct()
+    left, right = asked.select(F.col("id").alias("a"), F.col("words").alias("x")), held.select(F.col("id").alias("b"), F.col("words").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    score = common / (F.size("x") + F.size("y") - common)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
 
 
 def semantic_join(
@@ -117,20 +250,25 @@ def semantic_join(
     k: int = 10,
     query: str = "query",
     name: str = "name",
-    chunk_names: int = CHUNK_NAMES,
 ) -> DataFrame:
-    """Best k names per query by shared meaning; equal scores are ordered by name."""
-    return _match(
-        queries,
-        names,
-        T.semantic_parts,
-        T.semantic_score_parts,
-        threshold,
-        k,
-        query,
-        name,
-        chunk_names,
-    )
+    """Best k names per query by shared meaning; equal scores are ordered by name. The threshold must be above 0."""
+    if threshold <= 0:
+        raise ValueError("names that share nothing with a query have no order; the threshold must be above 0")
+    asked = _numbered(queries, query, "query", "qid", T.semantic_parts)
+    held = _numbered(names, name, "name", "nid", T.semantic_parts)
+    q_ids, q_sets = _word_sets(asked, "query")
+    n_ids, n_sets = _word_sets(held, "name")
+    pairs = semantic_pairs(q_sets, n_sets, threshold)
+    # of a set's names the first k can be wanted, and of a query's sets the first k
+    firsts = _first(n_ids, "id", k, "name")
+    heads = n_ids.groupBy("id").agg(F.min("name").alias("head"))
+    near = _first(pairs.join(heads, F.col("b") == F.col("id")).drop("id"), "a", k, F.desc("score"), "head")
+    per_set = near.join(firsts, F.col("b") == F.col("id")).select("a", "name", "score")
+    per_set = _first(per_set, "a", k, F.desc("score"), "name")
+    alike = q_ids.join(per_set, F.col("id") == F.col("a")).select("query", "name", "score")
+    same = asked.select("query", F.col("parts.text").alias("t")).join(held.select("name", F.col("parts.text").alias("t")), "t")
+    same = same.select("query", "name", F.lit(1.0).alias("score"))
+    return _top(alike.union(same).groupBy("query", "name").agg(F.max("score").alias("score")), k)
 
 
 def combined_join(
@@ -207,7 +345,6 @@ def suggest_mapped(
     k: int = 5,
     query: str = "query",
     name: str = "name",
-    chunk_names: int = CHUNK_NAMES,
 ) -> DataFrame:
     """Exact renamings both ways first, then names containing or contained in the query.
 
@@ -224,22 +361,34 @@ def suggest_mapped(
         display = F.coalesce(F.try_element_at(back, c), c)
         again = F.coalesce(F.try_element_at(to_api, display), display)
         return F.struct(
-            c.alias("raw"),
-            F.translate(F.lower(c), " _", "").alias("flat"),
+            F.translate(F.lower(c), " _", "").alias("text"),
             F.when(api != c, api).alias("api"),
             F.when(display != c, again).alias("again"),
         )
 
-    def score(q: Column, n: Column) -> Column:
-        near = F.contains(n["flat"], q["flat"]) | F.contains(q["flat"], n["flat"])
-        return (
-            F.when(n["raw"] == q["api"], 3.0)
-            .when(n["raw"] == q["again"], 2.0)
-            .when(near, 1.0)
-            .otherwise(0.0)
-        )
-
-    return _match(queries, names, parts, score, 1.0, k, query, name, chunk_names)
+    asked, held = _numbered(queries, query, "query", "qid", parts), _numbered(names, name, "name", "nid", parts)
+    exact = [
+        asked.join(held.select("name"), F.col(f"parts.{column}") == F.col("name")).select("query", "name", F.lit(score).alias("score"))
+        for column, score in (("api", 3.0), ("again", 2.0))
+    ]
+    q = asked.select(F.col("qid").alias("id"), F.col("parts.text").alias("text"))
+    n = held.select(F.col("nid").alias("id"), F.col("parts.text").alias("text"))
+    over = contained(n.withColumnRenamed("id", "whole"), q.withColumnRenamed("id", "part"))
+    under = contained(q.withColumnRenamed("id", "whole"), n.withColumnRenamed("id", "part"))
+    pairs = over.select(F.col("part").alias("qid"), F.col("whole").alias("nid")).union(
+        under.select(F.col("whole").alias("qid"), F.col("part").alias("nid"))
+    )
+    near = pairs.distinct().join(asked.select("qid", "query"), "qid").join(held.select("nid", "name"), "nid")
+    # a text of separators alone is contained in every other; the first k names are all it can add
+    blank = F.col("parts.text") == ""
+    everything = held.select("name").orderBy("name").limit(k)
+    nothing = held.where(blank).select("name").orderBy("name").limit(k)
+    any_ = asked.where(blank).select("query", F.explode(F.array(F.lit(0))).alias("one")).join(
+        F.broadcast(everything.withColumn("one", F.lit(0))), "one"
+    ).union(asked.select("query", F.lit(0).alias("one")).join(F.broadcast(nothing.withColumn("one", F.lit(0))), "one"))
+    loose = near.select("query", "name").union(any_.select("query", "name")).withColumn("score", F.lit(1.0))
+    scored = exact[0].union(exact[1]).union(loose)
+    return _top(scored.groupBy("query", "name").agg(F.max("score").alias("score")), k)
 
 
 def accept_field(

@@ -1,5 +1,6 @@
 """Scalar rules, predicates and name scores on hand-made edge values."""
 
+import random
 import re
 from datetime import datetime
 
@@ -108,11 +109,12 @@ def test_semantic_score(spark):
     assert got[0] == 1.0 and got[1] == 1.0 and got[2] == 0.0 and got[3] == 0.0
 
 
-@pytest.mark.parametrize("chunk", [3, 4096])
-def test_fuzzy_join_is_exact_for_any_chunk_size(spark, chunk):
+@pytest.mark.parametrize("seeds", [1, 32])
+def test_fuzzy_join_is_exact_for_any_bound(spark, monkeypatch, seeds):
+    monkeypatch.setattr(M, "SEEDS", seeds)
     queries = spark.createDataFrame([(n,) for n in NAMES * 3], "query string")
     names = spark.createDataFrame([(n,) for n in NAMES], "name string")
-    got = {(r["query"], r["name"], r["rank"]) for r in M.fuzzy_join(queries, names, 0.3, 4, chunk_names=chunk).collect()}
+    got = {(r["query"], r["name"], r["rank"]) for r in M.fuzzy_join(queries, names, 0.3, 4).collect()}
     want = set()
     for q in NAMES:
         if not q:
@@ -122,6 +124,68 @@ def test_fuzzy_join_is_exact_for_any_chunk_size(spark, chunk):
     assert got == want
 
 
+def random_names(seed, count):
+    draw = random.Random(seed)
+    parts = ["ba", "co", "di", "fu", "ga", "he", "li", "mo", "nu", "pa", "re", "si", "ta", "vo", "é", "st"]
+    words = ["".join(draw.choices(parts, k=draw.randint(2, 5))) for _ in range(300)]
+    names = [draw.choice([" ", "_", "-"]).join(draw.choices(words, k=draw.randint(1, 4))) for _ in range(count)]
+    asked = []
+    for name in names[: count // 6]:
+        letters = list(name)
+        for _ in range(draw.randint(0, 3)):
+            letters[draw.randrange(len(letters))] = draw.choice("abstu ")
+        asked.append("".join(letters))
+    return sorted(set(names)), sorted(set(asked) | {"x", "-", "zzzzzz", "Ba", names[0].upper(), " ".join(words[:30])})
+
+
+def test_fuzzy_join_of_many_names_scores_few_pairs(spark):
+    """The best names of all pairs, found among a small part of them."""
+    names, asked = random_names(3, 900)
+    held, queries = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(q,) for q in asked], "query string")
+    pairs = queries.crossJoin(held).withColumn("score", T.fuzzy_score(F.col("query"), F.col("name"))).where("score >= 0.3")
+    want = sorted(map(tuple, M._top(pairs, 5).collect()))
+    assert sorted(map(tuple, M.fuzzy_join(queries, held, 0.3, 5).collect())) == want
+    parts = lambda c: T.fuzzy_parts(c, False)
+    numbered = M._numbered(queries, "query", "query", "qid", parts), M._numbered(held, "name", "name", "nid", parts)
+    assert M.fuzzy_candidates(*numbered, 0.3, 5).count() < 0.15 * len(names) * len(asked)
+
+
+def test_semantic_join_of_many_names_scores_few_pairs(spark):
+    draw = random.Random(4)
+    words = [f"{a}{b}" for a in ("gift", "date", "phone", "status", "addr", "zebra", "orchid", "violet") for b in ("", "qua", "lor", "mip", "tez", "vun")]
+    names = sorted({draw.choice([" ", "_", "."]).join(draw.choices(words, k=draw.randint(1, 5))) for _ in range(600)} | {"the", "AB", "ab", "phoneDate"})
+    asked = sorted(set(draw.sample(names, 80)) | {"PHONEDATE", "aB", "of", "nothing alike"})
+    held, queries = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(q,) for q in asked], "query string")
+    pairs = queries.crossJoin(held).withColumn("score", T.semantic_score(F.col("query"), F.col("name")))
+    for threshold in (0.1, 0.5):
+        want = sorted(map(tuple, M._top(pairs.where(F.col("score") >= threshold), 7).collect()))
+        assert sorted(map(tuple, M.semantic_join(queries, held, threshold, 7).collect())) == want
+    numbered = M._numbered(queries, "query", "query", "qid", T.semantic_parts), M._numbered(held, "name", "name", "nid", T.semantic_parts)
+    sets = [M._word_sets(x, c)[1] for x, c in zip(numbered, ("query", "name"))]
+    assert M.semantic_pairs(*sets, 0.5).count() < 0.1 * len(names) * len(asked)
+    with pytest.raises(ValueError):
+        M.semantic_join(queries, held, 0.0)
+
+
+def test_suggest_mapped_finds_containment_both_ways(spark):
+    names = ["gift amount", "Gift_Amount total", "amount", "_", "phone", "a", "Account", "account name", "id"]
+    asked = ["giftamount", "the gift amount total of it", "AMOUNT", " _", "ACC", "xyz", "Donor", "Account", "a"]
+    mapping = {"Donor": "phone", "Account": "account name", "other": "a"}
+    back = {v: k for k, v in mapping.items()}
+    flat = lambda t: t.lower().replace(" ", "").replace("_", "")
+    want = set()
+    for q in asked:
+        api, display = mapping.get(q, q), back.get(q, q)
+        again = mapping.get(display, display)
+        rows = []
+        for n in names:
+            score = 3.0 if api != q and n == api else 2.0 if display != q and n == again else 1.0 if flat(q) in flat(n) or flat(n) in flat(q) else 0.0
+            rows += [(-score, n)] if score else []
+        want |= {(q, n, -s, i + 1) for i, (s, n) in enumerate(sorted(rows)[:3])}
+    got = M.suggest_mapped(spark.createDataFrame([(q,) for q in asked], "query string"), spark.createDataFrame([(n,) for n in names], "name string"), mapping, 3)
+    assert set(map(tuple, got.collect())) == want
+
+
 def test_gift_ranges_leave_gaps(spark, rows):
     amounts = [0, 0.5, 1, 50, 50.5, 51, 250, 5000, 5000.01]
     df = spark.createDataFrame([(float(a),) for a in amounts], "amount double").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
