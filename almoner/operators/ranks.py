@@ -7,9 +7,10 @@ agree on them. Only one row per partition is ever brought together.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from almoner.session import materialize
@@ -169,50 +170,149 @@ def quintiles(
     return out.drop(_FACTS)
 
 
-def ranked_histogram(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Distinct values per metric with their count, the rows below them and the metric's rows."""
-    counts = _stacked(df, columns).groupBy("metric", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    stamped = _stamped(counts, [F.asc("metric"), F.asc("v")], None)
-    spans = _metric_spans(stamped, F.col("cnt"))
-    return _running(stamped, "cnt", "__run").join(F.broadcast(spans), "metric").select(
-        "metric", "v", "cnt", "n", (F.col("__run") - F.col("start") - F.col("cnt")).alias("before")
-    )
+class Ranks:
+    """What a selection knows of one metric: its rows, and near each probability the distinct values with their ranks."""
+
+    def __init__(self, n: int, near: Mapping[float, Sequence[tuple[float, int, int]]]):
+        self.n, self.near = n, near
+
+    def at(self, prob: float, place: int) -> tuple[float, int, int]:
+        """(value, rows below it, its rows) at a 0-based place close to `prob`."""
+        return next(x for x in self.near[prob] if x[1] <= place < x[1] + x[2])
+
+    def quantile(self, prob: float) -> float | None:
+        """Quantile with linear interpolation; None without rows."""
+        if not self.n:
+            return None
+        target = prob * (self.n - 1)
+        low, high = self.at(prob, math.floor(target))[0], self.at(prob, math.ceil(target))[0]
+        return low + (high - low) * (target - math.floor(target))
+
+    def percent_cut(self, prob: float) -> float | None:
+        """The largest value whose average percent rank is at most `prob`; None if there is none.
+
+        The value at place floor(prob * n) is it, or the distinct value before it is.
+        """
+        place = math.floor(prob * self.n) - 1
+        if place < 0:
+            return None
+        value, before, held = self.at(prob, place)
+        if (before + (held + 1) / 2) / self.n <= prob:
+            return value
+        return self.at(prob, before - 1)[0] if before else None
+
+
+def select_ranks(
+    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], most: int = 20_000, accuracy: int = 10_000
+) -> dict[str, Ranks]:
+    """Values around the given probabilities of several metrics, exactly and without sorting or moving rows.
+
+    One pass over `df` takes a quantile sketch of every metric, which names a bracket around each wanted place. A second
+    one counts the rows below and above each bracket and, by value, those inside. Exact counts show
+    whether the wanted places and the value before them lie inside; if not, the bracket is widened, and if its values
+    are too many for the driver (`most` per bracket, doubled each time), it is narrowed by a sketch of what is inside.
+    Nulls do not count.
+    """
+    probes = [(m, p) for m in columns for p in probs]
+    value = {m: c.cast("double") for m, c in columns.items()}
+    # what is known of each probe: open ends at first
+    ends: dict[tuple[str, float], tuple[float | None, float | None]] = dict.fromkeys(probes, (None, None))
+    spread = 2.0 / accuracy
+    counts = {m: 0 for m in columns}
+    below, inside = dict.fromkeys(probes, 0), dict.fromkeys(probes, 0)
+
+    def within(m: str, p: float) -> Column:
+        low, high = ends[m, p]
+        test = value[m].isNotNull()
+        if low is not None:
+            test &= value[m] >= F.lit(low)
+        return test if high is None else test & (value[m] <= F.lit(high))
+
+    def wanted(m: str, p: float) -> tuple[int, int]:
+        """First and last 0-based place that may be asked for."""
+        return max(0, math.floor(p * counts[m]) - 1), min(counts[m] - 1, math.ceil(p * counts[m]))
+
+    def named(rows: Row) -> None:
+        """New brackets from sketches of what was inside the old ones."""
+        for k, (m, p) in enumerate(probes):
+            found = rows[f"q{k}"]
+            if found is not None:
+                ends[m, p] = (rows[f"lo{k}"] if shares[k][0] <= 0 else found[0], rows[f"hi{k}"] if shares[k][1] >= 1 else found[1])
+
+    def sketch() -> Row:
+        parts = []
+        for k, (m, p) in enumerate(probes):
+            v = F.when(within(m, p), value[m])
+            low, high = (min(1.0, max(0.0, s)) for s in shares[k])
+            parts += [F.percentile_approx(v, [low, high], accuracy).alias(f"q{k}"), F.min(v).alias(f"lo{k}"), F.max(v).alias(f"hi{k}")]
+        return df.agg(*parts, *[F.count(value[m]).alias(f"n{j}") for j, m in enumerate(columns)]).first()
+
+    shares = [(p - spread, p + spread) for _, p in probes]
+    rows = sketch()
+    counts = {m: rows[f"n{j}"] for j, m in enumerate(columns)}
+    named(rows)
+    while True:
+        cells = []
+        for k, (m, p) in enumerate(probes):
+            low, high = ends[m, p]
+            v = value[m]
+            side = F.when(v < F.lit(low), 0).when(v > F.lit(high), 2).otherwise(1) if low is not None else F.lit(1)
+            cells.append(F.struct(F.lit(k).alias("k"), F.when(v.isNotNull(), side).alias("side"), F.when(side == 1, v).alias("v")))
+        seen = df.select(F.inline(F.array(*cells))).where("side is not null").groupBy("k", "side", "v").agg(F.count("*").alias("c"))
+        held = seen.limit(most * len(probes) + 1).collect()
+        if len(held) <= most * len(probes):
+            near: dict[tuple[str, float], list[tuple[float, int, int]]] = {}
+            failed = False
+            for k, (m, p) in enumerate(probes):
+                own = [r for r in held if r.k == k]
+                at = sum(r.c for r in own if r.side == 0)
+                start, found = at, []
+                for r in sorted((r for r in own if r.side == 1), key=lambda r: r.v):
+                    found.append((r.v, at, r.c))
+                    at += r.c
+                near[m, p] = found
+                first, last = wanted(m, p)
+                # the value at the first place must be inside, with the one before it unless nothing is below
+                head = next((x[1] for x in found if x[1] <= first < x[1] + x[2]), None)
+                failed |= counts[m] > 0 and (head is None or last >= at or 0 < start == head)
+            if not failed:
+                return {m: Ranks(counts[m], {p: near[m, p] for p in probs}) for m in columns}
+            spread *= 8
+            ends.update(dict.fromkeys(probes, (None, None)))
+            shares[:] = [(p - spread, p + spread) for _, p in probes]
+        else:
+            most *= 2  # so that an end is reached even where sketches cannot tell values apart
+            sums = []
+            for k, (m, p) in enumerate(probes):
+                low = ends[m, p][0]
+                sums += [F.count_if(value[m] < F.lit(low)).alias(f"b{k}"), F.count_if(within(m, p)).alias(f"i{k}")]
+            row = df.agg(*sums).first()
+            for k, (m, p) in enumerate(probes):
+                below[m, p], inside[m, p] = row[f"b{k}"], max(1, row[f"i{k}"])
+                first, last = wanted(m, p)
+                shares[k] = ((first - below[m, p]) / inside[m, p] - spread, (last + 1 - below[m, p]) / inside[m, p] + spread)
+        named(sketch())
 
 
-def _interpolated(metric: str, prob: float) -> Column:
-    """Linear-interpolation quantile of one metric, as an aggregate over ranked_histogram rows."""
-    target = F.lit(float(prob)) * (F.col("n") - 1).cast("double")
-    holds = lambda i: (
-        (F.col("metric") == metric) & (F.col("before") <= i) & (i < F.col("before") + F.col("cnt"))
-    )
-    low = F.max(F.when(holds(F.floor(target)), F.col("v")))
-    high = F.max(F.when(holds(F.ceil(target)), F.col("v")))
-    part = F.max(F.when(F.col("metric") == metric, target - F.floor(target)))
-    return low + (high - low) * part
+def _one_row(df: DataFrame, values: Mapping[str, object], kind: str) -> DataFrame:
+    """One row of known values."""
+    schema = ", ".join(f"`{name}` {kind}" for name in values)
+    return df.sparkSession.createDataFrame([tuple(values.values())], schema)
 
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[Column, float]]) -> DataFrame:
     """One row of exact quantiles, {alias: (column, probability)}, with linear interpolation."""
-    hist = ranked_histogram(df, {name: column for name, (column, _) in wanted.items()})
-    return hist.agg(*[_interpolated(name, p).alias(name) for name, (_, p) in wanted.items()])
+    probs = sorted({p for _, p in wanted.values()})
+    found = select_ranks(df, {name: column for name, (column, _) in wanted.items()}, probs)
+    return _one_row(df, {name: found[name].quantile(p) for name, (_, p) in wanted.items()}, "double")
 
 
 def value_cuts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """One row; per metric a struct of the six quintile edges and four percent-rank cut points."""
-    hist = ranked_histogram(df, columns)
-    pct = (F.col("before") + (F.col("cnt") + 1) / 2) / F.col("n")
     shares = (0.2, 0.4, 0.6, 0.8)
-    return hist.agg(
-        *[
-            F.struct(
-                F.array(*[_interpolated(m, p) for p in (0.0, *shares, 1.0)]).alias("edges"),
-                F.array(
-                    *[F.max(F.when((F.col("metric") == m) & (pct <= p), F.col("v"))) for p in shares]
-                ).alias("pct"),
-            ).alias(m)
-            for m in columns
-        ]
-    )
+    found = select_ranks(df, columns, (0.0, *shares, 1.0))
+    cuts = {m: ([r.quantile(p) for p in (0.0, *shares, 1.0)], [r.percent_cut(p) for p in shares]) for m, r in found.items()}
+    return _one_row(df, cuts, "struct<edges: array<double>, pct: array<double>>")
 
 
 def robust_scores(df: DataFrame, columns: Mapping[str, tuple[Column, bool]]) -> DataFrame:

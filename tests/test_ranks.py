@@ -73,3 +73,30 @@ def test_exact_quantiles_of_skewed_values(spark):
     got = R.exact_quantiles(frame(spark, values), wanted).first()
     for name, (_, p) in wanted.items():
         assert got[name] == pytest.approx(np.quantile(values, p), abs=1e-9)
+
+
+@pytest.mark.parametrize("most", [3, 20_000])
+@pytest.mark.parametrize("kind", ["ties", "spread", "two", "same", "one", "none"])
+def test_selected_ranks_equal_a_sort(spark, kind, most):
+    """Brackets that hold too many values are narrowed, brackets that miss are widened; both end at the sorted values."""
+    draw = np.random.default_rng(5)
+    values = {
+        "ties": draw.integers(0, 5, 700), "spread": draw.normal(size=900) * 1e6, "two": np.r_[np.zeros(600), np.ones(3)],
+        "same": np.repeat(4.0, 50), "one": np.array([2.5]), "none": np.array([]),
+    }[kind].astype(float)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)] + [(-1, None)], "k bigint, v double").repartition(3)
+    probs = (0.0, 0.2, 0.5, 0.9, 1.0)
+    found = R.select_ranks(df, {"a": F.col("v"), "b": -F.col("v")}, probs, most=most, accuracy=40 if most == 3 else 10_000)
+    for name, data in (("a", values), ("b", -values)):
+        series = pd.Series(data, dtype=float)
+        percent = series.rank(pct=True)
+        for p in probs:
+            assert found[name].quantile(p) == (pytest.approx(series.quantile(p), rel=1e-12, abs=1e-12) if len(data) else None)
+            able = series[percent <= p]
+            assert found[name].percent_cut(p) == (able.max() if len(able) else None), (name, p)
+
+
+def test_quantiles_exchange_no_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("v"))
+    plan = R.attach(df, R.exact_quantiles(df, {"q": (F.col("v"), 0.9)}))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
