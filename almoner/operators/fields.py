@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions.scalars import format_multivalue, parse_multivalue
 from almoner.operators.aggregates import rows
 from almoner.operators.quality import FieldMeta, error_free
+from almoner.operators.ranks import attach
 from almoner.session import materialize
 
 MULTI_TYPES = ("Checkbox", "MultiSelect")
-# Operations per block when a cell is edited many times; seq is unique, so no block holds more.
-BLOCK = 1024
+# An option with more than one in HOT_SHARE of all edits is spread over SALTS tasks.
+HOT_SHARE = 1000
+SALTS = 64
 
 
 def add_option(c: Column, option: Column | str) -> Column:
@@ -99,46 +102,49 @@ def op_allowed(fields: Sequence[FieldMeta]) -> Column:
     return F.coalesce(value.isNotNull() & fits & checked, F.lit(False))
 
 
-def _text_results(live: DataFrame, key: str) -> DataFrame:
-    """Appended text per cell: joined within each block, then over the blocks in order."""
-    texts = F.transform(F.array_sort("ops"), lambda o: o["value"])
-    blocks = live.select(key, "field", "block", F.array_join(texts, " ").alias("text"))
-    return blocks.groupBy(key, "field").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda b: b["text"]), " "
-        ).alias("appended")
+def _same(names: Sequence[str], prefix: str) -> Column:
+    return reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"{prefix}{n}")) for n in names])
+
+
+def _after_resets(edits: DataFrame, marks: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """Edits that follow their cell's last replace, with the option's last removal.
+
+    An option (or, for texts, a cell) that holds more than one in HOT_SHARE of all edits is spread over SALTS
+    copies of its mark. There are fewer than HOT_SHARE of these at any size, so they are broadcast.
+    """
+    total = marks.agg(F.sum("n").alias("edits"))
+    is_hot = F.col("n") * HOT_SHARE > F.col("__total")["edits"]
+    flagged = attach(marks, total, "__total").withColumn("hot", is_hot).drop("__total", "n")
+    hot = flagged.where("hot").select(*[F.col(c).alias(f"__h_{c}") for c in cell], F.lit(True).alias("__hot"))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = edits.join(F.broadcast(hot), _same(cell, "__h_"), "left").withColumn("__salt", salt)
+    copies = flagged.select(
+        *[F.col(c).alias(f"__m_{c}") for c in (*cell, "last", "reset")],
+        F.explode(F.sequence(F.lit(0), F.when(F.col("hot"), SALTS - 1).otherwise(0))).alias("__m___salt"),
     )
+    joined = salted.join(copies, _same([*cell, "__salt"], "__m_"))
+    later = F.col("__m_reset").isNull() | (F.col("seq") > F.col("__m_reset")["seq"])
+    return joined.where(later).select(*edits.columns, F.col("__m_last").alias("last"))
 
 
-def _list_results(live: DataFrame, key: str) -> DataFrame:
-    """Per cell and option: how many removals there were, and the first add after the last one."""
+def _text_results(edits: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Appended text per cell in seq order. It is as long as the value that the cell gets."""
+    live = _after_resets(edits, marks, [key, "field", "option"])
+    return live.groupBy(key, "field").agg(F.expr("listagg(value, ' ') WITHIN GROUP (ORDER BY seq)").alias("appended"))
+
+
+def _list_results(edits: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Per cell, one entry per edited option: how many removals there were, and the first add after the last one."""
     cell = [key, "field", "option"]
-    per_op = live.select(key, "field", "block", F.explode("ops").alias("o")).select(
-        key, "field", "block", F.col("o.value").alias("option"), "o.op", "o.seq"
-    )
-    removed = F.when(F.col("op") == "remove", F.col("seq"))
-    last = F.max(removed).over(Window.partitionBy(*cell, "block"))
-    added = F.when(F.col("op") == "add", F.col("seq"))
-    per_block = (
-        per_op.withColumn("last", last)
-        .groupBy(*cell, "block")
+    after = F.col("last").isNull() | (F.col("seq") > F.col("last"))
+    per_option = (
+        _after_resets(edits, marks, cell)
+        .groupBy(*cell)
         .agg(
-            F.count(removed).alias("removals"),
-            F.min(added).alias("first_add"),
-            F.min(F.when(F.col("seq") > F.col("last"), added)).alias("add_after"),
+            F.count_if(F.col("op") == "remove").alias("removals"),
+            F.min(F.when((F.col("op") == "add") & after, F.col("seq"))).alias("at"),
         )
     )
-    folded = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("block", "removals", "first_add", "add_after"))),
-        F.struct(F.lit(0).cast("bigint").alias("removals"), F.lit(None).cast("bigint").alias("at")),
-        lambda acc, b: F.struct(
-            (acc["removals"] + b["removals"]).alias("removals"),
-            F.when(b["removals"] > 0, b["add_after"])
-            .otherwise(F.coalesce(acc["at"], b["first_add"]))
-            .alias("at"),
-        ),
-    )
-    per_option = per_block.groupBy(*cell).agg(folded.alias("r")).select(*cell, "r.removals", "r.at")
     return per_option.groupBy(key, "field").agg(
         F.collect_list(F.struct("option", "removals", "at")).alias("options")
     )
@@ -147,8 +153,7 @@ def _list_results(live: DataFrame, key: str) -> DataFrame:
 def _apply_options(start: Column, options: Column) -> Column:
     """Surviving occurrences of the starting list, then added options in the order they were added."""
     values = parse_multivalue(start)
-    found = F.coalesce(options, F.array().cast("array<struct<option:string,removals:bigint,at:bigint>>"))
-    removals = F.map_from_entries(F.transform(found, lambda o: F.struct(o["option"], o["removals"])))
+    removals = F.map_from_entries(F.transform(options, lambda o: F.struct(o["option"], o["removals"])))
     count = lambda xs, v: F.size(F.filter(xs, lambda x: x == v))
     survivors = F.filter(
         values,
@@ -156,48 +161,41 @@ def _apply_options(start: Column, options: Column) -> Column:
         > F.coalesce(F.try_element_at(removals, v), F.lit(0)),
     )
     fresh = F.filter(
-        found, lambda o: o["at"].isNotNull() & (o["removals"] >= count(values, o["option"]))
+        options, lambda o: o["at"].isNotNull() & (o["removals"] >= count(values, o["option"]))
     )
     ordered = F.array_sort(F.transform(fresh, lambda o: F.struct(o["at"].alias("at"), o["option"].alias("option"))))
     return format_multivalue(F.concat(survivors, F.transform(ordered, lambda o: o["option"])))
 
 
-def batch_update(
-    df: DataFrame, ops: DataFrame, fields: Sequence[FieldMeta], key: str, block: int = BLOCK
-) -> DataFrame:
+def batch_update(df: DataFrame, ops: DataFrame, fields: Sequence[FieldMeta], key: str) -> DataFrame:
     """Apply (key, field, op, value, seq) edits in seq order; edits that do not fit change nothing.
 
-    Only edits after a cell's last replace count. A cell may hold most of all edits, so edits are
-    first gathered into blocks of bounded size and a cell is put together from its blocks. The
-    blocks are materialized, so the edits are read and shuffled once.
+    `seq` is unique and of any type with an order. Only edits after a cell's last replace count. A first
+    aggregate marks the last replace per cell and the last removal per option, a second one sums up what follows the
+    marks, so no edit is gathered into a list. The marks are materialized: one row per cell and option.
     """
     meta = _by_name(fields)
     names = [n for n in meta if n in df.columns]
-    allowed = ops.where(op_allowed(fields) & F.col("field").isin(*names))
-    blocks = materialize(
-        allowed.groupBy(key, "field", F.floor(F.col("seq") / block).alias("block")).agg(
-            F.collect_list(F.struct("seq", "op", "value")).alias("ops")
-        )
+    many = [n for n in names if meta[n].display_type in MULTI_TYPES]
+    is_many = F.col("field").isin(*many) if many else F.lit(False)
+    option = F.when(F.col("op").isin("add", "remove"), F.col("value"))
+    edits = ops.where(op_allowed(fields) & F.col("field").isin(*names)).select(
+        key, "field", option.alias("option"), "op", "value", "seq"
     )
-    replaces = F.filter("ops", lambda o: o["op"] == "replace")
-    last = F.array_max(F.transform(replaces, lambda o: F.struct(o["seq"], o["value"])))
-    resets = blocks.groupBy(key, "field").agg(F.max(last).alias("reset"))
-    edits = (
-        blocks.join(resets, [key, "field"])
-        .withColumn(
-            "ops",
-            F.filter(
-                "ops",
-                lambda o: (o["op"] != "replace") & (o["seq"] > F.coalesce(F.col("reset.seq"), F.lit(-1))),
-            ),
+    of_kind = lambda kind: F.when(F.col("op") == kind, F.col("seq"))
+    marks = materialize(
+        edits.groupBy(key, "field", "option").agg(
+            rows().alias("n"),
+            F.max(of_kind("remove")).alias("last"),
+            F.max_by(F.struct("seq", "value"), of_kind("replace")).alias("reset"),
         )
-        .where(F.size("ops") > 0)
     )
-    many = [n for n in names if meta[n].display_type in MULTI_TYPES]
-    is_many = F.col("field").isin(*many) if many else F.lit(False)
-    parts = resets.unionByName(
-        _text_results(edits.where(~is_many), key), allowMissingColumns=True
-    ).unionByName(_list_results(edits.where(is_many), key), allowMissingColumns=True)
+    resets = marks.where(F.col("reset").isNotNull()).select(key, "field", "reset")
+    bounds = marks.drop("reset").join(resets, [key, "field"], "left")
+    others = edits.where(F.col("op") != "replace")
+    texts = _text_results(others.where(~is_many), bounds.where(~is_many), key)
+    lists = _list_results(others.where(is_many), bounds.where(is_many & F.col("option").isNotNull()), key)
+    parts = resets.unionByName(texts, allowMissingColumns=True).unionByName(lists, allowMissingColumns=True)
 
     def of_field(n: str) -> Column:
         # at most one row per cell holds each part

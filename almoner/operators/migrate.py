@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -197,29 +197,107 @@ def bulk_add_option(df: DataFrame, field: str, option: str) -> DataFrame:
     return lacking_option(df, field, option).withColumn(field, format_multivalue(added))
 
 
+def _rules(fields: Sequence[FieldMeta]) -> tuple[list[FieldMeta], list[int]]:
+    """Distinct validation rules, and the rule of every field: fields of one kind share one."""
+    kinds = [replace(m, name="", id=None, data_type=None) for m in fields]
+    distinct = list(dict.fromkeys(kinds))
+    return distinct, [distinct.index(k) for k in kinds]
+
+
+def _values_by_field(df: DataFrame, used: Sequence[FieldMeta], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per row and field: position, name, text, and per rule whether the text would pass it."""
+    distinct, _ = _rules(used)
+    text = F.array(*[F.col(f"`{m.name}`").cast("string") for m in used])
+    names = F.array(*[F.lit(m.name) for m in used])
+    long = df.select(*keep, F.posexplode(text).alias("at", "value"))
+    valid = F.array(*[error_free(F.col("value"), r) for r in distinct])
+    return long.withColumn("source", names[F.col("at")]).withColumn("valid", valid)
+
+
 def all_pair_report(df: DataFrame, fields: Sequence[FieldMeta]) -> DataFrame:
     """Rows per ordered field pair and status of copying one into the other when it is empty.
 
-    All pairs are counted in one pass; no row is repeated per pair.
+    Values are checked against each distinct rule once and counted by (field, rule); pairs are put together from
+    these counts and the list of fields, so neither the plan nor the rows grow with the number of pairs.
     """
     used = [m for m in fields if m.name in df.columns]
-    pairs = []
-    for s in used:
-        for t in used:
-            if s.name == t.name:
-                continue
-            source = F.col(f"`{s.name}`").cast("string")
-            valid = error_free(source, t)
-            pairs.append(
-                F.struct(
-                    F.lit(s.name).alias("source"),
-                    F.lit(t.name).alias("target"),
-                    F.count_if(source.isNotNull() & valid).alias("success"),
-                    F.count_if(source.isNotNull() & ~valid).alias("failed"),
-                    F.count_if(source.isNull()).alias("skipped"),
-                )
-            )
-    return df.agg(F.array(*pairs).alias("p")).select(F.inline("p"))
+    distinct, rule_of = _rules(used)
+    filled = F.col("value").isNotNull()
+    counted = (
+        _values_by_field(df, used)
+        .groupBy("source")
+        .agg(
+            F.count_if(filled).alias("filled"),
+            F.count_if(~filled).alias("skipped"),
+            F.array(*[F.count_if(filled & F.col("valid")[i]) for i in range(len(distinct))]).alias("passed"),
+        )
+    )
+    others = F.array(*[F.struct(F.lit(m.name).alias("target"), F.lit(r).alias("rule")) for m, r in zip(used, rule_of)])
+    success = F.col("passed")[F.col("t.rule")]
+    return (
+        counted.withColumn("t", F.explode(others))
+        .where(F.col("source") != F.col("t.target"))
+        .select("source", "t.target", success.alias("success"), (F.col("filled") - success).alias("failed"), "skipped")
+    )
+
+
+def row_pair_report(df: DataFrame, fields: Sequence[FieldMeta], key: str) -> DataFrame:
+    """Per row, source and target: status of a trial copy into an empty target, why, and both values.
+
+    A missing source is skipped, an invalid one fails; a filled target is a success that copies nothing. The report
+    has fields x (fields - 1) rows for each row of `df`, which is meant to be a selection; nothing is shuffled.
+    """
+    used = [m for m in fields if m.name in df.columns]
+    _, rule_of = _rules(used)
+    targets = F.array(
+        *[
+            F.struct(F.lit(m.name).alias("target"), F.lit(r).alias("rule"), F.lit(i).alias("at"))
+            for i, (m, r) in enumerate(zip(used, rule_of))
+        ]
+    )
+    texts = F.array(*[F.col(f"`{m.name}`").cast("string") for m in used])
+    held = df.select(F.col(f"`{key}`").alias("__key"), *[F.col(f"`{m.name}`") for m in used]).withColumn("__all", texts)
+    pairs = (
+        _values_by_field(held, used, ["__key", "__all"])
+        .withColumn("t", F.explode(targets))
+        .where(F.col("at") != F.col("t.at"))
+    )
+    missing, passes = F.col("value").isNull(), F.col("valid")[F.col("t.rule")]
+    return pairs.select(
+        F.col("__key").alias(key),
+        "source",
+        "t.target",
+        F.when(missing, "skipped").when(passes, "success").otherwise("failed").alias("status"),
+        F.when(missing, "No source value").when(~passes, "Migration execution failed").alias("reason"),
+        F.col("value").alias("source_value"),
+        F.when(~missing, F.col("__all")[F.col("t.at")]).alias("target_value"),
+    )
+
+
+def row_pair_totals(df: DataFrame, fields: Sequence[FieldMeta], key: str) -> DataFrame:
+    """Per row: pairs, successful, failed and skipped ones, without listing them."""
+    used = [m for m in fields if m.name in df.columns]
+    distinct, rule_of = _rules(used)
+    held = df.select(F.col(f"`{key}`").alias("__key"), F.struct(*[F.col(f"`{m.name}`") for m in used]).alias("__row"))
+    stamped = held.withColumn("__id", F.monotonically_increasing_id()).select("__key", "__id", "__row.*")
+    own = F.array(*[F.lit(r) for r in rule_of])[F.col("at")]
+    # targets per rule, without the source itself
+    passed = sum(
+        F.col("valid")[i].cast("int") * (F.lit(rule_of.count(i)) - (own == i).cast("int")) for i in range(len(distinct))
+    )
+    filled, others = F.col("value").isNotNull(), len(used) - 1
+    return (
+        _values_by_field(stamped, used, ["__key", "__id"])
+        .groupBy("__id", "__key")
+        .agg(
+            F.lit(len(used) * others).cast("bigint").alias("total_mappings"),
+            F.sum(F.when(filled, passed).otherwise(0)).alias("successful_mappings"),
+            F.sum(F.when(filled, F.lit(others) - passed).otherwise(0)).alias("failed_mappings"),
+            F.sum(F.when(filled, 0).otherwise(others)).alias("skipped_mappings"),
+        )
+        .withColumnRenamed("__key", key)
+        .drop("__id")
+    )
 
 
 def resource_filter(df: DataFrame, wanted: Mapping[str, Any]) -> DataFrame:

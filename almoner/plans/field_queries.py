@@ -360,6 +360,40 @@ def _(crm):
     return E.batch_outcomes(_batch(crm), FIELDS)
 
 
+def _hot_batch(crm):
+    hot = F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_suppkey"))
+    which = F.pmod(F.col("l_quantity").cast("int"), F.lit(3))
+    return crm.table("lineitem").select(
+        hot.cast("bigint").alias("account_id"),
+        F.lit("v_tags").alias("field"),
+        F.when(F.col("l_returnflag") == "N", "add").otherwise("remove").alias("op"),
+        F.when(which == 0, "Art").when(which == 1, "Music").otherwise("Food").alias("value"),
+        (F.col("l_orderkey").cast("bigint") * 86400000000 + F.col("l_linenumber") * 1000 + F.col("l_suppkey") % 1000).alias("seq"),
+    )
+
+
+@query(
+    "M6_hot_cell",
+    WIDE
+    + """, ops AS (SELECT CAST(CASE WHEN l_linenumber <= 2 THEN 1 ELSE l_suppkey END AS BIGINT) AS account_id, CASE WHEN l_returnflag = 'N' THEN 'add' ELSE 'remove' END AS op,
+      CASE CAST(l_quantity AS INTEGER) % 3 WHEN 0 THEN 'Art' WHEN 1 THEN 'Music' ELSE 'Food' END AS v, CAST(l_orderkey AS BIGINT) * 86400000000 + l_linenumber * 1000 + l_suppkey % 1000 AS seq FROM lineitem),
+    sums AS (SELECT account_id, v, count(*) FILTER (WHERE op = 'remove') AS removals, max(seq) FILTER (WHERE op = 'remove') AS last FROM ops GROUP BY 1, 2),
+    again AS (SELECT o.account_id, o.v, min(o.seq) AS at FROM ops o JOIN sums s ON s.account_id = o.account_id AND s.v = o.v
+      WHERE o.op = 'add' AND (s.last IS NULL OR o.seq > s.last) GROUP BY 1, 2),
+    lists AS (SELECT account_id, list_filter(list_transform(string_split(coalesce(v_tags, ''), CASE WHEN contains(coalesce(v_tags, ''), '|') THEN '|' ELSE ',' END), lambda x: trim(x)), lambda x: x <> '') AS l FROM wide),
+    items AS (SELECT account_id, unnest(l) AS v, generate_subscripts(l, 1) AS i FROM lists),
+    nth AS (SELECT *, row_number() OVER (PARTITION BY account_id, v ORDER BY i) AS k FROM items),
+    held AS (SELECT n.account_id, n.v, 0 AS part, n.i AS place FROM nth n LEFT JOIN sums s ON s.account_id = n.account_id AND s.v = n.v WHERE n.k > coalesce(s.removals, 0)
+      UNION ALL SELECT a.account_id, a.v, 1, a.at FROM again a JOIN sums s ON s.account_id = a.account_id AND s.v = a.v
+        WHERE s.removals >= (SELECT count(*) FROM items i WHERE i.account_id = a.account_id AND i.v = a.v)),
+    joined AS (SELECT account_id, string_agg(v, '|' ORDER BY part, place) AS tags FROM held GROUP BY 1)
+    SELECT w.account_id, CASE WHEN w.account_id IN (SELECT account_id FROM ops) THEN coalesce(j.tags, '') ELSE w.v_tags END AS v_tags
+    FROM wide w LEFT JOIN joined j ON j.account_id = w.account_id""",
+)
+def _(crm):
+    return E.batch_update(_wide(crm), _hot_batch(crm), FIELDS, "account_id").select("account_id", "v_tags")
+
+
 PLAN = [
     M.FieldMapping("v_kind", "v_note", "MERGE"),
     M.FieldMapping("v_email", "v_odd", "COPY_IF_EMPTY"),
@@ -469,6 +503,37 @@ def _(crm):
     return M.all_pair_report(_wide(crm), used)
 
 
+# an empty text passes everywhere but in the required note, a filled one only there
+PAIRED = ("v_kind", "v_yes", "v_tags", "v_note")
+PAIRS = WIDE + ", u AS (" + " UNION ALL ".join(f"SELECT account_id, '{n}' AS source, {n} AS value FROM wide" for n in PAIRED) + """),
+  pairs AS (SELECT s.account_id, s.source, t.source AS target, s.value AS source_value, CASE WHEN s.value IS NOT NULL THEN t.value END AS target_value,
+    CASE WHEN s.value IS NULL THEN 'skipped' WHEN (s.value <> '') = (t.source = 'v_note') THEN 'success' ELSE 'failed' END AS status
+    FROM u s JOIN u t ON t.account_id = s.account_id AND t.source <> s.source)
+"""
+
+
+def _paired():
+    return [m for m in FIELDS if m.name in PAIRED]
+
+
+@query(
+    "M14_row_pair_report",
+    PAIRS + "SELECT *, CASE status WHEN 'skipped' THEN 'No source value' WHEN 'failed' THEN 'Migration execution failed' END AS reason FROM pairs",
+)
+def _(crm):
+    return M.row_pair_report(_wide(crm), _paired(), "account_id")
+
+
+@query(
+    "M14_row_pair_totals",
+    PAIRS
+    + """SELECT account_id, count(*) AS total_mappings, count(*) FILTER (WHERE status = 'success') AS successful_mappings, count(*) FILTER (WHERE status = 'failed') AS failed_mappings,
+      count(*) FILTER (WHERE status = 'skipped') AS skipped_mappings FROM pairs GROUP BY account_id""",
+)
+def _(crm):
+    return M.row_pair_totals(_wide(crm), _paired(), "account_id")
+
+
 @query("M15_resource_filter", WIDE + "SELECT account_id FROM wide WHERE country = 'ASIA' AND v_kind = 'BUILDING'")
 def _(crm):
     return M.resource_filter(_wide(crm), {"country": "ASIA", "v_kind": "BUILDING"}).select("account_id")

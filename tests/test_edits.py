@@ -57,8 +57,10 @@ def test_batch_update_replays_edits_in_order(spark):
     rows = [(k, *v) for k, v in start.items()]
     df = spark.createDataFrame(rows, "k int, tags string, note string")
     ops = spark.createDataFrame(rng.sample(edits, len(edits)), "k int, field string, op string, value string, seq bigint")
-    for block in (16, 1024):
-        got = {r["k"]: (r["tags"], r["note"]) for r in E.batch_update(df, ops, META, "k", block).collect()}
+    # numbers without gaps, and numbers like times in microseconds
+    for number in (F.col("seq"), F.col("seq") * 86_400_000_017 + 1_700_000_000_000_000):
+        edited = E.batch_update(df, ops.withColumn("seq", number), META, "k")
+        got = {r["k"]: (r["tags"], r["note"]) for r in edited.collect()}
         for key, cell in start.items():
             mine = [(f, o, v) for k, f, o, v, _ in edits if k == key]
             want = replay(cell, mine)
@@ -66,6 +68,24 @@ def test_batch_update_replays_edits_in_order(spark):
             assert got[key][1] == want[1], key
 
 
+def test_batch_update_takes_times_as_order_and_gathers_no_edits(spark):
+    df = spark.createDataFrame([(1, "a|b", "hi"), (2, None, None)], "k int, tags string, note string")
+    ops = spark.createDataFrame(
+        [
+            (1, "tags", "remove", "a", "2024-01-01 00:00:00"),
+            (1, "tags", "add", "a", "2024-01-01 00:00:01"),
+            (1, "note", "append", "x", "2024-01-03 00:00:00"),
+            (1, "note", "append", "w", "2024-01-02 00:00:00"),
+            (None, "note", "append", "lost", "2024-01-02 00:00:00"),
+            (2, None, "append", "lost", "2024-01-02 00:00:00"),
+        ],
+        "k int, field string, op string, value string, seq string",
+    ).withColumn("seq", F.col("seq").cast("timestamp"))
+    out = E.batch_update(df, ops, META, "k")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "b|a", "hi w x"), (2, None, None)]
+    assert sorted(tuple(r) for r in E.batch_update(df, ops.limit(0), META, "k").collect()) == sorted(tuple(r) for r in df.collect())
+
+
 def test_option_edits(spark, rows):
     df = spark.createDataFrame([(["a", "b", "a"],), (None,), ([],)], "l array<string>")
     assert rows(df.select(E.add_option(F.col("l"), "b"))) == [(["a", "b", "a"],), (["b"],), (["b"],)]
@@ -167,3 +187,29 @@ def test_migration_strategies(spark, rows):
     assert rows(dry, "k", "tags") == rows(df, "k", "tags")
     alone = [M.FieldMapping("s", "tags", "TRANSFORM", validate=False)]
     assert M.migration_report(M.migrate(df, alone, meta)).first()["successful"] == 0
+
+
+def test_pair_reports_agree_and_plan_many_fields(spark):
+    kinds = ["OneLineText", "Email", "YesNo", "Number", "Date"]
+    many = [FieldMeta(f"f{i}", kinds[i % 5], required=i % 7 == 0) for i in range(300)]
+    wide = spark.range(3).select("id", *[F.lit("yes" if i % 2 else None).cast("string").alias(m.name) for i, m in enumerate(many)])
+    assert M.all_pair_report(wide, many).count() == 300 * 299
+    df = spark.createDataFrame(
+        [(1, "yes", "a@b.org", None), (2, None, "", "yes"), (2, "x", None, None), (None, "no", "no", "no")],
+        "k int, f0 string, f1 string, f2 string",
+    )
+    few = many[:3]
+    listed = M.row_pair_report(df, few, "k")
+    by_pair = {(r["source"], r["target"]): r for r in M.all_pair_report(df, few).collect()}
+    for (source, target), r in by_pair.items():
+        of_pair = listed.where((F.col("source") == source) & (F.col("target") == target))
+        got = dict(of_pair.groupBy("status").count().collect())
+        assert [got.get(s, 0) for s in ("success", "failed", "skipped")] == [r["success"], r["failed"], r["skipped"]]
+    totals = sorted((r["k"] or 0, *list(r)[1:]) for r in M.row_pair_totals(df, few, "k").collect())
+    counts = listed.groupBy("k").pivot("status", ["success", "failed", "skipped"]).count().na.fill(0).collect()
+    for r in counts:
+        mine = [t for t in totals if t[0] == (r["k"] or 0)]
+        assert [sum(t[i] for t in mine) for i in (2, 3, 4)] == [r["success"], r["failed"], r["skipped"]]
+    one = listed.where("k = 1 AND source = 'f0' AND target = 'f1'").collect()
+    assert [tuple(r) for r in one] == [(1, "f0", "f1", "failed", "Migration execution failed", "yes", "a@b.org")]
+    assert M.row_pair_report(df.limit(0), few, "k").count() == 0

@@ -22,6 +22,9 @@ CHECKED = (
     "Q12_accept_field",
     "D5_validate_fields",
     "M6_batch_update",
+    "M6_hot_cell",
+    "M14_all_pair_report",
+    "M14_row_pair_report",
     "M7_migrate",
     "E6_engagement_score",
     "G2_effective_permissions",
