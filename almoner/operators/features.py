@@ -47,6 +47,18 @@ def discover_columns(names: Sequence[str], patterns=COLUMN_PATTERNS) -> dict[str
     }
 
 
+def discovered_fill(df: DataFrame, patterns=COLUMN_PATTERNS) -> DataFrame:
+    """One row per category and column found for it, with the rows that hold a value; one pass over the table."""
+    found = [(kind, name) for kind, names in discover_columns(df.columns, patterns).items() for name in names]
+    if not found:
+        return df.sparkSession.createDataFrame([], "kind string, column string, filled bigint")
+    counts = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("column"), F.count(F.col(f"`{name}`")).alias("filled"))
+        for kind, name in found
+    ]
+    return df.agg(F.array(*counts).alias("s")).select(F.inline("s"))
+
+
 def _flag(test: Column) -> Column:
     return F.coalesce(test, F.lit(False)).cast("int")
 

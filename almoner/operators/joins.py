@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from almoner.functions.predicates import op_not_blank
 from almoner.session import materialize
 
-# lists of at most this many keys, after a count, are sent along instead of being shuffled to
-SMALL_ROWS = 100_000
+# tasks that the gifts of one campaign are spread over
 SALTS = 16
 
 
@@ -35,33 +34,38 @@ def with_profile(metrics: DataFrame, accounts: DataFrame, key: str = "account_id
     return metrics.join(accounts, key, "left")
 
 
-def match_campaigns(gifts: DataFrame, campaigns: DataFrame, gift_id: str, gift_name: str) -> DataFrame:
-    """Gift rows with the campaign_id of every campaign they name by id or by name, each pair once.
-
-    The few distinct (id, name) pairs of the gifts are matched, and the gifts meet the result in one join: without
-    moving when it was counted to be small enough to send along, else with both keys salted.
-    """
+def _matched_pairs(gifts: DataFrame, campaigns: DataFrame, gift_id: str, gift_name: str) -> DataFrame:
+    """Distinct (id, name) pairs of the gifts with the campaign_id of every campaign they name, each once."""
     pairs = gifts.select(F.col(gift_id).alias("__id"), F.col(gift_name).alias("__name")).distinct()
     known = campaigns.select("campaign_id", "campaign_name")
     by_id = pairs.join(known, F.col("__id") == F.col("campaign_id"))
     by_name = pairs.join(known, F.col("__name") == F.col("campaign_name"))
-    matched = materialize(by_id.union(by_name).select("__id", "__name", "campaign_id").distinct())
+    return by_id.union(by_name).select("__id", "__name", "campaign_id").distinct()
+
+
+def _meet_pairs(gifts: DataFrame, matched: DataFrame, gift_id: str, gift_name: str) -> DataFrame:
+    """Gifts with the columns of their pairs in one join, salted since one campaign may hold most gifts.
+
+    Where the matched pairs are small, adaptive execution broadcasts them.
+    """
     same = F.col(gift_id).eqNullSafe(F.col("__id")) & F.col(gift_name).eqNullSafe(F.col("__name"))
-    if matched.count() <= SMALL_ROWS:
-        return gifts.join(F.broadcast(matched), same).drop("__id", "__name")
     copies = matched.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = gifts.withColumn("__salt", F.pmod(F.xxhash64(*gifts.columns), F.lit(SALTS)).cast("int"))
     return salted.join(copies, same & (F.col("__salt") == F.col("__copy"))).drop("__id", "__name", "__copy", "__salt")
 
 
+def match_campaigns(gifts: DataFrame, campaigns: DataFrame, gift_id: str, gift_name: str) -> DataFrame:
+    """Gift rows with the campaign_id of every campaign they name by id or by name, each pair once."""
+    matched = materialize(_matched_pairs(gifts, campaigns, gift_id, gift_name))
+    return _meet_pairs(gifts, matched, gift_id, gift_name)
+
+
 def campaign_join(campaigns: DataFrame, donations: DataFrame) -> DataFrame:
     """Donations per campaign by id or by name, each pair once; empty campaigns keep one null row."""
     id_name, name_name = "donation_campaign_id", "donation_campaign_name"
-    matched = match_campaigns(donations, campaigns, id_name, name_name)
-    if campaigns.count() <= SMALL_ROWS:
-        matched = matched.join(F.broadcast(campaigns), "campaign_id")
-    else:
-        matched = matched.join(campaigns, "campaign_id")
+    # campaigns join the few pairs, so that the donations are joined once
+    known = materialize(_matched_pairs(donations, campaigns, id_name, name_name).join(campaigns, "campaign_id"))
+    matched = _meet_pairs(donations, known, id_name, name_name)
     pairs = donations.select(F.col(id_name).alias("campaign_id"), F.col(name_name).alias("campaign_name")).distinct()
     pairs = materialize(pairs)
     empty = campaigns.join(pairs, "campaign_id", "left_anti").join(pairs, "campaign_name", "left_anti")

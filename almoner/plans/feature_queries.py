@@ -56,12 +56,19 @@ engaged AS (SELECT *, round((contact_completeness * v1 + has_recent_activity * v
 """
 
 
-@query("E1_discover_columns", "SELECT 'phone' AS kind, count(phone) AS filled FROM accounts UNION ALL SELECT 'email', count(email) FROM accounts")
+DISCOVERED = (
+    ("donation_amount", "total_giving"), ("donation_count", "donation_count"), ("phone", "phone_1"), ("address", "city"),
+    ("email", "email_1"), ("date", "created"), ("date", "modified"), ("event", "event_registrations"),
+    ("membership", "memberships_held"), ("membership", "total_membership_fees"), ("activity", "volunteer_hours"),
+)
+
+
+@query(
+    "E1_discover_columns",
+    RAW + " UNION ALL ".join(f"SELECT '{kind}' AS kind, '{name}' AS \"column\", count({name}) AS filled FROM raw" for kind, name in DISCOVERED),
+)
 def _(crm):
-    found = E.discover_columns(crm.accounts.columns)
-    first = [(kind, found[kind][0]) for kind in ("phone", "email")]
-    counts = [F.struct(F.lit(k).alias("kind"), F.count(c).alias("filled")) for k, c in first]
-    return crm.accounts.agg(F.array(*counts).alias("s")).select(F.inline("s"))
+    return E.discovered_fill(_raw(crm))
 
 
 @query("E2_targets", BUILT + "SELECT account_id, lifetime_donation_amount, donation_count, is_donor, is_major_donor FROM built")
