@@ -140,16 +140,22 @@ def _(crm):
     return _pairs(crm).select("k", T.lev_sim(F.col("q"), F.col("n")).alias("sim"))
 
 
-_OVERLAP = (
-    "WITH pair AS (SELECT k, q, n, lower(q) AS a, lower(n) AS b, "
-    + _words("q") + " AS wa, " + _words("n") + f" AS wb FROM {_PAIR})"
-    + """, s AS (SELECT *, list_sum(list_transform(wa, lambda s: coalesce(list_filter(list_transform(wb, lambda t: CASE WHEN s = t THEN 1.0::DOUBLE
+def _overlap_sql(pair):
+    words = "WITH pair AS (SELECT k, q, n, lower(q) AS a, lower(n) AS b, " + _words("q") + " AS wa, " + _words("n") + f" AS wb FROM {pair})"
+    return words + _OVERLAP_STEP
+
+
+_OVERLAP_STEP = (
+    """, s AS (SELECT *, list_sum(list_transform(wa, lambda s: coalesce(list_filter(list_transform(wb, lambda t: CASE WHEN s = t THEN 1.0::DOUBLE
       WHEN starts_with(s, t) OR starts_with(t, s) THEN 0.8::DOUBLE WHEN contains(s, t) OR contains(t, s) THEN 0.6::DOUBLE END), lambda r: r IS NOT NULL)[1], 0.0::DOUBLE))) / greatest(len(wa), len(wb)) AS w,
       1.0::DOUBLE - levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) AS l FROM pair)
     """
 )
 
 
+_OVERLAP = _overlap_sql(_PAIR)
+
+
 @query("Q2_word_overlap", _OVERLAP + "SELECT k, round(w, 9) AS overlap FROM s")
 def _(crm):
     overlap = T.word_overlap(T.split_words(F.col("q")), T.split_words(F.col("n")))
@@ -165,6 +171,35 @@ def _(crm):
     return rounded(_pairs(crm).select("k", T.fuzzy_score(F.col("q"), F.col("n")).alias("score")), "score", digits=9)
 
 
+# every branch of the score: equal but for case, beginning, inside, empty, missing, and the mix
+_BRANCHED = """(SELECT p_partkey AS k, CASE WHEN p_partkey % 7 = 5 THEN NULL ELSE p_name END AS q, CASE p_partkey % 7 WHEN 0 THEN upper(p_name) WHEN 1 THEN split_part(p_name, ' ', 1)
+  WHEN 2 THEN 'the ' || p_name || '!' WHEN 3 THEN '' WHEN 4 THEN p_name || ' ' || p_type ELSE lower(p_type) || ' ' || split_part(p_name, ' ', 2) END AS n FROM part)"""
+
+
+@query(
+    "Q3_fuzzy_score_branches",
+    _overlap_sql(_BRANCHED)
+    + """, r AS (SELECT *, least(length(a), length(b))::DOUBLE / greatest(length(a), length(b)) AS ratio FROM s)
+    SELECT k, round(CASE WHEN q IS NULL OR n IS NULL OR q = '' OR n = '' THEN 0.0::DOUBLE WHEN a = b THEN 1.0::DOUBLE WHEN starts_with(a, b) OR starts_with(b, a) THEN ratio * 0.9::DOUBLE
+      WHEN contains(a, b) OR contains(b, a) THEN ratio * 0.8::DOUBLE ELSE greatest(w * 0.7::DOUBLE + l * 0.3::DOUBLE, w, l) END, 9) AS score FROM r""",
+)
+def _(crm):
+    name, kind, which = F.col("p_name"), F.col("p_type"), F.col("p_partkey") % 7
+    word = lambda i: F.split_part(name, F.lit(" "), F.lit(i))
+    other = (
+        F.when(which == 0, F.upper(name))
+        .when(which == 1, word(1))
+        .when(which == 2, F.concat(F.lit("the "), name, F.lit("!")))
+        .when(which == 3, "")
+        .when(which == 4, F.concat_ws(" ", name, kind))
+        .otherwise(F.concat_ws(" ", F.lower(kind), word(2)))
+    )
+    pairs = crm.table("part").select(
+        F.col("p_partkey").alias("k"), F.when(which != 5, name).alias("q"), other.alias("n")
+    )
+    return rounded(pairs.select("k", T.fuzzy_score(F.col("q"), F.col("n")).alias("score")), "score", digits=9)
+
+
 @query("Q4_fuzzy_join", NAMES_SQL + fuzzy_sql() + best_sql("fz", "best", 0.3, 10) + "SELECT query, name, round(score, 9) AS score, rank FROM best")
 def _(crm):
     return rounded(M.fuzzy_join(_asked(crm), _names(crm)), "score", digits=9)
