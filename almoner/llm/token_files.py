@@ -25,9 +25,8 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
-from functools import partial
-from itertools import filterfalse, islice
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +48,73 @@ _GAP = re.compile(r"(?<=\S)(?= \S)")
 _MANIFEST = "part int, path string, docs long, ids long"
 
 
+def _gather(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of `ids` that begin at `starts`, one behind the other."""
+    before = np.cumsum(sizes) - sizes
+    return ids[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+class _Codes(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        return code
+
+
+class _WordStore:
+    """Ids of the words of many texts; each word is looked up once, and new ones are learned together.
+
+    A word's code is the place of its run in one array of ids. Above _STORE words a new generation begins;
+    what is asked for again returns from the one before.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype: str):
+        self.learn, self.dtype = learn, dtype
+        self.old: _Codes = _Codes()
+        self._renew()
+        self.old_ids, self.old_starts, self.old_sizes = self.ids, self.starts, self.sizes
+
+    def _renew(self) -> None:
+        self.codes = _Codes()
+        self.ids = np.zeros(0, self.dtype)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.asked, self.ends = array("i"), array("q")
+
+    def ask(self, words: list[str]) -> int:
+        """Note the words of a text; returns its place in the next answer."""
+        self.asked.extend(map(self.codes.__getitem__, words))
+        self.ends.append(len(self.asked))
+        return len(self.ends) - 1
+
+    def _learn_new(self) -> None:
+        new = list(islice(self.codes, len(self.sizes), None))
+        before = np.fromiter((self.old.get(w, -1) for w in new), np.int64, len(new))
+        fresh = before < 0
+        ids, sizes = self.learn([w for w, c in zip(new, before.tolist(), strict=True) if c < 0])
+        from_starts, from_sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        from_starts[~fresh], from_sizes[~fresh] = self.old_starts[before[~fresh]], self.old_sizes[before[~fresh]]
+        from_starts[fresh], from_sizes[fresh] = len(self.old_ids) + np.cumsum(sizes) - sizes, sizes
+        found = _gather(np.concatenate([self.old_ids, ids]), from_starts, from_sizes)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(from_sizes) - from_sizes])
+        self.sizes = np.concatenate([self.sizes, from_sizes])
+        self.ids = np.concatenate([self.ids, found])
+
+    def answer(self) -> tuple[bytes, list[int]]:
+        """Serialised ids of all texts asked for since the last answer, and the ends, in bytes, of each."""
+        if len(self.codes) > len(self.sizes):
+            self._learn_new()
+        codes = np.frombuffer(self.asked, np.int32).copy()
+        sizes = self.sizes[codes]
+        raw = _gather(self.ids, self.starts[codes], sizes).tobytes()
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.frombuffer(self.ends, np.int64)]
+        self.asked, self.ends = array("i"), array("q")
+        if len(self.codes) > _STORE:
+            self.old, self.old_ids, self.old_starts, self.old_sizes = self.codes, self.ids, self.starts, self.sizes
+            self._renew()
+        return raw, (upto * self.ids.itemsize).tolist()
+
+
 class ByteEncoder:
     """A `tokenizers` file applied word by word, with the ids of words kept in a bounded store.
 
@@ -68,97 +134,70 @@ class ByteEncoder:
         pre = spec.get("pre_tokenizer") or {}
         added = [t["content"] for t in spec.get("added_tokens", [])]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
+        self.type = "H" if self.width == 2 else "I"
         self.words = (
             pre.get("type") == "ByteLevel"
             and not pre.get("add_prefix_space", True)
             and pre.get("use_regex", True)
             and not spec.get("normalizer")
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", []))
+            and len(self._ids(["\n"])[0]) == self.width
         )
-        self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
-        self.type = "H" if self.width == 2 else "I"
         self.begins = np.zeros(max(self.model.get_vocab().values(), default=0) + 1, bool)
         if self.words:
             self.begins[[i for piece, i in self.model.get_vocab().items() if piece.startswith(("\u0120", "\u010a"))]] = True
-        self.plain: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.old: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
+        self.simple = _WordStore(self._learn_words, f"<u{self.width}")
+        self.odd = _WordStore(self._learn_pieces, f"<u{self.width}")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.type, e.ids).tobytes() for e in found]
 
-    def _turn(self) -> None:
-        """Start a new generation of full stores; what is asked for again returns from the old one."""
-        for prefix, store in (("", self.plain), (" ", self.spaced)):
-            if len(store) > _STORE:
-                self.old[prefix] = dict(store)
-                store.clear()
-
-    def _missing(self, store: dict[str, bytes], words: set[str], prefix: str) -> list[str]:
-        """Those of `words`, none of which the store has, that the generation before does not have either."""
-        old = self.old[prefix]
-        store.update((w, old[w]) for w in words if w in old)
-        return [w for w in words if w not in store]
-
-    def _learn(self, store: dict[str, bytes], words: set[str], prefix: str) -> None:
-        """Ids of words without white space, encoded _JOINED at a time as one text."""
-        missing = self._missing(store, words, prefix)
-        for k in range(0, len(missing), _JOINED):
-            part = missing[k : k + _JOINED]
-            gap = prefix or "\n"
-            (found,) = self.model.encode_batch_fast([gap + gap.join(part)], add_special_tokens=False)
-            ids = np.array(found.ids, f"<u{self.width}")
-            starts = np.flatnonzero(self.begins[ids])
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and their numbers, of words as they follow a space, or the line feed they begin with."""
+        ids, sizes = [np.zeros(0, f"<u{self.width}")], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), _JOINED):
+            part = words[k : k + _JOINED]
+            (found,) = self.model.encode_batch_fast([(" " + " ".join(part)).replace(" \n", "\n")], add_special_tokens=False)
+            ids.append(np.array(found.ids, f"<u{self.width}"))
+            starts = np.flatnonzero(self.begins[ids[-1]])
             if len(starts) != len(part):
                 raise ValueError("the tokenizer does not begin a piece at every gap")
-            raw, width = ids.tobytes(), self.width
-            ends = (np.append(starts[1:], len(ids)) * width).tolist()
-            # the line feed before a word is no part of it, the space is
-            begins = ((starts + (0 if prefix else 1)) * width).tolist()
-            store.update((w, raw[a:b]) for w, a, b in zip(part, begins, ends, strict=True))
+            sizes.append(np.diff(starts, append=len(ids[-1])))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and their numbers, of pieces of text that may hold any white space."""
+        raw = self._ids(pieces)
+        sizes = np.fromiter((len(r) // self.width for r in raw), np.int64, len(raw))
+        return np.frombuffer(b"".join(raw), f"<u{self.width}"), sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text."""
         if not self.words:
             return self._ids(texts)
-        self._turn()
-        plain, spaced, odd, cut = set(), set(), set(), []
-        unseen, unseen_later = partial(filterfalse, self.plain.__contains__), partial(filterfalse, self.spaced.__contains__)
+        places: list[tuple[_WordStore | None, int]] = []
         for text in texts:
             flat = text.replace("\n", " ")
-            whole = self.added is not None and self.added.search(text) is not None
+            if self.added is not None and self.added.search(text) is not None:
+                places.append((None, 0))
             # no white space but single spaces and line feeds, each between two visible characters
-            simple = not whole and bool(text) and flat.isprintable() and "  " not in flat and flat[0] != " " != flat[-1]
-            if simple:
-                lines = [line.split(" ") for line in text.split("\n")]
-                plain.update(unseen([words[0] for words in lines]))
-                for words in lines:
-                    spaced.update(unseen_later(islice(words, 1, None)))
+            elif text and flat.isprintable() and "  " not in flat and flat[0] != " " != flat[-1]:
+                # the first word, too, is looked up behind a line feed, whose one id is left out again
+                lines = "\n" + (text if "\n" not in text else text.replace("\n", " \n"))
+                places.append((self.simple, self.simple.ask(lines.split(" "))))
             else:
-                lines = [] if whole or not text else _GAP.split(text)
-                odd.update(unseen(lines))
-            cut.append((whole, simple, lines))
-        self._learn(self.plain, plain, "")
-        self._learn(self.spaced, spaced, " ")
-        missing = self._missing(self.plain, odd.union({"\n"}.difference(self.plain)).difference(plain), "")
-        self.plain.update(zip(missing, self._ids(missing), strict=True))
-        first, later, newline = self.plain.__getitem__, self.spaced.__getitem__, self.plain["\n"]
+                places.append((self.odd, self.odd.ask(_GAP.split(text) if text else [])))
+        answers = {store: store.answer() for store in (self.simple, self.odd)}
         out = []
-        for text, (whole, simple, lines) in zip(texts, cut, strict=True):
-            parts: list[bytes] = []
-            if whole:
-                parts = self._ids([text])
-            elif simple:
-                for words in lines:
-                    rest = iter(words)
-                    parts.append(newline)
-                    parts.append(first(next(rest)))
-                    parts += map(later, rest)
-                del parts[0]
-            else:
-                parts += map(first, lines)
-            out.append(b"".join(parts))
+        for text, (store, k) in zip(texts, places, strict=True):
+            if store is None:
+                out += self._ids([text])
+                continue
+            raw, ends = answers[store]
+            skipped = self.width if store is self.simple else 0
+            out.append(raw[(ends[k - 1] if k else 0) + skipped : ends[k]])
         return out
 
 
