@@ -102,10 +102,10 @@ def override_roles(matrix: DataFrame, overrides: DataFrame) -> DataFrame:
 def effective_permissions(users: DataFrame, matrix: DataFrame, overrides: DataFrame) -> DataFrame:
     """Permissions per user and resource; a user's override replaces the role's set for a resource.
 
-    An override row with a null permission takes the resource away. The matrix has a fixed size.
+    An override row with a null permission takes the resource away.
     """
     touched = overrides.select("user_id", "resource").distinct()
-    by_role = users.select("user_id", "role").join(F.broadcast(matrix), "role")
+    by_role = users.select("user_id", "role").join(matrix, "role")
     kept = by_role.join(touched, ["user_id", "resource"], "left_anti")
     own = overrides.where(F.col("permission").isNotNull())
     return kept.select("user_id", "resource", "permission").unionByName(
