@@ -203,95 +203,110 @@ class Ranks:
 
 
 def select_ranks(
-    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], most: int = 20_000, accuracy: int = 10_000
+    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], most: int = 2_000, accuracy: int = 10_000
 ) -> dict[str, Ranks]:
     """Values around the given probabilities of several metrics, exactly and without sorting or moving rows.
 
     One pass over `df` takes a quantile sketch of every metric, which names a bracket around each wanted place. A second
-    one counts the rows below and above each bracket and, by value, those inside. Exact counts show
-    whether the wanted places and the value before them lie inside; if not, the bracket is widened, and if its values
-    are too many for the driver (`most` per bracket, doubled each time), it is narrowed by a sketch of what is inside.
-    Nulls do not count.
+    one counts the rows below and above each bracket and, by value, those inside, and keeps the values next to the
+    bracket. Exact counts show whether the wanted places lie inside or right beside it, so that a bracket of one frequent
+    value is enough. If not, that bracket alone is widened, and if the values inside all brackets are too many for the
+    driver (`most` per bracket), they are narrowed by sketches of what is inside; `most` is only doubled when that does not
+    leave fewer rows. Nulls do not count.
     """
-    probes = [(m, p) for m in columns for p in probs]
     value = {m: c.cast("double") for m, c in columns.items()}
-    # what is known of each probe: open ends at first
+    # the probes that are still open, with what is known of them: no ends at first
+    probes = [(m, p) for m in columns for p in probs]
     ends: dict[tuple[str, float], tuple[float | None, float | None]] = dict.fromkeys(probes, (None, None))
-    spread = 2.0 / accuracy
+    spread = dict.fromkeys(probes, 2.0 / accuracy)
+    shares = {(m, p): (p - spread[m, p], p + spread[m, p]) for m, p in probes}
+    near: dict[tuple[str, float], list[tuple[float, int, int]]] = {}
     counts = {m: 0 for m in columns}
-    below, inside = dict.fromkeys(probes, 0), dict.fromkeys(probes, 0)
 
     def within(m: str, p: float) -> Column:
         low, high = ends[m, p]
         test = value[m].isNotNull()
-        if low is not None:
-            test &= value[m] >= F.lit(low)
-        return test if high is None else test & (value[m] <= F.lit(high))
+        return test if low is None else test & (value[m] >= F.lit(low)) & (value[m] <= F.lit(high))
 
     def wanted(m: str, p: float) -> tuple[int, int]:
         """First and last 0-based place that may be asked for."""
         return max(0, math.floor(p * counts[m]) - 1), min(counts[m] - 1, math.ceil(p * counts[m]))
 
-    def named(rows: Row) -> None:
+    def sketch() -> None:
         """New brackets from sketches of what was inside the old ones."""
-        for k, (m, p) in enumerate(probes):
-            found = rows[f"q{k}"]
-            if found is not None:
-                ends[m, p] = (rows[f"lo{k}"] if shares[k][0] <= 0 else found[0], rows[f"hi{k}"] if shares[k][1] >= 1 else found[1])
-
-    def sketch() -> Row:
         parts = []
-        for k, (m, p) in enumerate(probes):
-            v = F.when(within(m, p), value[m])
-            low, high = (min(1.0, max(0.0, s)) for s in shares[k])
+        for k, x in enumerate(probes):
+            v = F.when(within(*x), value[x[0]])
+            low, high = (min(1.0, max(0.0, s)) for s in shares[x])
             parts += [F.percentile_approx(v, [low, high], accuracy).alias(f"q{k}"), F.min(v).alias(f"lo{k}"), F.max(v).alias(f"hi{k}")]
-        return df.agg(*parts, *[F.count(value[m]).alias(f"n{j}") for j, m in enumerate(columns)]).first()
-
-    shares = [(p - spread, p + spread) for _, p in probes]
-    rows = sketch()
-    counts = {m: rows[f"n{j}"] for j, m in enumerate(columns)}
-    named(rows)
+        row = df.agg(*parts, *[F.count(value[m]).alias(f"n{j}") for j, m in enumerate(columns)]).first()
+        counts.update({m: row[f"n{j}"] for j, m in enumerate(columns)})
+        for k, x in enumerate(probes):
+            found = row[f"q{k}"]
+            if found is not None:
+                ends[x] = (row[f"lo{k}"] if shares[x][0] <= 0 else found[0], row[f"hi{k}"] if shares[x][1] >= 1 else found[1])
+
+    def crowd() -> dict[tuple[str, float], tuple[int, int]]:
+        """Rows below and inside each bracket."""
+        sums = []
+        for k, x in enumerate(probes):
+            low = ends[x][0]
+            sums += [F.count_if(value[x[0]] < F.lit(low)).alias(f"b{k}"), F.count_if(within(*x)).alias(f"i{k}")]
+        row = df.agg(*sums).first()
+        return {x: (row[f"b{k}"], row[f"i{k}"]) for k, x in enumerate(probes)}
+
+    def places(rows: Sequence[Row], m: str, p: float) -> list[tuple[float, int, int]] | None:
+        """(value, rows below it, its rows) in the bracket and next to it; None if a wanted place is farther away."""
+        side = {r.side: r for r in rows if r.side != 1}
+        at = start = side[0].c if 0 in side else 0
+        # the values beside the bracket are known, but not all of their rows: one stands for them
+        found = [(side[0].most, start - 1, 1)] if 0 in side else []
+        for r in sorted((r for r in rows if r.side == 1), key=lambda r: r.v):
+            found.append((r.v, at, r.c))
+            at += r.c
+        if 2 in side:
+            found.append((side[2].least, at, 1))
+        first, last = wanted(m, p)
+        # the rows of the first value count too, so it has to be inside
+        return found if not counts[m] or start <= first < at and last <= at else None
+
+    held_before = None
+    sketch()
     while True:
         cells = []
         for k, (m, p) in enumerate(probes):
             low, high = ends[m, p]
             v = value[m]
             side = F.when(v < F.lit(low), 0).when(v > F.lit(high), 2).otherwise(1) if low is not None else F.lit(1)
-            cells.append(F.struct(F.lit(k).alias("k"), F.when(v.isNotNull(), side).alias("side"), F.when(side == 1, v).alias("v")))
-        seen = df.select(F.inline(F.array(*cells))).where("side is not null").groupBy("k", "side", "v").agg(F.count("*").alias("c"))
-        held = seen.limit(most * len(probes) + 1).collect()
-        if len(held) <= most * len(probes):
-            near: dict[tuple[str, float], list[tuple[float, int, int]]] = {}
-            failed = False
-            for k, (m, p) in enumerate(probes):
-                own = [r for r in held if r.k == k]
-                at = sum(r.c for r in own if r.side == 0)
-                start, found = at, []
-                for r in sorted((r for r in own if r.side == 1), key=lambda r: r.v):
-                    found.append((r.v, at, r.c))
-                    at += r.c
-                near[m, p] = found
-                first, last = wanted(m, p)
-                # the value at the first place must be inside, with the one before it unless nothing is below
-                head = next((x[1] for x in found if x[1] <= first < x[1] + x[2]), None)
-                failed |= counts[m] > 0 and (head is None or last >= at or 0 < start == head)
-            if not failed:
+            cells.append(F.struct(F.lit(k).alias("k"), F.when(v.isNotNull(), side).alias("side"), v.alias("x")))
+        seen = df.select(F.inline(F.array(*cells))).where("side is not null").groupBy("k", "side", F.when(F.col("side") == 1, F.col("x")).alias("v"))
+        limit = (most + 2) * len(probes)
+        held = seen.agg(F.count("*").alias("c"), F.min("x").alias("least"), F.max("x").alias("most")).limit(limit + 1).collect()
+        if len(held) <= limit:
+            held_before, missed = None, []
+            for k, x in enumerate(probes):
+                found = places([r for r in held if r.k == k], *x)
+                if found is None:
+                    missed.append(x)
+                else:
+                    near[x] = found
+            if not missed:
                 return {m: Ranks(counts[m], {p: near[m, p] for p in probs}) for m in columns}
-            spread *= 8
-            ends.update(dict.fromkeys(probes, (None, None)))
-            shares[:] = [(p - spread, p + spread) for _, p in probes]
+            probes = missed
+            for x in probes:
+                spread[x] *= 8
+                ends[x], shares[x] = (None, None), (x[1] - spread[x], x[1] + spread[x])
         else:
-            most *= 2  # so that an end is reached even where sketches cannot tell values apart
-            sums = []
-            for k, (m, p) in enumerate(probes):
-                low = ends[m, p][0]
-                sums += [F.count_if(value[m] < F.lit(low)).alias(f"b{k}"), F.count_if(within(m, p)).alias(f"i{k}")]
-            row = df.agg(*sums).first()
-            for k, (m, p) in enumerate(probes):
-                below[m, p], inside[m, p] = row[f"b{k}"], max(1, row[f"i{k}"])
-                first, last = wanted(m, p)
-                shares[k] = ((first - below[m, p]) / inside[m, p] - spread, (last + 1 - below[m, p]) / inside[m, p] + spread)
-        named(sketch())
+            sizes = crowd()
+            total = sum(n for _, n in sizes.values())
+            if held_before is not None and total >= held_before:
+                most *= 2  # so that an end is reached even where sketches cannot tell values apart
+            held_before = total
+            for x, (below, inside) in sizes.items():
+                first, last = wanted(*x)
+                inside = max(1, inside)
+                shares[x] = ((first - below) / inside - spread[x], (last + 1 - below) / inside + spread[x])
+        sketch()
 
 
 def _one_row(df: DataFrame, values: Mapping[str, object], kind: str) -> DataFrame:

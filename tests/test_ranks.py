@@ -100,3 +100,22 @@ def test_quantiles_exchange_no_rows(spark):
     df = spark.range(1000).select(F.col("id").alias("v"))
     plan = R.attach(df, R.exact_quantiles(df, {"q": (F.col("v"), 0.9)}))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_few_values_beside_many_bring_few_rows_to_the_driver(spark, monkeypatch):
+    """A bracket of one frequent value is enough, and widening it is no reason to widen those of other metrics."""
+    df = spark.range(60_000).select((F.col("id") * 7919 % 60_000).alias("many"), (F.col("id") % 5).alias("few"))
+    collect, sizes = type(df).collect, []
+
+    def counted(self):
+        found = collect(self)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(df), "collect", counted)
+    found = R.select_ranks(df, {"many": F.col("many"), "few": F.col("few")}, (0.2, 0.5, 0.8))
+    assert sum(sizes) < 1000
+    assert [found["few"].quantile(p) for p in (0.2, 0.5, 0.8)] == pytest.approx([0.8, 2.0, 3.2])
+    assert [found["few"].percent_cut(p) for p in (0.2, 0.5, 0.8)] == [0.0, 1.0, 3.0]
+    assert found["many"].quantile(0.5) == 29_999.5
+    assert found["many"].percent_cut(0.2) == 11_999.0
