@@ -49,6 +49,11 @@ def _numbered(df: DataFrame, column: str, out: str, key: str, parts: Callable[[C
     return materialize(texts.withColumn("parts", parts(F.col(out))).withColumn(key, F.monotonically_increasing_id()))
 
 
+def _meet(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join by shuffles. Texts taken apart are many times what their files let Spark expect, too much to broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _grams(text: Column, size: Column | int) -> Column:
     """Array of (at, gram): all letter groups of one size, empty for shorter texts."""
     size = F.lit(size) if isinstance(size, int) else size
@@ -65,10 +70,10 @@ def contained(whole: DataFrame, part: DataFrame) -> DataFrame:
     index = whole.select("whole", F.explode(F.array_distinct(F.transform(sized, lambda g: g["gram"]))).alias("gram"))
     often = index.groupBy("gram").agg(F.count("*").alias("c"))
     own = part.select("part", F.explode(_grams(F.col("text"), F.least(F.length("text"), F.lit(3)))["gram"]).alias("gram"))
-    rarest = own.join(often, "gram", "left").groupBy("part").agg(
+    rarest = _meet(own, often, "gram", "left").groupBy("part").agg(
         F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "gram"))["gram"].alias("gram")
     )
-    met = index.join(rarest, "gram").join(whole, "whole").withColumnRenamed("text", "long").join(part, "part")
+    met = _meet(_meet(_meet(index, rarest, "gram"), whole, "whole").withColumnRenamed("text", "long"), part, "part")
     return met.where(F.contains("long", "text")).select("whole", "part")
 
 
@@ -97,7 +102,7 @@ def _scored(pairs: DataFrame, asked: DataFrame, held: DataFrame, score: Score) -
     """Pairs (qid, nid) with their texts and score."""
     left = asked.select("qid", "query", F.col("parts").alias("q"))
     right = held.select("nid", "name", F.col("parts").alias("n"))
-    both = pairs.join(left, "qid").join(right, "nid")
+    both = _meet(_meet(pairs, left, "qid"), right, "nid")
     return both.select("qid", "query", "name", score(F.col("q"), F.col("n")).alias("score"))
 
 
@@ -144,16 +149,16 @@ def fuzzy_candidates(asked: DataFrame, held: DataFrame, threshold: float, k: int
     counts = groups.groupBy("gram").agg(F.count("*").alias("c"))
     own = asked.select("qid", size.alias("q_len"), F.explode(F.flatten(F.array(_grams(text, 3), _grams(text, 2)))).alias("g"))
     own = own.select("qid", "q_len", F.col("g.at").alias("at"), F.col("g.gram").alias("gram"))
-    own = materialize(own.join(counts, "gram", "left").withColumn("c", F.coalesce("c", F.lit(0))))
+    own = materialize(_meet(own, counts, "gram", "left").withColumn("c", F.coalesce("c", F.lit(0))))
 
     # some names that share rare groups, for a bound
     rare = _first(own.where("c > 0").select("qid", "gram", "c").distinct(), "qid", RARE, "c", "gram")
-    some = rare.join(_first(groups.select("gram", "nid").distinct(), "gram", SEEDS, "nid"), "gram").select("qid", "nid")
+    some = _meet(rare, _first(groups.select("gram", "nid").distinct(), "gram", SEEDS, "nid"), "gram").select("qid", "nid")
     tried = _scored(some.distinct(), asked, held, T.fuzzy_score_parts)
     kth = _first(tried, "qid", k, F.desc("score"), "name").groupBy("qid").agg(F.count("*").alias("n"), F.min("score").alias("low"))
     bound = F.greatest(F.lit(threshold), F.when(F.col("n") >= k, F.col("low"))) - _LEAST
     facts = asked.select("qid", size.alias("q_len"), F.size("parts.words").alias("n_words"))
-    facts = facts.join(kth, "qid", "left").select("qid", "q_len", "n_words", bound.alias("bound"))
+    facts = _meet(facts, kth, "qid", "left").select("qid", "q_len", "n_words", bound.alias("bound"))
     edits = F.floor((1 - F.col("bound")) * F.floor(F.col("q_len") / F.col("bound"))).cast("int")
     facts = facts.withColumn("edits", edits)
 
@@ -166,16 +171,16 @@ def fuzzy_candidates(asked: DataFrame, held: DataFrame, threshold: float, k: int
         return F.aggregate(sized, none, take)
 
     lists = own.groupBy("qid").agg(F.collect_list(F.struct("c", "at", "gram")).alias("groups"))  # of one query's text
-    picked = facts.join(lists, "qid", "left").withColumns({"three": chosen(3), "two": chosen(2)})
+    picked = _meet(facts, lists, "qid", "left").withColumns({"three": chosen(3), "two": chosen(2)})
     enough = F.when(F.size("three") > F.col("edits"), F.col("three")).when(F.size("two") > F.col("edits"), F.col("two"))
     picked = materialize(picked.withColumn("use", enough).drop("groups", "three", "two"))
     keys = picked.withColumn("g", F.explode("use")).select("qid", "q_len", "bound", "edits", F.col("g.at").alias("at"), F.col("g.gram").alias("gram"))
     close = F.abs(F.col("at") - F.col("n_at")) <= F.col("edits")
     long = (F.col("n_len") >= F.col("bound") * F.col("q_len")) & (F.col("n_len") * F.col("bound") <= F.col("q_len"))
-    spelt = keys.join(groups, "gram").where(close & long).select("qid", "nid")
+    spelt = _meet(keys, groups, "gram").where(close & long).select("qid", "nid")
 
     # queries too short for that: all names of a fitting length, a length class dealt to several tasks
-    short = picked.where("use is null").join(asked.select("qid", text.alias("q_text"), _letter_mask(text).alias("q_mask")), "qid")
+    short = _meet(picked.where("use is null"), asked.select("qid", text.alias("q_text"), _letter_mask(text).alias("q_mask")), "qid")
     low, high = _length_class(F.ceil(F.col("bound") * F.col("q_len"))), _length_class(F.floor(F.col("q_len") / F.col("bound")))
     dealt = short.withColumn("size", F.explode(F.sequence(low, high))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     sized = held.select("nid", text.alias("n_text"), _letter_mask(text).alias("n_mask"), size.alias("n_len"), F.pmod("nid", F.lit(SPREAD)).cast("int").alias("salt"))
@@ -184,16 +189,16 @@ def fuzzy_candidates(asked: DataFrame, held: DataFrame, threshold: float, k: int
     sized = sized.withColumn("size", _length_class(F.col("n_len"))).repartition(tasks, "size", "salt")
     most = F.floor((1 - F.col("bound")) * F.greatest("q_len", "n_len")).cast("int")
     able = long & (F.greatest(_bits_beside("q_mask", "n_mask"), _bits_beside("n_mask", "q_mask")) <= most)
-    alike = dealt.join(sized, ["size", "salt"]).where(able & (F.call_function("levenshtein", F.col("q_text"), F.col("n_text"), most) >= 0))
+    alike = _meet(dealt, sized, ["size", "salt"]).where(able & (F.call_function("levenshtein", F.col("q_text"), F.col("n_text"), most) >= 0))
 
     # words: of the query's places, the rarest that cannot all be without a related word
-    reach = related.join(often, related.b == often.word).groupBy("a").agg(F.sum("c").alias("c"))
-    placed = words.join(reach, F.col("word") == F.col("a"), "left").join(picked.drop("use"), "qid")
+    reach = _meet(related, often, related.b == often.word).groupBy("a").agg(F.sum("c").alias("c"))
+    placed = _meet(_meet(words, reach, F.col("word") == F.col("a"), "left"), picked.drop("use"), "qid")
     spare = F.col("n_words") - F.ceil(F.col("bound") * F.col("n_words")) + 1
     order = Window.partitionBy("qid").orderBy(F.coalesce("c", F.lit(0)), "word", "at")
     looked = placed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= spare).select("qid", "word").distinct()
-    found = looked.join(related, F.col("word") == F.col("a")).select("qid", "b")
-    found = found.join(postings, F.col("b") == F.col("word")).select("qid", "nid")
+    found = _meet(looked, related, F.col("word") == F.col("a")).select("qid", "b")
+    found = _meet(found, postings, F.col("b") == F.col("word")).select("qid", "nid")
     return found.union(spelt).union(alike.select("qid", "nid")).distinct()
 
 
@@ -217,7 +222,7 @@ def _word_sets(texts: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """(text, id) and (id, words) of the distinct sets of words; texts without words are left out."""
     worded = texts.select(F.col(text), F.array_sort("parts.words").alias("words")).where(F.size("words") > 0)
     sets = materialize(worded.select("words").distinct().withColumn("id", F.monotonically_increasing_id()))
-    return worded.join(sets, "words").select(text, "id"), sets
+    return _meet(worded, sets, "words").select(text, "id"), sets
 
 
 def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
@@ -226,7 +231,8 @@ def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataF
 
     def prefixes(sets: DataFrame, key: str) -> DataFrame:
         """The rarest words of each set, one of which a partner must share; place 1 is the rarest."""
-        rows = sets.select("id", F.size("words").alias("size"), F.explode("words").alias("word")).join(often, "word", "left")
+        rows = sets.select("id", F.size("words").alias("size"), F.explode("words").alias("word"))
+        rows = _meet(rows, often, "word", "left")
         order = Window.partitionBy("id").orderBy(F.coalesce("c", F.lit(0)), "word")
         longest = F.col("size") - F.ceil(F.col("size") * threshold - _LEAST) + 1
         placed = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= longest)
@@ -235,12 +241,12 @@ def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataF
     # what can follow the first common word bounds what two sets share
     most = 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
     both = F.col("a_size") + F.col("b_size")
-    met = prefixes(asked, "a").join(prefixes(held, "b"), "word").where(most >= threshold * (both - most) - _LEAST)
+    met = _meet(prefixes(asked, "a"), prefixes(held, "b"), "word").where(most >= threshold * (both - most) - _LEAST)
     pairs = met.select("a", "b").distinct()
     left, right = asked.select(F.col("id").alias("a"), F.col("words").alias("x")), held.select(F.col("id").alias("b"), F.col("words").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     score = common / (F.size("x") + F.size("y") - common)
-    return pairs.join(left, "a").join(right, "b").select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
+    return _meet(_meet(pairs, left, "a"), right, "b").select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
 
 
 def semantic_join(
@@ -262,11 +268,11 @@ def semantic_join(
     # of a set's names the first k can be wanted, and of a query's sets the first k
     firsts = _first(n_ids, "id", k, "name")
     heads = n_ids.groupBy("id").agg(F.min("name").alias("head"))
-    near = _first(pairs.join(heads, F.col("b") == F.col("id")).drop("id"), "a", k, F.desc("score"), "head")
-    per_set = near.join(firsts, F.col("b") == F.col("id")).select("a", "name", "score")
+    near = _first(_meet(pairs, heads, F.col("b") == F.col("id")).drop("id"), "a", k, F.desc("score"), "head")
+    per_set = _meet(near, firsts, F.col("b") == F.col("id")).select("a", "name", "score")
     per_set = _first(per_set, "a", k, F.desc("score"), "name")
-    alike = q_ids.join(per_set, F.col("id") == F.col("a")).select("query", "name", "score")
-    same = asked.select("query", F.col("parts.text").alias("t")).join(held.select("name", F.col("parts.text").alias("t")), "t")
+    alike = _meet(q_ids, per_set, F.col("id") == F.col("a")).select("query", "name", "score")
+    same = _meet(asked.select("query", F.col("parts.text").alias("t")), held.select("name", F.col("parts.text").alias("t")), "t")
     same = same.select("query", "name", F.lit(1.0).alias("score"))
     return _top(alike.union(same).groupBy("query", "name").agg(F.max("score").alias("score")), k)
 
@@ -295,7 +301,7 @@ def combined_join(
         F.desc("score"), F.asc_nulls_last("f_rank"), F.asc("s_rank")
     )
     return (
-        fuzzy.join(semantic, ["query", "name"], "full_outer")
+        _meet(fuzzy, semantic, ["query", "name"], "full_outer")
         .withColumn("score", f * 0.7 + s * 0.3 if combine else F.greatest(f, s))
         .withColumn("match_type", kind.otherwise("combined"))
         .withColumn("rank", F.row_number().over(order))
@@ -318,7 +324,7 @@ def suggest_two_lists(
     queries, names = _distinct(queries, query, "query"), _distinct(names, name, "name")
     fuzzy = materialize(fuzzy_join(queries, names, 0.3, k).withColumn("kind", F.lit("fuzzy")))
     semantic = semantic_join(queries, names, 0.1, k).withColumn("kind", F.lit("semantic"))
-    return fuzzy.unionByName(semantic.join(fuzzy, ["query", "name"], "left_anti"))
+    return fuzzy.unionByName(_meet(semantic, fuzzy, ["query", "name"], "left_anti"))
 
 
 def search_fields(
@@ -335,7 +341,7 @@ def search_fields(
     join = fuzzy_join if kind == "fuzzy" else semantic_join
     default = 0.3 if kind == "fuzzy" else 0.1
     found = join(queries, custom_fields, default if threshold is None else threshold, k, query)
-    return found.join(custom_fields, "name")
+    return _meet(found, custom_fields, "name")
 
 
 def suggest_mapped(
@@ -368,7 +374,7 @@ def suggest_mapped(
 
     asked, held = _numbered(queries, query, "query", "qid", parts), _numbered(names, name, "name", "nid", parts)
     exact = [
-        asked.join(held.select("name"), F.col(f"parts.{column}") == F.col("name")).select("query", "name", F.lit(score).alias("score"))
+        _meet(asked, held.select("name"), F.col(f"parts.{column}") == F.col("name")).select("query", "name", F.lit(score).alias("score"))
         for column, score in (("api", 3.0), ("again", 2.0))
     ]
     q = asked.select(F.col("qid").alias("id"), F.col("parts.text").alias("text"))
@@ -378,7 +384,7 @@ def suggest_mapped(
     pairs = over.select(F.col("part").alias("qid"), F.col("whole").alias("nid")).union(
         under.select(F.col("whole").alias("qid"), F.col("part").alias("nid"))
     )
-    near = pairs.distinct().join(asked.select("qid", "query"), "qid").join(held.select("nid", "name"), "nid")
+    near = _meet(_meet(pairs.distinct(), asked.select("qid", "query"), "qid"), held.select("nid", "name"), "nid")
     # a text of separators alone is contained in every other; the first k names are all it can add
     blank = F.col("parts.text") == ""
     everything = held.select("name").orderBy("name").limit(k)
@@ -411,8 +417,7 @@ def accept_field(
         .when(F.col("dy").isNotNull(), "dynamic")
     )
     exact = materialize(
-        asked.join(static, "query", "left")
-        .join(dynamic, "query", "left")
+        _meet(_meet(asked, static, "query", "left"), dynamic, "query", "left")
         .select("query", how.alias("accepted_by"), F.when(how.isNotNull(), F.col("query")).alias("field"))
     )
     every = static_names.select(name).union(dynamic_names.select(name)).distinct()
@@ -423,9 +428,9 @@ def accept_field(
 
     pending = exact.where(F.col("accepted_by").isNull()).select("query")
     near = stage(pending, fuzzy_join, 0.7, "fuzzy")
-    pending = pending.join(near, "query", "left_anti")
+    pending = _meet(pending, near, "query", "left_anti")
     like = stage(pending, semantic_join, 0.3, "semantic")
     none = F.lit(None).cast("string").alias("field")
-    rejected = pending.join(like, "query", "left_anti").select("query", F.lit("rejected").alias("accepted_by"), none)
+    rejected = _meet(pending, like, "query", "left_anti").select("query", F.lit("rejected").alias("accepted_by"), none)
     accepted = exact.where(F.col("accepted_by").isNotNull())
     return accepted.unionByName(near).unionByName(like).unionByName(rejected)

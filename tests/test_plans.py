@@ -60,3 +60,8 @@ def test_scoring_moves_no_donor_rows(spark):
 def test_top_k_is_limited_before_the_shuffle(spark):
     plan = plan_of(queries()["A30_dimension_counts"](spark, FOLDER))
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_matching_broadcasts_nothing(spark):
+    plan = plan_of(queries()["Q4_fuzzy_join_names"](spark, FOLDER))
+    assert "Join" in plan and "Broadcast" not in plan
