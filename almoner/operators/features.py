@@ -226,6 +226,11 @@ class PropensityResult:
         return sorted(zip(self.features, map(float, values)), key=lambda p: (-p[1], p[0]))
 
 
+def _passes_tasks(rows: int, cores: int) -> int:
+    """Tasks of a pass that is repeated for every tree level or step: two per core, or one per 100,000 rows if these are more."""
+    return max(2 * cores, -(-rows // 100_000))
+
+
 def fit_propensity(
     df: DataFrame, features: Sequence[str], key: str = "account_id", label: str = "is_donor",
     seed: int = 42, trees: int = 100, rounds: int = 100,
@@ -261,7 +266,9 @@ def fit_propensity(
         ),
     }
     area = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    models = {name: maker.fit(train) for name, maker in makers.items()}
+    # bagging draws by partition and so keeps the frame's own; the others go through the rows hundreds of times, in few tasks
+    few = train.coalesce(_passes_tasks(total, df.sparkSession.sparkContext.defaultParallelism))
+    models = {name: maker.fit(train if name == "random_forest" else few) for name, maker in makers.items()}
     aucs = {name: area.evaluate(model.transform(test)) for name, model in models.items()}
     return PropensityResult(models, aucs, used, prepared, scaler)
 

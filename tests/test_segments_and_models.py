@@ -160,3 +160,31 @@ def test_sources(spark, rows, tmp_path):
     out = str(tmp_path / "prospects")
     sinks.export_prospects(spark.createDataFrame([(1, "x", 9)], "account_id int, email string, other int"), out)
     assert rows(spark.read.option("header", True).csv(out)) == [("1", "x")]
+
+
+def test_repeated_passes_use_few_tasks(spark, monkeypatch):
+    """Boosting and regression go through the rows hundreds of times; bagging draws by partition and keeps the frame's own."""
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+
+    parts = {}
+    for maker in (GBTClassifier, LogisticRegression, RandomForestClassifier):
+        def fit(self, dataset, params=None, old=maker.fit, name=maker.__name__):
+            parts[name] = dataset.rdd.getNumPartitions()
+            return old(self, dataset, params)
+
+        monkeypatch.setattr(maker, "fit", fit)
+    set_to = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        df = spark.range(400).selectExpr("id AS account_id", "cast(id % 3 = 0 AS int) AS is_donor", "cast(id % 7 AS double) AS a")
+        result = E.fit_propensity(df, ["a"], trees=2, rounds=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", set_to)
+    few = 2 * spark.sparkContext.defaultParallelism
+    assert parts["GBTClassifier"] == parts["LogisticRegression"] == few < parts["RandomForestClassifier"]
+    assert set(result.aucs) == {"random_forest", "gradient_boosting", "logistic_regression"}
+
+
+def test_passes_get_more_tasks_with_more_rows():
+    assert E._passes_tasks(1_000, 12) == 24
+    assert E._passes_tasks(4_000_001, 12) == 41
