@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.functions import text as T
+from almoner.operators.ranks import attach
 from almoner.session import materialize
 
 # letter groups of a query, and names per group, that are looked up to find a bound
@@ -227,6 +228,11 @@ def _word_sets(texts: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
 
 def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
     """(a, b, score) of sets of words (id, words) whose shared part reaches a threshold above 0."""
+    # a score is at most the smaller size by the larger, so sets beyond these sizes meet nobody and are not taken apart
+    size = F.size("words")
+    sizes = attach(held, asked.agg(F.min(size).alias("low"), F.max(size).alias("high")), "__sizes")
+    able = (size >= threshold * F.col("__sizes")["low"] - _LEAST) & (size * threshold <= F.col("__sizes")["high"] + _LEAST)
+    held = sizes.where(able).drop("__sizes")
     often = held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("c"))
 
     def prefixes(sets: DataFrame, key: str) -> DataFrame:

@@ -227,3 +227,16 @@ def test_field_rules_at_their_limits(spark, rows):
     ]
     summary = D.validation_summary(df, meta).first()
     assert (summary["total_fields"], summary["invalid_fields"], summary["overall_valid"]) == (20, 8, False)
+
+
+def test_semantic_sets_of_impossible_size_are_left_out(spark):
+    """Sizes that no set can match are dropped before they are taken apart; those right at the threshold stay."""
+    from almoner.operators import matching as M
+
+    asked = spark.createDataFrame([(1, [f"w{i}" for i in range(2)]), (2, [f"w{i}" for i in range(4)])], "id bigint, words array<string>")
+    sizes = (1, 2, 8, 9, 400)
+    held = spark.createDataFrame([(n, [f"w{i}" for i in range(n)]) for n in sizes], "id bigint, words array<string>")
+    found = M.semantic_pairs(asked, held, 0.5)
+    want = {(a, n): min(k, n) / max(k, n) for a, k in ((1, 2), (2, 4)) for n in sizes if min(k, n) / max(k, n) >= 0.5}
+    assert {(r.a, r.b): r.score for r in found.collect()} == want
+    assert "scalar-subquery" in found._jdf.queryExecution().analyzed().toString()
