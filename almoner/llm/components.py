@@ -28,10 +28,11 @@ def components(links: DataFrame) -> DataFrame:
         down = large.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         after = materialize(down.union(low.select("u", F.col("low").alias("v"))).distinct())
         # done when every node has one link and no target has one itself
-        sizes = after.agg(F.count("*").alias("n"), F.countDistinct("u").alias("d")).first()
-        chained = after.join(after.select(F.col("u").alias("v")).distinct(), "v", "left_semi").isEmpty()
+        ends = after.select(F.col("u").alias("node"), F.lit(1).alias("links"), F.lit(0).alias("aimed"))
+        ends = ends.union(after.select("v", F.lit(0), F.lit(1))).groupBy("node")
+        ends = ends.agg(F.sum("links").alias("links"), F.max("aimed").alias("aimed"))
         edges = after
-        if sizes["n"] == sizes["d"] and chained:
+        if ends.where("links > 1 or links = 1 and aimed = 1").isEmpty():
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.components import components
-from almoner.session import materialize
+from almoner.session import materialize, shuffles_freed
 
 _U = np.uint64
 _FAN = 256  # pairs that meet one copy of a hub's set
@@ -276,10 +276,26 @@ def near_duplicates(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     key = F.col(id_col).cast("long").alias("doc_id")
     own = [F.col(row_col).cast("string").alias("row")] if row_col else []
+    with shuffles_freed(docs.sparkSession):
+        sketches, names = _named(docs.select(key, *own, text), shingle, percent, bands, rows)
+    out = sketches.drop("bands").join(names, "class", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    out = out.withColumn("component_id", component).withColumn("kept", component.eqNullSafe(F.col("doc_id")))
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    if not own:
+        return out.select(*columns)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row"))
+    stay = out.where("n_shingles > 0").groupBy("whole").agg(best.getField("row").alias("best"))
+    stays = (F.col("n_shingles") == 0) | (F.col("row") == F.col("best"))
+    return out.join(stay, "whole", "left").select(*columns, F.col("row").alias(row_col), stays.alias("stays"))
+
+
+def _named(texts: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Sketches of `texts` (doc_id, row if there is one, text), and (class, whole, component_id) of their classes."""
     sketches = materialize(
-        docs.select(key, *own, text).mapInArrow(
+        texts.mapInArrow(
             _sketch(shingle, bands, rows),
-            "doc_id long, " + ("row string, " if own else "") + "n_shingles long, class binary, bands array<long>",
+            "doc_id long, " + ("row string, " if "row" in texts.columns else "") + "n_shingles long, class binary, bands array<long>",
         )
     )
     # the number of a class is fixed by writing it
@@ -295,23 +311,14 @@ def near_duplicates(
     names = classes.select("class", "node", "first")
     if not members.isEmpty():
         wanted = names.join(members.select("node").distinct(), "node", "left_semi")
-        sets = materialize(_class_sets(docs.select(key, text), sketches, wanted, shingle))
+        sets = materialize(_class_sets(texts.select("doc_id", "text"), sketches, wanted, shingle))
         labels = components(_links(sets, members, percent))
         named = names.join(labels, "node", "left").withColumn("whole", F.coalesce("component", "node"))
         smallest = named.groupBy("whole").agg(F.min("first").alias("component_id"))
         names = named.select("class", "whole").join(smallest, "whole")
     else:
         names = names.select("class", F.col("node").alias("whole"), F.col("first").alias("component_id"))
-    out = sketches.drop("bands").join(names, "class", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = out.withColumn("component_id", component).withColumn("kept", component.eqNullSafe(F.col("doc_id")))
-    columns = ["doc_id", "n_shingles", "component_id", "kept"]
-    if not own:
-        return out.select(*columns)
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row"))
-    stay = out.where("n_shingles > 0").groupBy("whole").agg(best.getField("row").alias("best"))
-    stays = (F.col("n_shingles") == 0) | (F.col("row") == F.col("best"))
-    return out.join(stay, "whole", "left").select(*columns, F.col("row").alias(row_col), stays.alias("stays"))
+    return sketches, names
 
 
 def _spread(rows: DataFrame, facts: DataFrame) -> DataFrame:
@@ -424,7 +431,7 @@ def _open(group: DataFrame, labels: DataFrame) -> DataFrame:
     )
     placed = materialize(placed)
     several = placed.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return placed.join(several.where("low <> high").select("hub"), "hub", "left_semi")
+    return materialize(placed.join(several.where("low <> high").select("hub"), "hub", "left_semi"))
 
 
 def _adds(open_: DataFrame, sets: DataFrame) -> DataFrame:

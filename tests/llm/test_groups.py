@@ -1,8 +1,10 @@
 """Near-duplicates, components, toxicity, chat, URL lists, the registered queries and the pipeline."""
 
 import datetime
+import os
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -101,6 +103,24 @@ def test_near_duplicates_with_further_hubs(spark, monkeypatch, dense):
     assert by_id(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(plain_components(rows, 3, 85), key=repr)
 
 
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_near_duplicates_leave_no_shuffle_files(spark):
+    """The many steps behind the result free their shuffles as they end, and the caller's session keeps its setting."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(key, None), shuffle_files(spark)
+    got = near_duplicates(spark.createDataFrame(families(3, 20), "doc_id long, text string"), shingle=3, percent=85)
+    until = time.time() + 20  # files go in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(key, None) == setting
+    assert got.count() == got.count() == len(families(3, 20))
+
+
 def test_near_duplicates_of_repeated_and_null_ids(spark):
     """Rows of one id are linked by their own texts; one row of each component stays."""
     a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
