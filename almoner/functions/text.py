@@ -160,15 +160,16 @@ def fuzzy_score(a: Column, b: Column, case_sensitive: bool = False) -> Column:
 
 def expand_words(words: Column) -> Column:
     """Distinct words together with their full forms and synonyms."""
-    pairs = [
-        item
-        for word, others in expansions().items()
-        for item in (F.lit(word), F.array(*[F.lit(o) for o in others]))
-    ]
+    related = expansions()
+    pairs = [item for word, others in related.items() for item in (F.lit(word), F.array(*[F.lit(o) for o in others]))]
     table = F.create_map(*pairs)
-    none = F.array().cast("array<string>")
-    added = F.flatten(F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), none)))
-    return F.array_distinct(F.concat(words, added))
+
+    def expand(own: Column) -> Column:
+        # the table is searched entry by entry, so only for words that it has
+        added = F.transform(F.filter(own, lambda w: w.isin(*related)), lambda w: F.try_element_at(table, w))
+        return F.array_distinct(F.concat(own, F.flatten(added)))
+
+    return _let(words, expand)
 
 
 def semantic_parts(c: Column) -> Column:

@@ -16,6 +16,8 @@ that such a pair costs.
 
 A semantic score needs a common word or equal texts. Names and queries with the same words are one set, and sets meet
 on their rarest words (a prefix filter). All indexes are equi-joins, whose hot keys adaptive execution splits.
+Where the queries fit in a broadcast of bounded size and most names have words of their own, names are scored as they are
+read instead: only those that reach the threshold are shuffled, so a catalogue of long texts is never written.
 """
 
 from __future__ import annotations
@@ -34,6 +36,10 @@ RARE = 8
 SEEDS = 32
 # tasks the names of one length class are spread over
 SPREAD = 16
+# queries that together take at most so many bytes, by _weight, are broadcast to the names
+FEW_BYTES = 64_000_000
+# names with the same words, on the average, from which on they are brought together before they are scored
+REPEATS = 8
 _LEAST = 1e-9  # scores are sums of fractions; bounds are lowered by this much
 
 Score = Callable[[Column, Column], Column]
@@ -226,33 +232,88 @@ def _word_sets(texts: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     return _meet(worded, sets, "words").select(text, "id"), sets
 
 
+def _fits(size: Column, low: Column, high: Column, threshold: float) -> Column:
+    """Whether a set can reach the threshold with one of low to high words: a score is at most the smaller size by the larger."""
+    return (size >= threshold * low - _LEAST) & (size * threshold <= high + _LEAST)
+
+
+def _reaches(common: Column, both: Column, threshold: float) -> Column:
+    """Whether two sets of so many words together reach the threshold with so many in common."""
+    return common >= threshold * (both - common) - _LEAST
+
+
+def _prefixes(sets: DataFrame, often: DataFrame, threshold: float, key: str) -> DataFrame:
+    """The rarest words of each set, one of which a partner must share; place 1 is the rarest."""
+    rows = sets.select("id", F.size("words").alias("size"), F.explode("words").alias("word"))
+    rows = _meet(rows, often.select("word", "c"), "word", "left")
+    order = Window.partitionBy("id").orderBy(F.coalesce("c", F.lit(0)), "word")
+    longest = F.col("size") - F.ceil(F.col("size") * threshold - _LEAST) + 1
+    placed = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= longest)
+    return placed.select("word", F.col("id").alias(key), F.col("size").alias(f"{key}_size"), F.col("place").alias(f"{key}_place"))
+
+
+def _shared(x: Column, y: Column) -> Column:
+    """Shared part of two sets of words."""
+    return T._let(F.size(F.array_intersect(x, y)), lambda common: common / (F.size(x) + F.size(y) - common))
+
+
 def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
     """(a, b, score) of sets of words (id, words) whose shared part reaches a threshold above 0."""
-    # a score is at most the smaller size by the larger, so sets beyond these sizes meet nobody and are not taken apart
+    # sets beyond these sizes meet nobody and are not taken apart
     size = F.size("words")
     sizes = attach(held, asked.agg(F.min(size).alias("low"), F.max(size).alias("high")), "__sizes")
-    able = (size >= threshold * F.col("__sizes")["low"] - _LEAST) & (size * threshold <= F.col("__sizes")["high"] + _LEAST)
-    held = sizes.where(able).drop("__sizes")
+    held = sizes.where(_fits(size, F.col("__sizes")["low"], F.col("__sizes")["high"], threshold)).drop("__sizes")
     often = held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("c"))
 
-    def prefixes(sets: DataFrame, key: str) -> DataFrame:
-        """The rarest words of each set, one of which a partner must share; place 1 is the rarest."""
-        rows = sets.select("id", F.size("words").alias("size"), F.explode("words").alias("word"))
-        rows = _meet(rows, often, "word", "left")
-        order = Window.partitionBy("id").orderBy(F.coalesce("c", F.lit(0)), "word")
-        longest = F.col("size") - F.ceil(F.col("size") * threshold - _LEAST) + 1
-        placed = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= longest)
-        return placed.select("word", F.col("id").alias(key), F.col("size").alias(f"{key}_size"), F.col("place").alias(f"{key}_place"))
-
     # what can follow the first common word bounds what two sets share
     most = 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
-    both = F.col("a_size") + F.col("b_size")
-    met = _meet(prefixes(asked, "a"), prefixes(held, "b"), "word").where(most >= threshold * (both - most) - _LEAST)
-    pairs = met.select("a", "b").distinct()
+    met = _meet(_prefixes(asked, often, threshold, "a"), _prefixes(held, often, threshold, "b"), "word")
+    pairs = met.where(_reaches(most, F.col("a_size") + F.col("b_size"), threshold)).select("a", "b").distinct()
     left, right = asked.select(F.col("id").alias("a"), F.col("words").alias("x")), held.select(F.col("id").alias("b"), F.col("words").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    score = common / (F.size("x") + F.size("y") - common)
-    return _meet(_meet(pairs, left, "a"), right, "b").select("a", "b", score.alias("score")).where(F.col("score") >= threshold)
+    scored = _meet(_meet(pairs, left, "a"), right, "b").select("a", "b", _shared(F.col("x"), F.col("y")).alias("score"))
+    return scored.where(F.col("score") >= threshold)
+
+
+def _weight() -> Column:
+    """Bytes that the queries' texts and index take in a broadcast, about."""
+    return F.sum(2 * F.octet_length("query") + 100 * F.size("parts.words"))
+
+
+def _scored_in_place(sets: DataFrame, low: int, high: int, names: DataFrame, threshold: float, k: int) -> DataFrame | None:
+    """(a, name, score): best k names of each set of words (id, words), of low to high words, that fit in a broadcast.
+
+    Names are scored in the task that reads them. None if too many have the same words; these are better brought together.
+    """
+    fits = lambda w: F.when(_fits(F.size(w), F.lit(low), F.lit(high), threshold), w)
+    held = names.select("name", T._let(T.semantic_parts(F.col("name"))["words"], fits).alias("words"))
+    # explode_outer, since Spark would take the texts apart again to leave out empty ones before explode
+    mark = F.lit("")  # no word; one row of it for each name
+    known = sets.select(F.explode("words").alias("word")).union(sets.select(mark)).distinct()
+    marked = held.select("words", F.xxhash64("words").alias("own")).select("own", F.explode_outer(F.concat(F.array(mark), "words")).alias("word"))
+    counts = (F.count("*").alias("c"), F.approx_count_distinct("own").alias("own"))
+    often = materialize(marked.join(F.broadcast(known), "word").groupBy("word").agg(*counts))
+    if often.where((F.col("word") == mark) & (F.col("c") > REPEATS * F.col("own"))).count():
+        return None
+
+    rows = held.select("name", "words", F.explode_outer("words").alias("word"))
+    met = rows.join(F.broadcast(_prefixes(sets, often, threshold, "a")), "word")
+    most = F.least(1 + F.col("a_size") - F.col("a_place"), F.size("words"))
+    able = met.where(_reaches(most, F.col("a_size") + F.size("words"), threshold))
+    both = able.join(F.broadcast(sets.select(F.col("id").alias("a"), F.col("words").alias("x"))), "a")
+    scored = both.select("a", "name", _shared(F.col("x"), F.col("words")).alias("score")).where(F.col("score") >= threshold)
+    return _first(scored.distinct(), "a", k, F.desc("score"), "name")
+
+
+def _scored_by_sets(sets: DataFrame, held: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(a, name, score): best k names of each set of words (id, words); names with the same words are scored once."""
+    n_ids, n_sets = _word_sets(held, "name")
+    pairs = semantic_pairs(sets, n_sets, threshold)
+    # of a set's names the first k can be wanted, and of a query's sets the first k
+    firsts = _first(n_ids, "id", k, "name")
+    heads = n_ids.groupBy("id").agg(F.min("name").alias("head"))
+    near = _first(_meet(pairs, heads, F.col("b") == F.col("id")).drop("id"), "a", k, F.desc("score"), "head")
+    per_set = _meet(near, firsts, F.col("b") == F.col("id")).select("a", "name", "score")
+    return _first(per_set, "a", k, F.desc("score"), "name")
 
 
 def semantic_join(
@@ -267,18 +328,20 @@ def semantic_join(
     if threshold <= 0:
         raise ValueError("names that share nothing with a query have no order; the threshold must be above 0")
     asked = _numbered(queries, query, "query", "qid", T.semantic_parts)
-    held = _numbered(names, name, "name", "nid", T.semantic_parts)
     q_ids, q_sets = _word_sets(asked, "query")
-    n_ids, n_sets = _word_sets(held, "name")
-    pairs = semantic_pairs(q_sets, n_sets, threshold)
-    # of a set's names the first k can be wanted, and of a query's sets the first k
-    firsts = _first(n_ids, "id", k, "name")
-    heads = n_ids.groupBy("id").agg(F.min("name").alias("head"))
-    near = _first(_meet(pairs, heads, F.col("b") == F.col("id")).drop("id"), "a", k, F.desc("score"), "head")
-    per_set = _meet(near, firsts, F.col("b") == F.col("id")).select("a", "name", "score")
-    per_set = _first(per_set, "a", k, F.desc("score"), "name")
+    texts = asked.select("query", F.col("parts.text").alias("t"))
+    size = F.size("parts.words")
+    facts = asked.agg(_weight().alias("weight"), *(f(F.when(size > 0, size)).alias(f.__name__) for f in (F.min, F.max))).first()
+    per_set = None
+    if (facts["weight"] or 0) <= FEW_BYTES:
+        some = names.select(F.col(name).alias("name")).where(F.length("name") > 0)
+        per_set = _scored_in_place(q_sets, facts["min"] or 0, facts["max"] or 0, some, threshold, k)
+        same = some.withColumn("t", F.lower("name")).join(F.broadcast(texts), "t")
+    if per_set is None:
+        held = _numbered(names, name, "name", "nid", T.semantic_parts)
+        per_set = _scored_by_sets(q_sets, held, threshold, k)
+        same = _meet(texts, held.select("name", F.col("parts.text").alias("t")), "t")
     alike = _meet(q_ids, per_set, F.col("id") == F.col("a")).select("query", "name", "score")
-    same = _meet(asked.select("query", F.col("parts.text").alias("t")), held.select("name", F.col("parts.text").alias("t")), "t")
     same = same.select("query", "name", F.lit(1.0).alias("score"))
     return _top(alike.union(same).groupBy("query", "name").agg(F.max("score").alias("score")), k)
 

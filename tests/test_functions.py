@@ -240,3 +240,28 @@ def test_semantic_sets_of_impossible_size_are_left_out(spark):
     want = {(a, n): min(k, n) / max(k, n) for a, k in ((1, 2), (2, 4)) for n in sizes if min(k, n) / max(k, n) >= 0.5}
     assert {(r.a, r.b): r.score for r in found.collect()} == want
     assert "scalar-subquery" in found._jdf.queryExecution().analyzed().toString()
+
+
+def long_texts():
+    draw = random.Random(11)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(1, 5))) for _ in range(400)] + ["gift", "date", "phoneDate", "of"]
+    asked = [" ".join(draw.choices(words, k=draw.randint(1, 25))) for _ in range(30)] + ["of a", "PHONE date", ""]
+    names = [" ".join(draw.choices(words, k=draw.randint(1, 120))) for _ in range(150)] + [a.upper() for a in asked[:5]]
+    names += [f"{draw.choice(asked)} {' '.join(draw.choices(words, k=9))}" for _ in range(60)] + ["OF A", "Phone Date", "phone_date", "", None]
+    return asked, names
+
+
+@pytest.mark.parametrize(("few", "copies", "kept"), [(10**9, 2, False), (10**9, 40, True), (0, 2, True)])
+def test_semantic_join_writes_long_names_only_to_bring_them_together(spark, monkeypatch, few, copies, kept):
+    """Names are scored as they are read, unless the queries are many or most names have the same words."""
+    asked, names = long_texts()
+    queries = spark.createDataFrame([(q,) for q in asked * 2], "query string")
+    held = spark.createDataFrame([(n,) for n in names * copies], "name string")
+    pairs = queries.distinct().crossJoin(held.distinct()).where("query <> '' and name <> ''")
+    pairs = pairs.withColumn("score", T.semantic_score(F.col("query"), F.col("name")))
+    want = sorted(map(tuple, M._top(pairs.where("score >= 0.1"), 5).collect()))
+    written, write = [], M.materialize
+    monkeypatch.setattr(M, "FEW_BYTES", few, raising=False)
+    monkeypatch.setattr(M, "materialize", lambda df: written.extend(df.columns) or write(df))
+    assert sorted(map(tuple, M.semantic_join(queries, held, 0.1, 5).collect())) == want
+    assert ("name" in written) is kept
