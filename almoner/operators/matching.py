@@ -16,8 +16,8 @@ that such a pair costs.
 
 A semantic score needs a common word or equal texts. Names and queries with the same words are one set, and sets meet
 on their rarest words (a prefix filter). All indexes are equi-joins, whose hot keys adaptive execution splits.
-Where the queries fit in a broadcast of bounded size and most names have words of their own, names are scored as they are
-read instead: only those that reach the threshold are shuffled, so a catalogue of long texts is never written.
+Where the queries fit in a broadcast of bounded size, names are scored as they are read instead, unless many have the same
+words and meet many queries: only those that reach the threshold are shuffled, so a catalogue of long texts is never written.
 """
 
 from __future__ import annotations
@@ -38,8 +38,10 @@ SEEDS = 32
 SPREAD = 16
 # queries that together take at most so many bytes, by _weight, are broadcast to the names
 FEW_BYTES = 64_000_000
-# names with the same words, on the average, from which on they are brought together before they are scored
+# more names than so many with the same words, on the average, are brought together before they are scored, unless a word
+# meets few queries, so that scoring costs no more than taking the names apart
 REPEATS = 8
+FEW_MEETINGS = 16
 _LEAST = 1e-9  # scores are sums of fractions; bounds are lowered by this much
 
 Score = Callable[[Column, Column], Column]
@@ -282,17 +284,21 @@ def _weight() -> Column:
 def _scored_in_place(sets: DataFrame, low: int, high: int, names: DataFrame, threshold: float, k: int) -> DataFrame | None:
     """(a, name, score): best k names of each set of words (id, words), of low to high words, that fit in a broadcast.
 
-    Names are scored in the task that reads them. None if too many have the same words; these are better brought together.
+    Names are scored in the task that reads them. None if that would score many names with the same words over and over.
     """
     fits = lambda w: F.when(_fits(F.size(w), F.lit(low), F.lit(high), threshold), w)
     held = names.select("name", T._let(T.semantic_parts(F.col("name"))["words"], fits).alias("words"))
     # explode_outer, since Spark would take the texts apart again to leave out empty ones before explode
     mark = F.lit("")  # no word; one row of it for each name
-    known = sets.select(F.explode("words").alias("word")).union(sets.select(mark)).distinct()
-    marked = held.select("words", F.xxhash64("words").alias("own")).select("own", F.explode_outer(F.concat(F.array(mark), "words")).alias("word"))
-    counts = (F.count("*").alias("c"), F.approx_count_distinct("own").alias("own"))
-    often = materialize(marked.join(F.broadcast(known), "word").groupBy("word").agg(*counts))
-    if often.where((F.col("word") == mark) & (F.col("c") > REPEATS * F.col("own"))).count():
+    known = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("asked"))
+    known = F.broadcast(known.union(sets.select(mark, F.lit(0)).distinct()))
+    sized = held.select("words", F.xxhash64("words").alias("own"), F.size("words").alias("size"))
+    marked = sized.select("own", "size", F.explode_outer(F.concat(F.array(mark), "words")).alias("word")).join(known, "word")
+    counts = F.count("*").alias("c"), F.approx_count_distinct("own").alias("own"), F.sum("size").alias("words")
+    often = materialize(marked.groupBy("word", "asked").agg(*counts))
+    of_all = (F.max(F.when(F.col("word") == mark, F.col(x))).alias(x) for x in ("c", "own", "words"))
+    seen = often.agg(F.sum(F.col("c") * F.col("asked")).alias("met"), *of_all).first()
+    if seen["c"] and seen["c"] > REPEATS * seen["own"] and seen["met"] > FEW_MEETINGS * seen["words"]:
         return None
 
     rows = held.select("name", "words", F.explode_outer("words").alias("word"))

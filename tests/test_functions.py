@@ -251,9 +251,9 @@ def long_texts():
     return asked, names
 
 
-@pytest.mark.parametrize(("few", "copies", "kept"), [(10**9, 2, False), (10**9, 40, True), (0, 2, True)])
-def test_semantic_join_writes_long_names_only_to_bring_them_together(spark, monkeypatch, few, copies, kept):
-    """Names are scored as they are read, unless the queries are many or most names have the same words."""
+@pytest.mark.parametrize(("few", "copies", "meetings", "kept"), [(10**9, 2, 0, False), (10**9, 40, 16, False), (10**9, 40, 0, True), (0, 2, 16, True)])
+def test_semantic_join_writes_long_names_only_to_bring_them_together(spark, monkeypatch, few, copies, meetings, kept):
+    """Names are scored as they are read, unless the queries are many, or most names have the same words and meet many."""
     asked, names = long_texts()
     queries = spark.createDataFrame([(q,) for q in asked * 2], "query string")
     held = spark.createDataFrame([(n,) for n in names * copies], "name string")
@@ -262,6 +262,7 @@ def test_semantic_join_writes_long_names_only_to_bring_them_together(spark, monk
     want = sorted(map(tuple, M._top(pairs.where("score >= 0.1"), 5).collect()))
     written, write = [], M.materialize
     monkeypatch.setattr(M, "FEW_BYTES", few, raising=False)
+    monkeypatch.setattr(M, "FEW_MEETINGS", meetings, raising=False)
     monkeypatch.setattr(M, "materialize", lambda df: written.extend(df.columns) or write(df))
     assert sorted(map(tuple, M.semantic_join(queries, held, 0.1, 5).collect())) == want
     assert ("name" in written) is kept
