@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 
 from almoner.functions import text as T
 from almoner.operators.ranks import attach
-from almoner.session import materialize
+from almoner.session import materialize, shuffles_freed
 
 # letter groups of a query, and names per group, that are looked up to find a bound
 RARE = 8
 SEEDS = 32
 # tasks the names of one length class are spread over
 SPREAD = 16
-# queries that together take at most so many bytes, by _weight, are broadcast to the names
+# queries whose texts and index take at most so many bytes together are broadcast to the names; a word in the index takes 100
 FEW_BYTES = 64_000_000
 # more names than so many with the same words, on the average, are brought together before they are scored, unless a word
 # meets few queries, so that scoring costs no more than taking the names apart
@@ -227,11 +227,20 @@ def fuzzy_join(
     return _top(_scored(pairs, asked, held, T.fuzzy_score_parts).where(F.col("score") >= threshold), k)
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def _word_sets(texts: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """(text, id) and (id, words) of the distinct sets of words; texts without words are left out."""
-    worded = texts.select(F.col(text), F.array_sort("parts.words").alias("words")).where(F.size("words") > 0)
-    sets = materialize(worded.select("words").distinct().withColumn("id", F.monotonically_increasing_id()))
-    return _meet(worded, sets, "words").select(text, "id"), sets
+    """(text, key), and (id, key, words) of the distinct sets of words; texts without words have no set.
+
+    A set is written as one string, a third of its array, and found by the digest of that, so that no text moves for it.
+    """
+    line = "\n"  # in no word
+    joined = F.array_join(F.sort_array("parts.words"), line)
+    sets = materialize(texts.select(joined.alias("joined")).distinct().withColumn("id", F.monotonically_increasing_id()))
+    split = sets.where("joined <> ''").select("id", _digest(F.col("joined")).alias("key"), F.split("joined", line).alias("words"))
+    return texts.select(text, _digest(joined).alias("key")), split
 
 
 def _fits(size: Column, low: Column, high: Column, threshold: float) -> Column:
@@ -245,13 +254,17 @@ def _reaches(common: Column, both: Column, threshold: float) -> Column:
 
 
 def _prefixes(sets: DataFrame, often: DataFrame, threshold: float, key: str) -> DataFrame:
-    """The rarest words of each set, one of which a partner must share; place 1 is the rarest."""
+    """The rarest words of each set, one of which a partner must share, and how many words that are known come after each.
+
+    `often` counts the words that both sides have. Others cannot be shared, but count for a set's size.
+    """
     rows = sets.select("id", F.size("words").alias("size"), F.explode("words").alias("word"))
-    rows = _meet(rows, often.select("word", "c"), "word", "left")
-    order = Window.partitionBy("id").orderBy(F.coalesce("c", F.lit(0)), "word")
-    longest = F.col("size") - F.ceil(F.col("size") * threshold - _LEAST) + 1
-    placed = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= longest)
-    return placed.select("word", F.col("id").alias(key), F.col("size").alias(f"{key}_size"), F.col("place").alias(f"{key}_place"))
+    rows = _meet(rows, often.select("word", "c"), "word")
+    one = Window.partitionBy("id")
+    rest = F.count("*").over(one) - F.row_number().over(one.orderBy("c", "word"))
+    needed = F.ceil(F.col("size") * threshold - _LEAST)
+    placed = rows.withColumn("rest", rest).where(F.col("rest") + 1 >= needed)
+    return placed.select("word", F.col("id").alias(key), F.col("size").alias(f"{key}_size"), F.col("rest").alias(f"{key}_rest"))
 
 
 def _shared(x: Column, y: Column) -> Column:
@@ -266,28 +279,22 @@ def semantic_pairs(asked: DataFrame, held: DataFrame, threshold: float) -> DataF
     sizes = attach(held, asked.agg(F.min(size).alias("low"), F.max(size).alias("high")), "__sizes")
     held = sizes.where(_fits(size, F.col("__sizes")["low"], F.col("__sizes")["high"], threshold)).drop("__sizes")
     often = held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    often = _meet(often, asked.select(F.explode("words").alias("word")).distinct(), "word")
 
     # what can follow the first common word bounds what two sets share
-    most = 1 + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    most = 1 + F.least("a_rest", "b_rest")
     met = _meet(_prefixes(asked, often, threshold, "a"), _prefixes(held, often, threshold, "b"), "word")
-    pairs = met.where(_reaches(most, F.col("a_size") + F.col("b_size"), threshold)).select("a", "b").distinct()
+    pairs = materialize(met.where(_reaches(most, F.col("a_size") + F.col("b_size"), threshold)).select("a", "b").distinct())
     left, right = asked.select(F.col("id").alias("a"), F.col("words").alias("x")), held.select(F.col("id").alias("b"), F.col("words").alias("y"))
     scored = _meet(_meet(pairs, left, "a"), right, "b").select("a", "b", _shared(F.col("x"), F.col("y")).alias("score"))
     return scored.where(F.col("score") >= threshold)
 
 
-def _weight() -> Column:
-    """Bytes that the queries' texts and index take in a broadcast, about."""
-    return F.sum(2 * F.octet_length("query") + 100 * F.size("parts.words"))
-
-
-def _scored_in_place(sets: DataFrame, low: int, high: int, names: DataFrame, threshold: float, k: int) -> DataFrame | None:
-    """(a, name, score): best k names of each set of words (id, words), of low to high words, that fit in a broadcast.
+def _scored_in_place(sets: DataFrame, held: DataFrame, threshold: float, k: int) -> DataFrame | None:
+    """(a, name, score): best k of `held` (name, words) for each set of words (id, words), where these fit in a broadcast.
 
     Names are scored in the task that reads them. None if that would score many names with the same words over and over.
     """
-    fits = lambda w: F.when(_fits(F.size(w), F.lit(low), F.lit(high), threshold), w)
-    held = names.select("name", T._let(T.semantic_parts(F.col("name"))["words"], fits).alias("words"))
     # explode_outer, since Spark would take the texts apart again to leave out empty ones before explode
     mark = F.lit("")  # no word; one row of it for each name
     known = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("asked"))
@@ -303,7 +310,7 @@ def _scored_in_place(sets: DataFrame, low: int, high: int, names: DataFrame, thr
 
     rows = held.select("name", "words", F.explode_outer("words").alias("word"))
     met = rows.join(F.broadcast(_prefixes(sets, often, threshold, "a")), "word")
-    most = F.least(1 + F.col("a_size") - F.col("a_place"), F.size("words"))
+    most = F.least(1 + F.col("a_rest"), F.size("words"))
     able = met.where(_reaches(most, F.col("a_size") + F.size("words"), threshold))
     both = able.join(F.broadcast(sets.select(F.col("id").alias("a"), F.col("words").alias("x"))), "a")
     scored = both.select("a", "name", _shared(F.col("x"), F.col("words")).alias("score")).where(F.col("score") >= threshold)
@@ -311,12 +318,15 @@ def _scored_in_place(sets: DataFrame, low: int, high: int, names: DataFrame, thr
 
 
 def _scored_by_sets(sets: DataFrame, held: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(a, name, score): best k names of each set of words (id, words); names with the same words are scored once."""
-    n_ids, n_sets = _word_sets(held, "name")
-    pairs = semantic_pairs(sets, n_sets, threshold)
-    # of a set's names the first k can be wanted, and of a query's sets the first k
-    firsts = _first(n_ids, "id", k, "name")
-    heads = n_ids.groupBy("id").agg(F.min("name").alias("head"))
+    """(a, name, score): best k of `held` (name, words) for each set of words (id, words); names with the same words are scored once."""
+    with shuffles_freed(held.sparkSession):
+        n_keys, n_sets = _word_sets(held.select("name", F.struct("words").alias("parts")), "name")
+        pairs = materialize(semantic_pairs(sets, n_sets, threshold))
+        found = _meet(n_sets.select("id", "key"), pairs.select(F.col("b").alias("id")), "id", "left_semi")
+        # of a set's names the first k can be wanted, and of a query's sets the first k
+        named = _meet(n_keys, found, "key").select("id", "name").distinct()
+        firsts = materialize(_first(named, "id", k, "name"))
+    heads = firsts.groupBy("id").agg(F.min("name").alias("head"))
     near = _first(_meet(pairs, heads, F.col("b") == F.col("id")).drop("id"), "a", k, F.desc("score"), "head")
     per_set = _meet(near, firsts, F.col("b") == F.col("id")).select("a", "name", "score")
     return _first(per_set, "a", k, F.desc("score"), "name")
@@ -333,21 +343,24 @@ def semantic_join(
     """Best k names per query by shared meaning; equal scores are ordered by name. The threshold must be above 0."""
     if threshold <= 0:
         raise ValueError("names that share nothing with a query have no order; the threshold must be above 0")
-    asked = _numbered(queries, query, "query", "qid", T.semantic_parts)
-    q_ids, q_sets = _word_sets(asked, "query")
-    texts = asked.select("query", F.col("parts.text").alias("t"))
-    size = F.size("parts.words")
-    facts = asked.agg(_weight().alias("weight"), *(f(F.when(size > 0, size)).alias(f.__name__) for f in (F.min, F.max))).first()
-    per_set = None
-    if (facts["weight"] or 0) <= FEW_BYTES:
-        some = names.select(F.col(name).alias("name")).where(F.length("name") > 0)
-        per_set = _scored_in_place(q_sets, facts["min"] or 0, facts["max"] or 0, some, threshold, k)
-        same = some.withColumn("t", F.lower("name")).join(F.broadcast(texts), "t")
+    asked = _distinct(queries, query, "query")
+    q_keys, q_sets = _word_sets(asked.withColumn("parts", T.semantic_parts(F.col("query"))), "query")
+    size, texts = F.size("words"), asked.agg(F.sum(F.octet_length("query"))).first()[0] or 0
+    words, low, high = (x or 0 for x in q_sets.agg(F.sum(size), F.min(size), F.max(size)).first())
+    fits = lambda w: F.when(_fits(F.size(w), F.lit(low), F.lit(high), threshold), w)
+    some = names.select(F.col(name).alias("name")).where(F.length("name") > 0)
+    held = some.select("name", T._let(T.semantic_parts(F.col("name"))["words"], fits).alias("words"))
+    few = 2 * texts + 100 * words <= FEW_BYTES
+    per_set = _scored_in_place(q_sets, held, threshold, k) if few else None
     if per_set is None:
-        held = _numbered(names, name, "name", "nid", T.semantic_parts)
         per_set = _scored_by_sets(q_sets, held, threshold, k)
-        same = _meet(texts, held.select("name", F.col("parts.text").alias("t")), "t")
-    alike = _meet(q_ids, per_set, F.col("id") == F.col("a")).select("query", "name", "score")
+    if few:
+        same = some.withColumn("t", F.lower("name")).join(F.broadcast(asked.withColumn("t", F.lower("query"))), "t")
+    else:
+        same = _meet(some.withColumn("t", _digest(F.lower("name"))), asked.withColumn("t", _digest(F.lower("query"))), "t")
+        same = same.where(F.lower("query") == F.lower("name"))
+    per_key = _meet(per_set, q_sets.select(F.col("id").alias("a"), "key"), "a").select("key", "name", "score")
+    alike = _meet(q_keys, per_key, "key").select("query", "name", "score")
     same = same.select("query", "name", F.lit(1.0).alias("score"))
     return _top(alike.union(same).groupBy("query", "name").agg(F.max("score").alias("score")), k)
 
