@@ -234,7 +234,7 @@ def _digest(text: Column) -> Column:
 def _word_sets(texts: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """(text, key), and (id, key, words) of the distinct sets of words; texts without words have no set.
 
-    A set is written as one string, a third of its array, and found by the digest of that, so that no text moves for it.
+    A set is written as one string, less than its array takes, and found by the digest of that, so that no text moves for it.
     """
     line = "\n"  # in no word
     joined = F.array_join(F.sort_array("parts.words"), line)
